@@ -16,15 +16,15 @@ def fixed_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
 
 
 def attach(df: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left-join per-group values back to the rows; null keys match each other.
+    """Left-join settled per-group values to the rows; null keys match each other.
 
-    ``totals`` is settled first, so the join is broadcast only if its written
-    size allows it. Otherwise rows are shuffled and the adaptive skew join
-    splits a group that holds a large share of them.
+    The written size of ``totals`` decides whether it is broadcast. Otherwise
+    rows are shuffled and the adaptive skew join splits a group that holds a
+    large share of them.
     """
-    small = settle(totals.withColumnsRenamed({k: f"_k_{k}" for k in keys}), "totals")
-    match = same_keys({k: f"_k_{k}" for k in keys})
-    return df.join(small, match, "left").drop(*[f"_k_{k}" for k in keys])
+    names = {k: f"_k_{k}" for k in keys}
+    joined = df.join(totals.withColumnsRenamed(names), same_keys(names), "left")
+    return joined.drop(*names.values())
 
 
 def same_keys(pairs: dict) -> Column:
@@ -43,24 +43,19 @@ def multiset_minus(df: DataFrame, other: DataFrame) -> DataFrame:
     written out again in blocks that are spread over tasks.
     """
     columns = df.columns
-    counted = (
+    counted = settle(
         df.withColumn("_copies", F.lit(1))
         .unionByName(other.select(*columns).withColumn("_copies", F.lit(-1)))
         .groupBy(*columns)
         .agg(F.sum("_copies").alias("_copies"))
-        .where("_copies > 0")
+        .where("_copies > 0"),
+        "copies",
     )
     size = COPIES_PER_BLOCK
-    few = counted.where(F.col("_copies") <= size)
-    many = (
-        counted.where(F.col("_copies") > size)
-        .withColumn("_block", F.explode(F.expr(f"sequence(0, (_copies - 1) div {size})")))
-        .withColumn("_copies", F.expr(f"least({size}, _copies - _block * {size})"))
-        .repartition("_block", *columns)
-        .drop("_block")
-    )
-    return (
-        few.unionByName(many)
-        .withColumn("_copy", F.explode(F.expr("sequence(1, _copies)")))
-        .select(*columns)
-    )
+    if not counted.where(F.col("_copies") > size).isEmpty():
+        counted = (
+            counted.withColumn("_block", F.explode(F.expr(f"sequence(0, (_copies - 1) div {size})")))
+            .withColumn("_copies", F.expr(f"least({size}, _copies - _block * {size})"))
+            .repartition("_block", *columns)
+        )
+    return counted.withColumn("_copy", F.explode(F.expr("sequence(1, _copies)"))).select(*columns)

@@ -9,6 +9,8 @@ handling) otherwise.
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +38,14 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def at_once(*jobs: Callable) -> list:
+    """Run independent Spark jobs side by side and return their results in order."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
+def settle_all(**tables: DataFrame) -> list[DataFrame]:
+    """Settle several tables side by side."""
+    return at_once(*[lambda n=name, t=df: settle(t, n) for name, df in tables.items()])

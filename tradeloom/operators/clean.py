@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import COLUMN_TYPES, NULL_DEFAULTS
-from tradeloom.functions.relations import multiset_minus
+from tradeloom.functions.relations import multiset_minus, same_keys
+from tradeloom.functions.staging import settle
 
 NULL_TEXT = "<null>"
 UNORDERED_TYPES = ("map", "variant")
+HOT_ROWS = 1_000_000
 
 
 def _fills(df: DataFrame, fills: Mapping | None) -> dict:
@@ -86,6 +88,22 @@ def type_cast(df: DataFrame, types: Mapping | None = None) -> tuple[DataFrame, D
     )
 
 
+def _ranked(
+    df: DataFrame, keys: Sequence[str], order_col: str, ascending: bool, tie_break: Sequence[str]
+) -> DataFrame:
+    """Add ``_rank``, the row's place within its key."""
+    first = F.col(order_col).asc_nulls_first() if ascending else F.col(order_col).desc_nulls_last()
+    rest = [
+        f.name
+        for f in df.schema
+        if f.name not in {*keys, order_col, *tie_break}
+        and f.dataType.typeName() not in UNORDERED_TYPES
+    ]
+    ties = [F.col(c).asc_nulls_first() for c in [*tie_break, *rest]]
+    window = Window.partitionBy(*keys).orderBy(first, *ties)
+    return df.withColumn("_rank", F.row_number().over(window))
+
+
 def dedup(
     df: DataFrame,
     keys: Sequence[str] = ("trade_id",),
@@ -101,25 +119,42 @@ def dedup(
     """
     if not {*keys, order_col} <= set(df.columns):
         return df
-    first = F.col(order_col).asc_nulls_first() if ascending else F.col(order_col).desc_nulls_last()
-    rest = [
-        f.name
-        for f in df.schema
-        if f.name not in {*keys, order_col, *tie_break}
-        and f.dataType.typeName() not in UNORDERED_TYPES
-    ]
-    ties = [F.col(c).asc_nulls_first() for c in [*tie_break, *rest]]
-    window = Window.partitionBy(*keys).orderBy(first, *ties)
-    return (
-        df.withColumn("_rank", F.row_number().over(window))
-        .where("_rank = 1")
-        .drop("_rank")
-    )
+    ranked = _ranked(df, keys, order_col, ascending, tie_break)
+    return ranked.where("_rank = 1").drop("_rank")
+
 
+def dedup_split(
+    df: DataFrame,
+    keys: Sequence[str] = ("trade_id",),
+    order_col: str = "trade_date",
+    ascending: bool = False,
+    tie_break: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows ``dedup`` keeps, and all others, as written tables.
 
-def dedup_rejects(df: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``df`` that ``dedup`` did not keep."""
-    return multiset_minus(df, kept)
+    Rows are ranked in one shuffle. Keys with more than ``hot_rows`` rows are
+    found first from the key columns alone; their rows are not ranked together
+    but compared with the kept row as multisets, which needs no group in one task.
+    """
+    if not {*keys, order_col} <= set(df.columns):
+        return df, df.limit(0)
+    names = {k: f"_hot_{k}" for k in keys}
+    hot = settle(
+        df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
+        .select(*keys).withColumnsRenamed(names),
+        "hot_keys",
+    )
+    crowded = None
+    if not hot.isEmpty():
+        crowded = df.join(hot, same_keys(names), "left_semi")
+        df = df.join(hot, same_keys(names), "left_anti")
+    ranked = settle(_ranked(df, keys, order_col, ascending, tie_break), "ranked")
+    kept, rest = (ranked.where(c).drop("_rank") for c in ("_rank = 1", "_rank > 1"))
+    if crowded is not None:
+        first = settle(dedup(crowded, keys, order_col, ascending, tie_break), "kept_hot")
+        kept, rest = kept.unionByName(first), rest.unionByName(multiset_minus(crowded, first))
+    return kept, rest
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:

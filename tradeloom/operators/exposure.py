@@ -5,62 +5,80 @@ window over a counterparty would put all its trades in one task.
 """
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.money import exact_sum, micros, overflow, to_amount
 from tradeloom.functions.ordering import exclusive_prefix
-from tradeloom.functions.relations import attach, same_keys
-from tradeloom.functions.staging import settle
+from tradeloom.functions.relations import attach
+from tradeloom.functions.staging import settle, settle_all
 
 SLICE_ROWS = 1_000_000
 SLICE_DIGITS = 3
-SUMMARY_KEYS = ("counterparty_id", "product_id", "asset_class", "trade_date")
+GROUP_KEYS = ("counterparty_id", "product_id", "asset_class")
+MOMENT = ["counterparty_id", "trade_date"]
 
 
 def _side(side: str) -> Column:
     return F.when(F.upper("direction") == side, F.col("notional_usd")).otherwise(F.lit(0.0))
 
 
-def exposure_summary(df: DataFrame) -> DataFrame:
-    """One narrow pass over the trades that all totals below are derived from."""
-    amounts = {"usd": F.col("notional_usd")}
-    if "direction" in df.columns:
-        amounts.update(buy=_side("BUY"), sell=_side("SELL"))
+def _sums(df: DataFrame, keys: Sequence[str], amounts: dict[str, Column]) -> DataFrame:
+    """Rows, amounts and exact partial sums per group."""
     measures = [F.count("*").alias("trades"), F.count("notional_usd").alias("amounts")]
     for name, amount in amounts.items():
         measures.append(F.sum(micros(amount)).alias(f"{name}_micros"))
         measures.append(F.sum(overflow(amount)).alias(f"{name}_overflow"))
-    keys = [k for k in SUMMARY_KEYS if k in df.columns]
-    return settle(df.groupBy(*keys).agg(*measures), "summary")
+    return df.groupBy(*keys).agg(*measures)
+
+
+@dataclass
+class Summary:
+    """Written partial sums that all totals are derived from."""
+
+    groups: DataFrame
+    moments: DataFrame
+
+
+def exposure_summary(df: DataFrame) -> Summary:
+    """Sums per counterparty, product and class, and per counterparty and date."""
+    usd = {"usd": F.col("notional_usd")}
+    sides = {"buy": _side("BUY"), "sell": _side("SELL")} if "direction" in df.columns else {}
+    keys = [k for k in GROUP_KEYS if k in df.columns]
+    return Summary(
+        *settle_all(groups=_sums(df, keys, {**usd, **sides}), moments=_sums(df, MOMENT, usd))
+    )
 
 
 def _total(name: str) -> Column:
     return to_amount(F.sum(f"{name}_micros"), F.sum(f"{name}_overflow"))
 
 
-def exposure_rollup(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+def exposure_rollup(df: DataFrame, summary: Summary | None = None) -> DataFrame:
     """Add counterparty totals, counts, running totals and asset-class totals."""
     if not {"notional_usd", "counterparty_id", "trade_date"} <= set(df.columns):
         return df
-    summary = exposure_summary(df) if summary is None else summary
-    totals = summary.groupBy("counterparty_id").agg(
-        _total("usd").alias("cpty_total_notional_usd"),
-        F.sum("trades").alias("cpty_trade_count"),
-    )
-    out = attach(running_exposure(df, summary), totals, ["counterparty_id"])
+    summary = summary or exposure_summary(df)
+    totals = {
+        "counterparty_id": [
+            _total("usd").alias("cpty_total_notional_usd"),
+            F.sum("trades").alias("cpty_trade_count"),
+        ]
+    }
     if "asset_class" in df.columns:
-        by_class = summary.groupBy("asset_class").agg(
-            _total("usd").alias("asset_class_exposure_usd")
-        )
-        out = attach(out, by_class, ["asset_class"])
+        totals["asset_class"] = [_total("usd").alias("asset_class_exposure_usd")]
+    written = settle_all(**{k: summary.groups.groupBy(k).agg(*v) for k, v in totals.items()})
+    out = running_exposure(df, summary)
+    for key, table in zip(totals, written):
+        out = attach(out, table, [key])
     return out
 
 
 def running_exposure(
     df: DataFrame,
-    summary: DataFrame | None = None,
+    summary: Summary | None = None,
     tie_break: Sequence[str] = ("trade_id",),
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
@@ -72,34 +90,28 @@ def running_exposure(
     date are sorted together. A date with more than ``slice_rows`` rows is cut
     further by leading MD5 digits, which follow the same order.
     """
-    summary = exposure_summary(df) if summary is None else summary
-    moment = ["counterparty_id", "trade_date"]
-    measures = ["micros", "overflow", "amounts"]
-    moments = settle(
-        summary.groupBy(*moment).agg(
-            F.sum("usd_micros").alias("micros"),
-            F.sum("usd_overflow").alias("overflow"),
-            F.sum("amounts").alias("amounts"),
-            F.sum("trades").alias("trades"),
-        ),
-        "moments",
-    )
-    levelled = moments.withColumns(
-        {"_day": F.to_date("trade_date"), "_second": F.date_trunc("second", "trade_date")}
+    summary = summary or exposure_summary(df)
+    measures = ["usd_micros", "usd_overflow", "amounts"]
+    size = summary.moments.agg(
+        F.count("*").alias("moments"), F.coalesce(F.max("trades"), F.lit(0)).alias("most")
+    ).first()
+    levels = ["trade_date"]
+    levelled = summary.moments
+    if size["moments"] > slice_rows:
+        levels = ["_day", "_second", "trade_date"]
+        levelled = levelled.withColumns(
+            {"_day": F.to_date("trade_date"), "_second": F.date_trunc("second", "trade_date")}
+        )
+    before = exclusive_prefix(levelled, ["counterparty_id"], levels, measures).select(
+        *MOMENT, F.col("trades").alias("_trades"), *[f"_before_{m}" for m in measures]
     )
-    before = exclusive_prefix(
-        levelled, ["counterparty_id"], ["_day", "_second", "trade_date"], measures
-    ).select(*moment, "trades", *[f"_before_{m}" for m in measures])
 
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in tie_break]
-    rows = attach(
-        df.withColumn("_spread", F.md5(F.concat_ws("|", *texts))),
-        before.withColumnRenamed("trades", "_trades"),
-        moment,
-    )
-    cell = list(moment)
-    if not moments.where(F.col("trades") > slice_rows).isEmpty():
-        rows = _add_slices(rows, moment, measures, slice_rows)
+    spread = df.withColumn("_spread", F.md5(F.concat_ws("|", *texts)))
+    rows = attach(spread, settle(before, "before"), MOMENT)
+    cell = list(MOMENT)
+    if size["most"] > slice_rows:
+        rows = _add_slices(rows, measures, slice_rows)
         cell.append("_slice")
     window = (
         Window.partitionBy(*cell)
@@ -115,8 +127,8 @@ def running_exposure(
         }
     )
     running = to_amount(
-        F.col("_before_micros") + F.coalesce("_micros", F.lit(0)),
-        F.col("_before_overflow") + F.coalesce("_overflow", F.lit(0.0)),
+        F.col("_before_usd_micros") + F.coalesce("_micros", F.lit(0)),
+        F.col("_before_usd_overflow") + F.coalesce("_overflow", F.lit(0.0)),
     )
     return summed.withColumn(
         "running_notional_usd",
@@ -124,33 +136,20 @@ def running_exposure(
     ).select(*df.columns, "running_notional_usd")
 
 
-def _add_slices(
-    rows: DataFrame, moment: list[str], measures: list[str], slice_rows: int
-) -> DataFrame:
+def _add_slices(rows: DataFrame, measures: list[str], slice_rows: int) -> DataFrame:
     """Cut crowded (counterparty, date) groups by MD5 digits and add their prefixes."""
-    digits = F.substring("_spread", 1, SLICE_DIGITS)
+    crowded = F.col("_trades") > slice_rows
     rows = rows.withColumn(
-        "_slice", F.when(F.col("_trades") > slice_rows, digits).otherwise(F.lit(""))
-    )
-    amount = F.col("notional_usd")
-    sums = (
-        rows.where(F.col("_trades") > slice_rows)
-        .groupBy(*moment, "_slice")
-        .agg(
-            F.sum(micros(amount)).alias("micros"),
-            F.sum(overflow(amount)).alias("overflow"),
-            F.count(amount).alias("amounts"),
-        )
-    )
-    keys = [*moment, "_slice"]
-    inner = exclusive_prefix(sums, moment, ["_slice"], measures).select(
-        *[F.col(k).alias(f"_s_{k}") for k in keys],
-        *[F.col(f"_before_{m}").alias(f"_s_before_{m}") for m in measures],
+        "_slice", F.when(crowded, F.substring("_spread", 1, SLICE_DIGITS)).otherwise(F.lit(""))
     )
-    joined = rows.join(settle(inner, "slices"), same_keys({k: f"_s_{k}" for k in keys}), "left")
+    keys = [*MOMENT, "_slice"]
+    sums = _sums(rows.where(crowded), keys, {"usd": F.col("notional_usd")})
+    inner = exclusive_prefix(sums, MOMENT, ["_slice"], measures)
+    inside = {m: F.col(f"_before_{m}").alias(f"_inside_{m}") for m in measures}
+    joined = attach(rows, settle(inner.select(*keys, *inside.values()), "slices"), keys)
     return joined.withColumns(
         {
-            f"_before_{m}": F.col(f"_before_{m}") + F.coalesce(f"_s_before_{m}", F.lit(0))
+            f"_before_{m}": F.col(f"_before_{m}") + F.coalesce(f"_inside_{m}", F.lit(0))
             for m in measures
         }
     )
@@ -165,15 +164,15 @@ def position_net(df: DataFrame) -> DataFrame:
     )
 
 
-def position_net_rows(df: DataFrame, summary: DataFrame | None = None) -> DataFrame:
+def position_net_rows(df: DataFrame, summary: Summary | None = None) -> DataFrame:
     """Add the net position of the trade's counterparty and product to each row."""
     if not {"notional_usd", "direction", "counterparty_id", "product_id"} <= set(df.columns):
         return df
-    summary = exposure_summary(df) if summary is None else summary
+    summary = summary or exposure_summary(df)
     pair = ["counterparty_id", "product_id"]
-    net = summary.groupBy(*pair).agg(
+    net = summary.groups.groupBy(*pair).agg(
         _total("buy").alias("buy_notional_usd"),
         _total("sell").alias("sell_notional_usd"),
         (_total("buy") - _total("sell")).alias("net_notional_usd"),
     )
-    return attach(df, net, pair)
+    return attach(df, settle(net, "net"), pair)

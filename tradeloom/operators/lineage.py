@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import DEFAULT_COLOUR, LAYER_COLOURS, LAYER_ORDER
-from tradeloom.functions.staging import settle
+from tradeloom.functions.staging import scratch_path, settle
 
 EDGE_SCHEMA = (
     "batch_id string, source string, target string, transform string, stage string, "
     "ts timestamp, metadata string"
 )
 EDGE_ATTRIBUTES = ["transform", "stage", "batch_id", "metadata"]
-SETTLE_EVERY = 16
 BASE_IRI = "http://example.org/lineage/"
 
 
@@ -64,29 +63,29 @@ def descendants(edges: DataFrame, node: str) -> DataFrame:
 def _reach(links: DataFrame, start: str) -> DataFrame:
     """Breadth-first search over (a, b) links, one written frontier per level.
 
-    A node is expanded once, so cycles end and diamonds do not multiply. The
-    frontier's written size decides whether a level joins by broadcast.
+    A node is expanded once, so cycles end and diamonds do not multiply. Levels
+    are folders of one table; the written size of a frontier decides whether it
+    is joined by broadcast.
     """
     spark = links.sparkSession
     links = settle(links.distinct(), "links")
-    frontier = spark.createDataFrame([(start, 0)], "node string, dist int")
-    seen = frontier
+    root = scratch_path(spark, "levels")
+    first = spark.createDataFrame([(start,)], "node string")
+    first.write.parquet(f"{root}/dist=0")
     level = 0
     while True:
+        seen = spark.read.schema("node string, dist int").parquet(root)
+        frontier = spark.read.schema("node string").parquet(f"{root}/dist={level}")
+        if frontier.isEmpty():
+            return seen.where("dist > 0")
         level += 1
         step = (
-            links.join(frontier.select(F.col("node").alias("a")), "a")
+            links.join(frontier.select(F.col("node").alias("a")), "a", "left_semi")
             .select(F.col("b").alias("node"))
             .distinct()
             .join(seen, "node", "left_anti")
-            .select("node", F.lit(level).alias("dist"))
         )
-        frontier = settle(step, "frontier")
-        if frontier.isEmpty():
-            return seen.where("dist > 0")
-        seen = seen.unionByName(frontier)
-        if level % SETTLE_EVERY == 0:
-            seen = settle(seen, "seen")
+        step.write.parquet(f"{root}/dist={level}")
 
 
 def shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
@@ -96,13 +95,19 @@ def shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
     """
     spark = edges.sparkSession
     links = settle(edges.select("source", "target").distinct(), "links")
-    frontier = spark.createDataFrame([(source, [source])], "node string, path array<string>")
-    seen = frontier.select("node")
-    level = 0
     if source == target:
         known = nodes(links).where(F.col("node") == source)
         return known.select(F.lit(0).alias("position"), "node")
+    root = scratch_path(spark, "paths")
+    first = spark.createDataFrame([(source, [source])], "node string, path array<string>")
+    first.write.parquet(f"{root}/dist=0")
+    level = 0
     while True:
+        seen = spark.read.schema("node string, dist int").parquet(root)
+        frontier = spark.read.schema("node string, path array<string>").parquet(f"{root}/dist={level}")
+        found = frontier.where(F.col("node") == target)
+        if frontier.isEmpty() or not found.isEmpty():
+            return found.select(F.posexplode("path").alias("position", "node"))
         level += 1
         step = (
             links.join(frontier, F.col("source") == F.col("node"))
@@ -111,13 +116,7 @@ def shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
             .agg(F.min("path").alias("path"))
             .join(seen, "node", "left_anti")
         )
-        frontier = settle(step, "paths")
-        found = frontier.where(F.col("node") == target)
-        if frontier.isEmpty() or not found.isEmpty():
-            return found.select(F.posexplode("path").alias("position", "node"))
-        seen = seen.unionByName(frontier.select("node"))
-        if level % SETTLE_EVERY == 0:
-            seen = settle(seen, "seen")
+        step.write.parquet(f"{root}/dist={level}")
 
 
 # --- one-hop questions -------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import RULES, TRADES_CSV_SCHEMA
 from tradeloom.functions.ordering import number_rows
-from tradeloom.functions.staging import scratch_path, settle
+from tradeloom.functions.staging import at_once, scratch_path, settle
 from tradeloom.operators import clean, deadletter, enrich, exposure, lineage, quality, star
 from tradeloom.plans import observability, pipeline
 from tradeloom.sources import files
@@ -47,19 +47,19 @@ def query(function: Query) -> Query:
 # --- shared frames -----------------------------------------------------------
 
 def _cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(pipeline.clean_stage(raw_trades(spark, folder), CONFIG)[2], "cleaned")
+    return settle(pipeline.clean_stage(raw_trades(spark, folder), CONFIG), "cleaned")
 
 
 def _attributes(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.attribute_stage(_cleaned(spark, folder))
 
 
-def _dims(trades: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _dims(trades: DataFrame) -> list[DataFrame]:
     """Product, counterparty and date dimensions as stored tables."""
-    return (
-        settle(star.dim_product(trades), "dim_product"),
-        settle(star.dim_counterparty(trades), "dim_counterparty"),
-        settle(star.dim_date(trades), "dim_date"),
+    return at_once(
+        lambda: settle(star.dim_product(trades), "dim_product"),
+        lambda: settle(star.dim_counterparty(trades), "dim_counterparty"),
+        lambda: settle(star.dim_date(trades), "dim_date"),
     )
 
 
@@ -152,13 +152,13 @@ def type_cast_rejects(spark, folder):
 
 @query
 def dedup(spark, folder):
-    return pipeline.clean_stage(raw_trades(spark, folder), CONFIG)[2]
+    return pipeline.clean_stage(raw_trades(spark, folder), CONFIG)
 
 
 @query
 def dedup_rejects(spark, folder):
-    typed, _, kept = pipeline.clean_stage(raw_trades(spark, folder), CONFIG)
-    return clean.dedup_rejects(typed, kept)
+    typed, _ = pipeline.typed_stage(raw_trades(spark, folder))
+    return clean.dedup_split(typed, **pipeline.dedup_options(CONFIG))[1]
 
 
 @query
@@ -186,7 +186,7 @@ def batch_counts(spark, folder):
 
 @query
 def fx_convert(spark, folder):
-    rows = enrich.fx_convert(pipeline.clean_stage(raw_trades(spark, folder), CONFIG)[2])
+    rows = enrich.fx_convert(pipeline.clean_stage(raw_trades(spark, folder), CONFIG))
     return rows.select("trade_id", "currency", "notional", "fx_rate_to_usd", "notional_usd", "notional_eur")
 
 
@@ -223,7 +223,7 @@ def running_exposure(spark, folder):
 
 @query
 def position_net(spark, folder):
-    rows = enrich.fx_convert(pipeline.clean_stage(raw_trades(spark, folder), CONFIG)[2])
+    rows = enrich.fx_convert(pipeline.clean_stage(raw_trades(spark, folder), CONFIG))
     return exposure.position_net(rows)
 
 
@@ -239,7 +239,7 @@ def position_net_rows(spark, folder):
 
 @query
 def surrogate_keys(spark, folder):
-    rows = pipeline.clean_stage(raw_trades(spark, folder), CONFIG)[2]
+    rows = pipeline.clean_stage(raw_trades(spark, folder), CONFIG)
     return number_rows(rows.select("trade_id"), ["trade_id"], "trade_key")
 
 
@@ -441,9 +441,9 @@ def dq_scorecard(spark, folder):
 # --- dead letters ------------------------------------------------------------
 
 def _dead_letters(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Cast failures and duplicates, tagged, and the schema-carrying typed rows."""
-    typed, failed, kept = pipeline.clean_stage(raw_trades(spark, folder), CONFIG)
-    duplicates = clean.dedup_rejects(typed, kept)
+    """Cast failures and duplicates."""
+    typed, failed = pipeline.typed_stage(raw_trades(spark, folder))
+    duplicates = clean.dedup_split(typed, **pipeline.dedup_options(CONFIG))[1]
     return failed.drop("_failed_columns"), duplicates
 
 
@@ -512,9 +512,8 @@ def dlq_route_keys(spark, folder):
 def stage_counts(spark, folder):
     """Records in, out and dead per trade month and stage."""
     raw = raw_trades(spark, folder)
-    typed, failed, _ = pipeline.clean_stage(raw, CONFIG)
-    cleaned = _cleaned(spark, folder)
-    duplicates = clean.dedup_rejects(typed, cleaned)
+    typed, failed = pipeline.typed_stage(raw)
+    cleaned, duplicates = clean.dedup_split(typed, **pipeline.dedup_options(CONFIG))
     valid, rejects = star.split_by_constraints(cleaned)
     raw, failed, cleaned, duplicates, rejects = (
         _with_batch(df).select("batch_id") for df in (raw, failed, cleaned, duplicates, rejects)

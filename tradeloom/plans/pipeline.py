@@ -6,7 +6,7 @@ repeated task cannot change them.
 """
 
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import RULES
-from tradeloom.functions.staging import settle
+from tradeloom.functions.staging import at_once, settle
 from tradeloom.operators import clean, deadletter, enrich, exposure, lineage, quality, star
 from tradeloom.plans import observability
 
@@ -26,23 +26,26 @@ PIPELINE_NAME = "daily_trade_pipeline"
 
 # --- stages as DataFrame functions -------------------------------------------
 
-def clean_stage(
-    raw: DataFrame, config: Mapping | None = None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(typed rows, rows that failed a cast, typed rows without duplicates)."""
+def typed_stage(raw: DataFrame, config: Mapping | None = None) -> tuple[DataFrame, DataFrame]:
+    """(filled and cast rows, rows that failed a cast)."""
     config = config or {}
-    typed, failed = clean.type_cast(
-        clean.null_fill(raw, config.get("null_fill")), config.get("type_cast")
-    )
-    options = config.get("dedup", {})
-    kept = clean.dedup(
-        typed,
-        keys=options.get("key_cols", ["trade_id"]),
-        order_col=options.get("order_col", "trade_date"),
-        ascending=options.get("order_asc", False),
-        tie_break=options.get("tie_break", ()),
-    )
-    return typed, failed, kept
+    filled = clean.null_fill(raw, config.get("null_fill"))
+    return clean.type_cast(filled, config.get("type_cast"))
+
+
+def dedup_options(config: Mapping | None) -> dict:
+    options = (config or {}).get("dedup", {})
+    return {
+        "keys": options.get("key_cols", ["trade_id"]),
+        "order_col": options.get("order_col", "trade_date"),
+        "ascending": options.get("order_asc", False),
+        "tie_break": options.get("tie_break", ()),
+    }
+
+
+def clean_stage(raw: DataFrame, config: Mapping | None = None) -> DataFrame:
+    """Filled and cast rows without duplicates."""
+    return clean.dedup(typed_stage(raw, config)[0], **dedup_options(config))
 
 
 def attribute_stage(cleaned: DataFrame, config: Mapping | None = None) -> DataFrame:
@@ -167,12 +170,13 @@ def _ingest(raw: DataFrame, tables: Tables, run: Run, config: Mapping) -> tuple[
 
 
 def _clean(raw: DataFrame, tables: Tables, run: Run, config: Mapping) -> tuple[DataFrame, int]:
-    typed, failed, kept = clean_stage(raw, config)
-    kept = settle(kept, "cleaned")
+    typed, failed = typed_stage(raw, config)
+    rejects, (kept, duplicates) = at_once(
+        lambda: settle(failed, "cast_rejects"),
+        lambda: clean.dedup_split(typed, **dedup_options(config)),
+    )
     path = tables.path("dead_letters")
-    rejects = settle(failed, "cast_rejects")
     deadletter.write(rejects, path, "type_cast_failure", run.batch_id, "TypeCast")
-    duplicates = settle(clean.dedup_rejects(typed, kept), "duplicates")
     deadletter.write(duplicates, path, "duplicate_trade_id", run.batch_id, "Dedup")
     return kept, rejects.count() + duplicates.count()
 
@@ -236,17 +240,18 @@ def load_star(
         "constraint_violation", batch_id, "WriteStarSchema",
     )
     stamps = {"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()}
-    for name, build in (
-        ("dim_product", star.dim_product),
-        ("dim_counterparty", star.dim_counterparty),
-        ("dim_date", star.dim_date),
-    ):
-        members = build(enriched, tables.read(spark, name))
-        if name != "dim_date":
-            members = members.withColumns(stamps)
+
+    def add_members(name: str, build: Callable, extra: dict) -> None:
+        members = build(enriched, tables.read(spark, name)).withColumns(extra)
         # settled first: the table it is compared with is the one it is added to
         settle(members, name).write.mode("append").parquet(tables.path(name))
 
+    at_once(
+        lambda: add_members("dim_product", star.dim_product, stamps),
+        lambda: add_members("dim_counterparty", star.dim_counterparty, stamps),
+        lambda: add_members("dim_date", star.dim_date, {}),
+    )
+
     stored = tables.read(spark, "fact_trades")
     current = current_facts(spark, tables)
     start = 0 if stored is None else stored.agg(F.max("trade_key")).first()[0] or 0

@@ -33,10 +33,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give an input with fewer splits than cores one partition per core.
+
+    A table that already has enough splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_trades(spark: SparkSession, folder: str) -> DataFrame:
     """The uncleaned trades, with every fault the cleaning steps deal with."""
     return spark.sql(
         RAW_TRADES_SQL,
-        lineitem=table(spark, folder, "lineitem"),
+        lineitem=spread(table(spark, folder, "lineitem"), "l_orderkey"),
         orders=table(spark, folder, "orders"),
     )
