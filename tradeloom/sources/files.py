@@ -1,5 +1,6 @@
 """Reading feeds and stored tables."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,27 +25,23 @@ def read_feed(
         raise ValueError(f"unsupported feed format: {path}")
     try:
         return getattr(reader, load)(path)
-    except Exception as error:
-        if getattr(error, "getCondition", lambda: None)() == "PATH_NOT_FOUND":
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from error
         raise
 
 
 def newest_feed(spark: SparkSession, folder: str, prefix: str = "trades_") -> str | None:
     """Path of the feed whose name sorts last; only file names are listed."""
-    names = (
-        spark.read.format("binaryFile")
-        .load(f"{folder}/{prefix}*.csv")
-        .select(F.regexp_extract("path", rf"({prefix}[^/]*\.csv)", 1).alias("name"))
-        .agg(F.max("name"))
-    )
+    name = F.regexp_extract("path", rf"({prefix}[^/]*\.csv)", 1)
     try:
-        name = names.first()[0]
-    except Exception as error:
-        if getattr(error, "getCondition", lambda: None)() == "PATH_NOT_FOUND":
+        listed = spark.read.format("binaryFile").load(f"{folder}/{prefix}*.csv")
+        newest = listed.select(name.alias("name")).agg(F.max("name")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return f"{folder}/{name}"
+    return f"{folder}/{newest}"
 
 
 def write_csv(df: DataFrame, path: str) -> None:
