@@ -5,6 +5,7 @@ Each query runs twice into a no-op sink; the second, warm time counts.
 
 import json
 import os
+import sys
 import time
 
 from pyspark.sql import SparkSession
@@ -41,6 +42,7 @@ def main() -> None:
             begin = time.perf_counter()
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - begin, 3)
+        print(name, times[name], file=sys.stderr, flush=True)
     print(
         json.dumps(
             {

@@ -15,16 +15,24 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach; a local one only for a local master."""
+    """This application's folder below ``spark.checkpoint.dir``.
+
+    Where that is unset, a local master gets a temporary folder; a cluster has
+    to name one. Nothing in it is needed once the application has ended.
+    """
+    application = spark.sparkContext.applicationId
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        return folder.rstrip("/")
+        return f"{folder.rstrip('/')}/{application}"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tradeloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="tradeloom-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -41,7 +49,11 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
 
 
 def at_once(*jobs: Callable) -> list:
-    """Run independent Spark jobs side by side and return their results in order."""
+    """Run independent Spark jobs side by side and return their results in order.
+
+    The jobs must write to different folders: the first to commit would remove
+    the other's unfinished files.
+    """
     with ThreadPoolExecutor(len(jobs)) as pool:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 

@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from tradeloom.functions.money import exact_sum, micros, overflow, to_amount
 from tradeloom.functions.ordering import exclusive_prefix
 from tradeloom.functions.relations import attach
-from tradeloom.functions.staging import settle, settle_all
+from tradeloom.functions.staging import at_once, settle, settle_all
 
 SLICE_ROWS = 1_000_000
 SLICE_DIGITS = 3
 GROUP_KEYS = ("counterparty_id", "product_id", "asset_class")
 MOMENT = ["counterparty_id", "trade_date"]
+PAIR = ["counterparty_id", "product_id"]
 
 
 def _side(side: str) -> Column:
@@ -69,8 +70,10 @@ def exposure_rollup(df: DataFrame, summary: Summary | None = None) -> DataFrame:
     }
     if "asset_class" in df.columns:
         totals["asset_class"] = [_total("usd").alias("asset_class_exposure_usd")]
-    written = settle_all(**{k: summary.groups.groupBy(k).agg(*v) for k, v in totals.items()})
-    out = running_exposure(df, summary)
+    out, *written = at_once(
+        lambda: running_exposure(df, summary),
+        *[lambda k=k: settle(summary.groups.groupBy(k).agg(*totals[k]), k) for k in totals],
+    )
     for key, table in zip(totals, written):
         out = attach(out, table, [key])
     return out
@@ -157,7 +160,7 @@ def _add_slices(rows: DataFrame, measures: list[str], slice_rows: int) -> DataFr
 
 def position_net(df: DataFrame) -> DataFrame:
     """Bought, sold and net USD notional per counterparty and product."""
-    return df.groupBy("counterparty_id", "product_id").agg(
+    return df.groupBy(*PAIR).agg(
         exact_sum(_side("BUY")).alias("buy_notional_usd"),
         exact_sum(_side("SELL")).alias("sell_notional_usd"),
         (exact_sum(_side("BUY")) - exact_sum(_side("SELL"))).alias("net_notional_usd"),
@@ -168,11 +171,21 @@ def position_net_rows(df: DataFrame, summary: Summary | None = None) -> DataFram
     """Add the net position of the trade's counterparty and product to each row."""
     if not {"notional_usd", "direction", "counterparty_id", "product_id"} <= set(df.columns):
         return df
-    summary = summary or exposure_summary(df)
-    pair = ["counterparty_id", "product_id"]
-    net = summary.groups.groupBy(*pair).agg(
+    return attach(df, net_totals(summary or exposure_summary(df)), PAIR)
+
+
+def net_totals(summary: Summary) -> DataFrame:
+    """``position_net`` from the written partial sums."""
+    net = summary.groups.groupBy(*PAIR).agg(
         _total("buy").alias("buy_notional_usd"),
         _total("sell").alias("sell_notional_usd"),
         (_total("buy") - _total("sell")).alias("net_notional_usd"),
     )
-    return attach(df, settle(net, "net"), pair)
+    return settle(net, "net")
+
+
+def exposures(df: DataFrame) -> DataFrame:
+    """``exposure_rollup`` and ``position_net_rows`` from one summary."""
+    summary = exposure_summary(df)
+    rolled, net = at_once(lambda: exposure_rollup(df, summary), lambda: net_totals(summary))
+    return attach(rolled, net, PAIR)

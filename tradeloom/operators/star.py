@@ -27,9 +27,15 @@ def _no_text(name: str) -> Column:
 # --- dimensions --------------------------------------------------------------
 
 def product_members(trades: DataFrame) -> DataFrame:
-    """One row per product with the attributes seen in its trades."""
+    """One row per product with the attributes seen in its trades.
+
+    Distinct attribute values are found first, by hash; the maxima of text,
+    which need sorted input, then run over those few rows only.
+    """
     return (
         trades.where(F.col("product_id").isNotNull())
+        .select("product_id", "asset_class", "currency", "exchange")
+        .distinct()
         .groupBy("product_id")
         .agg(
             F.coalesce(F.max("asset_class"), F.lit("UNKNOWN")).alias("asset_class"),
@@ -43,6 +49,8 @@ def counterparty_members(trades: DataFrame) -> DataFrame:
     """One row per counterparty; its id stands in for an unknown name."""
     return (
         trades.where(F.col("counterparty_id").isNotNull())
+        .select("counterparty_id", "legal_entity_name", "lei_code", "lei_country", "credit_rating")
+        .distinct()
         .groupBy("counterparty_id")
         .agg(
             F.coalesce(F.max("legal_entity_name"), F.col("counterparty_id")).alias("legal_entity_name"),
@@ -180,20 +188,24 @@ def split_by_constraints(trades: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def trade_keys(trades: DataFrame, start_key: int = 0) -> DataFrame:
+    """Keys of valid staged trades, counted by trade id after ``start_key``.
+
+    Trade ids must be unique, as ``clean.dedup`` leaves them. Only the ids are
+    sorted; ``fact_trades`` joins the keys to the rows.
+    """
+    return number_rows(trades.select("trade_id"), ["trade_id"], "trade_key", start_key)
+
+
 def fact_trades(
     trades: DataFrame,
+    keys: DataFrame,
     products: DataFrame,
     counterparties: DataFrame,
     batch_id: str,
     pipeline_name: str,
-    start_key: int = 0,
 ) -> DataFrame:
-    """Fact rows of valid staged trades, numbered by trade id after ``start_key``.
-
-    Trade ids must be unique, as ``clean.dedup`` leaves them. Only the ids are
-    sorted and numbered; the numbers come back by a join.
-    """
-    keys = number_rows(trades.select("trade_id"), ["trade_id"], "trade_key", start_key)
+    """Fact rows of valid staged trades."""
     return (
         resolve_keys(trades, products, counterparties)
         .join(keys, "trade_id")

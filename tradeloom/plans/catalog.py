@@ -54,20 +54,26 @@ def _attributes(spark: SparkSession, folder: str) -> DataFrame:
     return pipeline.attribute_stage(_cleaned(spark, folder))
 
 
-def _dims(trades: DataFrame) -> list[DataFrame]:
-    """Product, counterparty and date dimensions as stored tables."""
+def _dims(trades: DataFrame, *more: Callable) -> list[DataFrame]:
+    """Product, counterparty and date dimensions as stored tables, and further jobs."""
     return at_once(
         lambda: settle(star.dim_product(trades), "dim_product"),
         lambda: settle(star.dim_counterparty(trades), "dim_counterparty"),
         lambda: settle(star.dim_date(trades), "dim_date"),
+        *more,
     )
 
 
+def _enriched(spark: SparkSession, folder: str) -> DataFrame:
+    return settle(pipeline.enrich_stage(_cleaned(spark, folder)), "enriched")
+
+
 def _facts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    rows = settle(pipeline.enrich_stage(_cleaned(spark, folder)), "enriched")
-    products, counterparties, dates = _dims(rows)
+    rows = _enriched(spark, folder)
     valid, _ = star.split_by_constraints(rows)
-    return star.fact_trades(valid, products, counterparties, BATCH, PIPELINE), products, counterparties, dates
+    products, counterparties, dates, keys = _dims(rows, lambda: star.trade_keys(valid))
+    facts = star.fact_trades(valid, keys, products, counterparties, BATCH, PIPELINE)
+    return facts, products, counterparties, dates
 
 
 def _month_batch() -> Column:
@@ -297,13 +303,13 @@ def fact_trades(spark, folder):
 @query
 def fact_upsert(spark, folder):
     """All facts, then a second load of the trades from 1998 on."""
-    rows = settle(pipeline.enrich_stage(_cleaned(spark, folder)), "enriched")
-    products, counterparties, _ = _dims(rows)
+    rows = _enriched(spark, folder)
     valid, _ = star.split_by_constraints(rows)
-    first = settle(star.fact_trades(valid, products, counterparties, "b_1", PIPELINE), "facts")
+    products, counterparties, _, keys = _dims(rows, lambda: star.trade_keys(valid))
+    first = settle(star.fact_trades(valid, keys, products, counterparties, "b_1", PIPELINE), "facts")
     again = valid.where("trade_year >= 1998")
-    start = first.agg(F.max("trade_key")).first()[0]
-    second = star.fact_trades(again, products, counterparties, "b_2", PIPELINE, start)
+    keys = star.trade_keys(again, first.agg(F.max("trade_key")).first()[0])
+    second = star.fact_trades(again, keys, products, counterparties, "b_2", PIPELINE)
     return star.upsert_facts(first, second)
 
 

@@ -73,9 +73,7 @@ def attribute_stage(cleaned: DataFrame, config: Mapping | None = None) -> DataFr
 
 def enrich_stage(cleaned: DataFrame, config: Mapping | None = None) -> DataFrame:
     """All enrichment; group totals come from one summary of the cleaned trades."""
-    rows = attribute_stage(cleaned, config)
-    summary = exposure.exposure_summary(rows)
-    return exposure.position_net_rows(exposure.exposure_rollup(rows, summary), summary)
+    return exposure.exposures(attribute_stage(cleaned, config))
 
 
 # --- the written pipeline ----------------------------------------------------
@@ -142,20 +140,19 @@ def run_pipeline(
     run = Run(batch_id or new_batch_id(), pipeline_name, now)
     tables = Tables(root)
     steps = {"ingest": _ingest, "clean": _clean, "enrich": _enrich, "load": _load}
-    rows, failure, edge_steps = raw, None, []
+    rows, size, failure, edge_steps = raw, raw.count(), None, []
     for stage in [s for s in STAGES if s in stages]:
         begin = time.monotonic()
         try:
             out, dead = steps[stage](rows, tables, run, config or {})
             _checkpoint(out, CHECKPOINTS.get(stage), tables, run, rules)
-            counts = (rows.count(), out.count(), dead)
-            run.record(stage, "SUCCESS", counts, time.monotonic() - begin)
+            left = size if out is rows else out.count()
+            run.record(stage, "SUCCESS", (size, left, dead), time.monotonic() - begin)
             edge_steps.append(stage)
-            rows = out
+            rows, size = out, left
         except Exception as error:
             deadletter.write(rows, tables.path("dead_letters"), str(error), run.batch_id, stage)
-            counts = (rows.count(), 0, rows.count())
-            run.record(stage, "FAILED", counts, time.monotonic() - begin, str(error))
+            run.record(stage, "FAILED", (size, 0, size), time.monotonic() - begin, str(error))
             failure = error
             break
     _write_lineage(raw, edge_steps, tables, run, config or {})
@@ -176,6 +173,7 @@ def _clean(raw: DataFrame, tables: Tables, run: Run, config: Mapping) -> tuple[D
         lambda: clean.dedup_split(typed, **dedup_options(config)),
     )
     path = tables.path("dead_letters")
+    # one after the other: two jobs must not commit to the same folder at once
     deadletter.write(rejects, path, "type_cast_failure", run.batch_id, "TypeCast")
     deadletter.write(duplicates, path, "duplicate_trade_id", run.batch_id, "Dedup")
     return kept, rejects.count() + duplicates.count()
@@ -199,13 +197,15 @@ def _checkpoint(
         return
     begin = time.monotonic()
     found = quality.violations(df, chosen, run.batch_id)
-    tables.append(found, "dq_violations", ("batch_id", "stage"))
     scores = quality.checkpoint_scores(quality.rule_counts(df, chosen)).select(
         F.lit(run.batch_id).alias("batch_id"), "*",
         F.lit(time.monotonic() - begin).alias("duration_sec"),
         F.current_timestamp().alias("recorded_at"),
     )
-    tables.append(scores, "dq_scores")
+    at_once(
+        lambda: tables.append(found, "dq_violations", ("batch_id", "stage")),
+        lambda: tables.append(scores, "dq_scores"),
+    )
 
 
 def _write_lineage(
@@ -234,11 +234,8 @@ def load_star(
     """
     spark = enriched.sparkSession
     valid, rejects = star.split_by_constraints(enriched)
-    rejects = settle(rejects, "constraint_rejects")
-    deadletter.write(
-        rejects.drop("constraint_reason"), tables.path("dead_letters"),
-        "constraint_violation", batch_id, "WriteStarSchema",
-    )
+    stored = tables.read(spark, "fact_trades")
+    start = 0 if stored is None else stored.agg(F.max("trade_key")).first()[0] or 0
     stamps = {"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()}
 
     def add_members(name: str, build: Callable, extra: dict) -> None:
@@ -246,20 +243,23 @@ def load_star(
         # settled first: the table it is compared with is the one it is added to
         settle(members, name).write.mode("append").parquet(tables.path(name))
 
-    at_once(
+    def bury_rejects() -> int:
+        path = tables.path("dead_letters")
+        written = settle(rejects.drop("constraint_reason"), "constraint_rejects")
+        deadletter.write(written, path, "constraint_violation", batch_id, "WriteStarSchema")
+        return written.count()
+
+    rejected, keys, *_ = at_once(
+        bury_rejects,
+        lambda: star.trade_keys(valid, start),
         lambda: add_members("dim_product", star.dim_product, stamps),
         lambda: add_members("dim_counterparty", star.dim_counterparty, stamps),
         lambda: add_members("dim_date", star.dim_date, {}),
     )
-
-    stored = tables.read(spark, "fact_trades")
     current = current_facts(spark, tables)
-    start = 0 if stored is None else stored.agg(F.max("trade_key")).first()[0] or 0
     staged = star.fact_trades(
-        valid,
-        tables.read(spark, "dim_product"),
-        tables.read(spark, "dim_counterparty"),
-        batch_id, pipeline_name, start,
+        valid, keys, tables.read(spark, "dim_product"), tables.read(spark, "dim_counterparty"),
+        batch_id, pipeline_name,
     ).withColumns(
         {"loaded_at": F.current_timestamp(), "dq_score_at_load": F.lit(None).cast("double")}
     )
@@ -275,7 +275,7 @@ def load_star(
     tables.append(staged.withColumn("load_id", F.lit(load_id)), "fact_trades", ("load_id",))
     commit = spark.createDataFrame([(load_id, batch_id)], "load_id int, batch_id string")
     commit.write.mode("append").parquet(tables.path("fact_loads"))
-    return rejects.count()
+    return rejected
 
 
 def _max_load(spark: SparkSession, tables: Tables) -> int | None:
