@@ -216,12 +216,17 @@ def compile_rules(
     joined, lookups = _with_lookups(df, rules, tables or {})
     checks = []
     with _lenient(df.sparkSession):
-        for rule in rules:
+        for i, rule in enumerate(rules):
             if rule["name"] in lookups:
                 value = F.col(rule["field"]).cast("string")
                 checks.append(Check(rule, lookups[rule["name"]], value))
-            else:
-                checks.append(_compile(df, rule))
+                continue
+            check = _compile(df, rule)
+            if rule["type"] == "cross_field" and not check.skipped:
+                # adding the column analyses the user's expression while casts are lenient
+                joined = joined.withColumn(f"_broken_{i}", check.broken)
+                check = replace(check, broken=F.col(f"_broken_{i}"))
+            checks.append(check)
     return joined, checks
 
 
