@@ -1,9 +1,10 @@
 """One query per operator, over whole tables, and SQL where it can express the result."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import exact, quality, repetition
+from tradeloom.llm import exact, packing, quality, repetition, tokenfile
 from tradeloom.llm.text import table
 
 
@@ -12,6 +13,14 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op4_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_repetition_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, folder))
 
@@ -22,6 +31,8 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_vector_packing": op4_vector_packing,
+    "op6_token_file": op6_token_file,
     "op7_repetition_rules": op7_repetition_rules,
     "op9_quality_classifier": op9_quality_classifier,
 }
