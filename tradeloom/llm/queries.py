@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import exact, packing, quality, repetition, tokenfile
+from tradeloom.llm import exact, langid, lm, packing, quality, repetition, tokenfile
 from tradeloom.llm.text import table
 
 
@@ -17,6 +17,10 @@ def op4_vector_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.languages(table(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, folder), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -25,6 +29,11 @@ def op7_repetition_rules(spark: SparkSession, folder: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, folder))
 
 
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").filter("quality = 1").select("doc_id")
+    return lm.cross_entropy_difference(table(spark, folder), good)
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder), table(spark, folder, "labels"))
 
@@ -32,8 +41,10 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_vector_packing": op4_vector_packing,
+    "op5_language_id": op5_language_id,
     "op6_token_file": op6_token_file,
     "op7_repetition_rules": op7_repetition_rules,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_classifier": op9_quality_classifier,
 }
 
