@@ -4,10 +4,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import exact, langid, lm, packing, quality, repetition, tokenfile
+from tradeloom.llm import exact, langid, lm, minhash, packing, quality, repetition, tokenfile
 from tradeloom.llm.text import table
 
 
+def op2_minmax_hash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact.decide(table(spark, folder))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -39,6 +43,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_minmax_hash_dedup": op2_minmax_hash_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_vector_packing": op4_vector_packing,
     "op5_language_id": op5_language_id,
@@ -49,6 +54,28 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_minmax_hash_dedup": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents),
+        shingle AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+            FROM worded),
+        size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+        pair AS (
+            SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common
+            FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        link AS (
+            SELECT u, v FROM pair JOIN size a ON a.doc_id = u JOIN size b ON b.doc_id = v
+            WHERE 100 * common >= 75 * (a.n + b.n - common)),
+        reach AS (
+            SELECT doc_id AS u, doc_id AS v FROM documents
+            UNION SELECT reach.u, link.v FROM reach JOIN link ON reach.v = link.u)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, c AS component_id, doc_id = c AS kept
+        FROM (SELECT u AS doc_id, min(v) AS c FROM reach GROUP BY u) LEFT JOIN size USING (doc_id)""",
     "op3_exact_dedup": """
         WITH plain AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''),
