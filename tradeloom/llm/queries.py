@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import exact, langid, lm, minhash, packing, quality, repetition, tokenfile
+from tradeloom.llm import exact, langid, lm, minhash, packing, quality, repetition, suffix, tokenfile
 from tradeloom.llm.text import table
 
 
@@ -42,6 +42,11 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(table(spark, folder), table(spark, folder, "labels"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix.remove_repeats(table(spark, folder))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op2_minmax_hash_dedup": op2_minmax_hash_dedup,
     "op3_exact_dedup": op3_exact_dedup,
@@ -51,6 +56,7 @@ QUERIES = {
     "op7_repetition_rules": op7_repetition_rules,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLE = {
@@ -84,4 +90,28 @@ ORACLE = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
             doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM plain WINDOW g AS (PARTITION BY text_sha256)""",
+    "op10_suffix_array_dedup": """
+        WITH body AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        win AS (
+            SELECT doc_id, unnest(range(1, octet_length(b) - 48)) AS p,
+                unnest(list_transform(range(1, octet_length(b) - 48), lambda i: substr(x, 2 * i - 1, 100))) AS w
+            FROM body),
+        least AS (SELECT w, min(doc_id) AS d FROM win GROUP BY w),
+        hit AS (SELECT doc_id, p FROM win JOIN least USING (w) WHERE d < doc_id),
+        island AS (
+            SELECT *, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50, true) AS starts FROM hit),
+        span AS (
+            SELECT doc_id, min(p) AS first, max(p) + 49 AS last
+            FROM (SELECT doc_id, p, count(*) FILTER (starts) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM island)
+            GROUP BY doc_id, k),
+        gap AS (
+            SELECT doc_id, first, last, coalesce(lag(last) OVER (PARTITION BY doc_id ORDER BY first), 0) AS before FROM span),
+        gone AS (
+            SELECT doc_id, sum(last - first + 1) AS r, count(*) AS s, max(last) AS rest,
+                list({'a': before, 'z': first} ORDER BY first) AS cuts
+            FROM gap GROUP BY doc_id)
+        SELECT doc_id, octet_length(b) AS n_bytes, coalesce(r, 0)::BIGINT AS n_removed, coalesce(s, 0) AS n_spans,
+            sha256(unhex(coalesce(array_to_string(list_transform(cuts, lambda c: substr(x, 2 * c.a + 1, 2 * (c.z - 1 - c.a))), ''), '')
+                || substr(x, 2 * coalesce(rest, 0) + 1))) AS kept_sha256
+        FROM body LEFT JOIN gone USING (doc_id)""",
 }
