@@ -1,9 +1,10 @@
 """The corpus pipeline: from raw documents to packed sequences."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.functions.staging import scratch_path
-from tradeloom.llm import exact, quality
+from tradeloom.llm import exact, minhash, packing, quality, suffix
 from tradeloom.llm.text import table
 
 
@@ -17,7 +18,28 @@ def exact_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return exact.deduplicate(docs)
 
 
-STAGES = [("quality_classifier", quality_stage), ("exact_dedup", exact_stage)]
+def near_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return minhash.deduplicate(docs)
+
+
+def passage_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, without passages that a document with a smaller id has."""
+    return suffix.deduplicate(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("quality_classifier", quality_stage),
+    ("exact_dedup", exact_stage),
+    ("near_dedup", near_stage),
+    ("suffix_array_dedup", passage_stage),
+    ("packing", packing_stage),
+]
 
 #: The classifier, hashing and packing cannot be written in SQL; tests hold the stages against plain versions.
 ORACLE_SQL = None

@@ -4,10 +4,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import exact, langid, lm, minhash, packing, quality, repetition, suffix, tokenfile
+from tradeloom.llm import bpe, exact, langid, lm, minhash, packing, quality, repetition, suffix, tokenfile
 from tradeloom.llm.text import table
 
 
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(table(spark, folder), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op2_minmax_hash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder))
 
@@ -48,6 +52,7 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_bpe": op1_bpe,
     "op2_minmax_hash_dedup": op2_minmax_hash_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_vector_packing": op4_vector_packing,
