@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.staging import settle
 from tradeloom.llm.components import components
-from tradeloom.llm.text import in_arrow, texts
+from tradeloom.llm.text import fresh, in_arrow, texts
 
 NO_ID = -(2**63)
 WORDS = 5
@@ -263,6 +263,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, least: float = 0.6) -> D
 
 
 def deduplicate(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` that stay (one of each group), with all their columns."""
-    gone = near_duplicates(docs, percent).filter("not kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__gone")).distinct()
-    return docs.join(gone, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` that stay (one document of each group), with all their columns."""
+    name = fresh(docs, "gone")
+    gone = near_duplicates(docs, percent).filter("not kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias(name)).distinct()
+    return docs.join(gone, F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID)) == gone[name], "left_anti")

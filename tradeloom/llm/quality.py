@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.text import in_arrow, remainder, texts
+from tradeloom.llm.text import fresh, in_arrow, remainder, texts
 
 N_OWN = 13
 N_ALL = 3 * N_OWN + 3
@@ -213,6 +213,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, b
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, bound: int = 6000) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, with all their columns."""
+    name = fresh(docs, "rejected")
     scores = quality_scores(docs, labels, threshold, bound)
-    rejected = scores.filter("predicted = 0").select(F.col("doc_id").alias("__rejected")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("__rejected")), "left_anti")
+    rejected = scores.filter("predicted = 0").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(rejected, docs["doc_id"].cast("long").eqNullSafe(rejected[name]), "left_anti")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.staging import settle
-from tradeloom.llm.text import in_arrow, texts
+from tradeloom.llm.text import fresh, in_arrow, quoted, texts
 
 NO_ID = -(2**63)
 WINDOW, ANCHOR = 50, 20
@@ -411,18 +411,17 @@ def deduplicate(docs: DataFrame, buckets: int | None = None) -> DataFrame:
 
     Bytes of a character that is cut in two are dropped. A null text stays null.
     """
+    doc, tag, found = (fresh(docs, name) for name in ("doc", "tag", "spans"))
     named = docs.select(
         "*",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("__doc"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(65535).cast("int").alias("__tag"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias(doc),
+        F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(65535).cast("int").alias(tag),
     )
-    spans = repeated_spans(identified(docs), buckets).select(
-        F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("spans").alias("__spans")
-    )
-    both = named.join(spans, ["__doc", "__tag"], "left")
+    spans = repeated_spans(identified(docs), buckets).toDF(doc, tag, found)
+    both = named.join(spans, [doc, tag], "left")
     shorten = F.arrow_udf(_shortened, "string")
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(shorten("text", "__spans"))
-    return both.withColumn("text", text).select(*[f"`{c}`" for c in docs.columns])
+    text = F.when(F.col(found).isNull(), F.col("text")).otherwise(shorten("text", found))
+    return both.withColumn("text", text).select(*quoted(docs))
 
 
 def _shortened(text, spans):

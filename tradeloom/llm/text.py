@@ -31,6 +31,19 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(df: DataFrame) -> list[str]:
+    """All columns of ``df``, for select."""
+    return ["`" + c.replace("`", "``") + "`" for c in df.columns]
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """A string column as UTF-8 bytes, nulls as empty."""
     column = batch.column(batch.schema.get_field_index(name)).cast(pa.binary())
