@@ -1,7 +1,8 @@
 """Exact deduplication as a stateful stream.
 
 The digests of all texts are streamed through keyed state on disk (RocksDB)
-that never expires. A key's state holds the digest, the id of the document
+that never expires: a running aggregate whose state is read when the stream has
+taken all rows. A key's state holds the digest, the id of the document
 that stays, a content locator and the number of rows. Every hit is then checked
 against the full text of the document that stays; rows that share a digest but
 not the text are grouped by the text itself.
@@ -14,12 +15,8 @@ result. Other columns, whatever their names, are not looked at.
 
 from collections.abc import Callable
 
-import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from tradeloom.functions.staging import scratch_path, settle
 from tradeloom.llm.text import lower_ascii, whole
@@ -27,7 +24,6 @@ from tradeloom.llm.text import lower_ascii, whole
 NO_ID = -(2**63)
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SEEN = "digest string, ranked long, row long, locator string, n_bytes long"
-STATE = "ranked long, row long, locator string, n_bytes long, group_size long"
 #: Rows of one group that are compared with one copy of its text.
 ROWS_PER_COPY = 1000
 
@@ -36,58 +32,34 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def _combine(batches):
-    """Of the rows of a batch with one digest, the largest id and their number."""
-    for batch in batches:
-        found = pa.Table.from_batches([batch])
-        order = pc.sort_indices(found, sort_keys=[("ranked", "ascending"), ("row", "ascending")])
-        found = found.take(order).append_column("group_size", pa.array([1] * len(found), pa.int64()))
-        found = found.group_by("digest", use_threads=False).aggregate(
-            [("ranked", "last"), ("row", "last"), ("locator", "last"), ("n_bytes", "last"), ("group_size", "sum")]
-        )
-        names = ["digest", "ranked", "row", "locator", "n_bytes", "group_size"]
-        by = ["digest"] + [f"{c}_last" for c in names[1:5]] + ["group_size_sum"]
-        for out in found.select(by).rename_columns(names).to_batches():
-            yield out
-
-
-def _update(key, frames, state):
-    best = state.get if state.exists else None
-    for frame in frames:
-        for row in frame[["ranked", "row", "locator", "n_bytes", "group_size"]].itertuples(index=False, name=None):
-            total = row[4] + (best[4] if best else 0)
-            best = (*(row if best is None or row[:2] > best[:2] else best)[:4], total)
-    state.update(best)
-    yield pd.DataFrame([(key[0], *best)], columns=["digest", "ranked", "row", "locator", "n_bytes", "group_size"])
-
-
 def stream_groups(seen_path: str, spark, files_per_batch: int = 1000) -> DataFrame:
-    """One row per digest from the stream over ``seen_path``: who stays, and how many rows."""
+    """One row per digest from the stream over ``seen_path``: who stays, and how many rows.
+
+    The running aggregate is the keyed state; it is read from its last checkpoint.
+    """
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
-    own.conf.set("spark.sql.session.timeZone", "UTC")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # Many small state stores: without this each sets aside 4 MB of disk.
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
-    out = scratch_path(spark, "dedup-updates")
+    state = scratch_path(spark, "dedup-state")
+    best = F.max(F.struct("ranked", "row", "locator", "n_bytes")).alias("best")
     (
         own.readStream.schema(SEEN)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(seen_path)
-        .mapInArrow(_combine, f"{SEEN}, group_size long")
         .groupBy("digest")
-        .applyInPandasWithState(
-            _update, f"digest string, {STATE}", STATE, "append", GroupStateTimeout.NoTimeout
-        )
-        .writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", scratch_path(spark, "dedup-state"))
-        .outputMode("append")
+        .agg(best, F.count(F.lit(1)).alias("group_size"))
+        .writeStream.format("noop")
+        .option("checkpointLocation", state)
+        .outputMode("update")
         .trigger(availableNow=True)
         .start()
         .awaitTermination()
     )
-    updates = spark.read.schema(f"digest string, {STATE}").parquet(out)
-    last = F.max(F.struct("group_size", "ranked", "row", "locator", "n_bytes")).alias("last")
-    return updates.groupBy("digest").agg(last).select("digest", "last.*")
+    kept = spark.read.format("statestore").option("path", state).load()
+    return kept.select("key.digest", F.col("value.count").alias("group_size"), "value.max.*")
 
 
 def decide(docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_per_batch: int = 1000) -> DataFrame:
