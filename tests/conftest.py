@@ -8,6 +8,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 
+from tradeloom.functions.staging import remove_scratch  # noqa: E402
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
@@ -23,6 +26,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_scratch(session)
     session.stop()
 
 

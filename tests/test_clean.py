@@ -2,9 +2,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
-from tradeloom.functions import relations
 from tradeloom.operators import clean
 
 
@@ -53,14 +53,12 @@ def test_dedup_keeps_latest_and_one_null_key(spark):
     assert clean.dedup(df.drop("trade_date")).count() == 6
 
 
-@pytest.mark.parametrize("hot_rows", [1, 3, 1000])
-def test_dedup_split_is_whole_with_hot_keys_and_copies(spark, hot_rows, monkeypatch):
-    monkeypatch.setattr(relations, "COPIES_PER_BLOCK", 7)
+def test_dedup_split_is_whole_with_hot_keys_and_copies(spark):
     pick = random.Random(1)
     data = [(pick.choice(["A", "B", "C", None]), pick.randint(1, 3), pick.choice("xy")) for _ in range(60)]
     data += [("HOT", 1, "same")] * 50 + [("D", 1, "x")]
     df = spark.createDataFrame(data, "trade_id string, trade_date int, note string")
-    kept, rest = clean.dedup_split(df, hot_rows=hot_rows)
+    kept, rest = clean.dedup_split(df)
     kept, rest = [tuple(r) for r in kept.collect()], [tuple(r) for r in rest.collect()]
     assert Counter(kept) + Counter(rest) == Counter(data)
     best = {}
@@ -71,3 +69,13 @@ def test_dedup_split_is_whole_with_hot_keys_and_copies(spark, hot_rows, monkeypa
 
 def test_missing_columns(spark):
     assert clean.missing_columns(spark.range(1), ["id", "x"]) == ["x"]
+
+
+def test_dedup_split_changes_no_value(spark):
+    df = spark.sql(
+        "SELECT id % 2 AS trade_id, id AS trade_date, -0.0D AS v, parse_json('{\"a\":1}') AS j, map('k', id) AS m FROM range(20)"
+    )
+    kept, rest = clean.dedup_split(df)
+    assert (kept.count(), rest.count()) == (2, 18)
+    assert {str(r.v) for r in rest.select("v").collect()} == {"-0.0"}
+    assert rest.select(F.map_values("m").alias("m"), F.to_json("j").alias("j")).distinct().count() == 18

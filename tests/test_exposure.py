@@ -33,11 +33,22 @@ def _order(row):
     return (row[5] is not None, row[5] or datetime.min, spread, row[0])
 
 
-@pytest.mark.parametrize("slice_rows", [1, 4, 10, 1_000_000])
-def test_running_exposure_matches_a_plain_loop(spark, slice_rows):
+def _sliced(spark, df, slices):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", slices)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        return exposure.running_exposure(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("slices", ["1", "5", "40"])
+def test_running_exposure_matches_a_plain_loop(spark, slices):
     data = _trades()
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    found = {r.trade_id: r.running_notional_usd for r in exposure.running_exposure(df, slice_rows=slice_rows).collect()}
+    found = {r.trade_id: r.running_notional_usd for r in _sliced(spark, df, slices)}
     expected = {}
     for party in {r[1] for r in data}:
         total, seen = 0, False

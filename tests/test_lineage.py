@@ -91,7 +91,7 @@ def test_json_document_gets_defaults(spark, tmp_path):
     ]}, indent=2))
     found = lineage.read_json_document(spark, str(path))
     assert rows(found) == [
-        ("a", "b", "unknown", "unknown", "unknown", "{}"), ("b", "c", "t", "unknown", "unknown", '{"k":"1"}'),
+        ("a", "b", "unknown", "unknown", "unknown", "{}"), ("b", "c", "t", "unknown", "unknown", '{"k":1}'),
     ]
 
 

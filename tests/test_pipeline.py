@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tradeloom.operators import clean, deadletter, star
-from tradeloom.plans import observability, pipeline
+from tradeloom.plans import observability, pipeline, registry
 from tradeloom.sources import files
 
 SCHEMA = (
@@ -97,6 +97,67 @@ def test_single_stage_starts_from_the_given_rows(spark, tables):
     assert [r[3:8] for r in run.results] == [("clean", "SUCCESS", 2, 1, 1)]
 
 
+def test_source_that_cannot_be_read_is_recorded(spark, tables):
+    bad = feed(spark, trade("T1")).withColumn("quantity", F.raise_error(F.lit("no such tape")).cast("double"))
+    with pytest.raises(RuntimeError):
+        pipeline.run_pipeline(bad, tables.root, "b_1")
+    run = tables.read(spark, "pipeline_runs").first()
+    assert (run.stage_name, run.status, run.records_dead) == ("ingest", "FAILED", 0)
+    assert "no such tape" in run.note and "could not be kept" in run.note
+    assert deadletter.read(spark, tables.path("dead_letters"), "b_1").count() == 0
+
+
+def test_source_is_read_once(spark, tables):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = feed(spark, trade("T1"), trade("T2", "abc"), trade("T3")).mapInArrow(count, SCHEMA)
+    pipeline.run_pipeline(source, tables.root, "b_1")
+    assert seen.value == 3
+
+
+def test_stored_score_counts_every_violation(spark, tables):
+    many = [trade(f"T{k}", party=None) for k in range(1200)]
+    pipeline.run_pipeline(feed(spark, *many), tables.root, "b_1", stages=["ingest"])
+    stored = tables.read(spark, "dq_violations").count()
+    assert stored >= 1200 and tables.read(spark, "dq_scores").first().total_violations == stored
+
+
+def test_configured_steps_checkpoints_and_warnings(spark, tables):
+    assert {"null_fill", "dedup", "fx_convert", "date_expand", "lei_lookup", "exposure_rollup", "position_net"} <= set(registry.names())
+    with pytest.raises(ValueError):
+        registry.register("dedup")(lambda rows, options: rows)
+    with pytest.raises(KeyError):
+        registry.step("no_such_step")
+    registry.register("desk")(lambda rows, options: rows.withColumn("desk", F.lit(options["name"])))
+    try:
+        config = {
+            "extra_steps": {"clean": ["desk"]}, "desk": {"name": "D1"}, "checkpoints": {"clean": "book_ok"},
+            "required_columns": {"clean": ["book"]},
+        }
+        rules = [{"name": "on_desk", "type": "null_check", "field": "desk", "stage": "book_ok"}]
+        run = pipeline.run_pipeline(
+            feed(spark, trade("T1")), tables.root, "b_1", stages=["ingest", "clean"], config=config, rules=rules
+        )
+    finally:
+        del registry.STEPS["desk"]
+    assert run.scores == {"book_ok": 100.0}
+    assert run.results[1][10] == "missing columns: book"
+
+
+def test_repeated_ids_become_rejects(spark, tables):
+    same = [trade("T1", "1.00"), trade("T1", "2.00"), trade("T1", "3.00"), trade("T2")]
+    run = pipeline.run_pipeline(feed(spark, *same), tables.root, "b_1", stages=["enrich", "load"],
+                                config={"fx_convert": {}})
+    assert rows(pipeline.current_facts(spark, tables), "trade_id") == [("T2",)]
+    assert run.results[-1][7] == 3
+    assert deadletter.read(spark, tables.path("dead_letters")).count() == 3
+
+
 def test_batch_id_format():
     assert pipeline.new_batch_id(datetime(2026, 5, 20, 1, 2, 3)) == "b_20260520_010203"
 

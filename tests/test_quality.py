@@ -72,15 +72,29 @@ def test_rule_that_cannot_run_reports_itself(spark):
     assert quality.rule_counts(df, [rule]).first().failing_rows == 1
 
 
-def test_score_counts_capped_rows_and_skips(spark):
+def test_faulty_rules_are_isolated(two):
+    base = {"type": "range_check", "stage": "s", "severity": "WARN"}
+    faulty = [
+        {**base, "name": "no_field"}, {**base, "name": "bad_bound", "field": "trade_id", "min": "abc"},
+        {"name": "lookup", "type": "referential_integrity", "mode": "table", "lookup_table": "t", "lookup_field": "code", "stage": "s"},
+    ]
+    table = two.sparkSession.createDataFrame([("A",)], "code string")
+    found = quality.violations(two, [*faulty, NULL_RULE], "b", {"t": table})
+    assert rows(found, "rule_name", "severity") == [
+        ("bad_bound", "ERROR"), ("id_present", "CRITICAL"), ("lookup", "ERROR"), ("no_field", "ERROR"),
+    ]
+    assert quality.run_checkpoint(two, "s", [*faulty, NULL_RULE], {"t": table}).first().total_violations == 4
+
+
+def test_score_counts_all_rows_and_skips(spark):
     df = spark.range(1500).select(F.lit(None).cast("string").alias("trade_id"))
     counts = quality.rule_counts(df, [NULL_RULE, {**NULL_RULE, "name": "absent", "field": "zz"}])
     assert rows(counts, "rule_name", "failing_rows", "skipped") == [("absent", 0, True), ("id_present", 1500, False)]
     score = quality.checkpoint_scores(counts).first()
-    assert (score.total_violations, score.rules_passed, score.rules_skipped, score.dq_score) == (1000, 1, 1, 0.0)
-    assert quality.checkpoint_scores(counts, per_rule=None).first().total_violations == 1500
+    assert (score.total_violations, score.rules_passed, score.rules_skipped, score.dq_score) == (1500, 1, 1, 0.0)
+    assert quality.checkpoint_scores(counts, per_rule=1000).first().total_violations == 1000
     found = quality.violations(df.withColumn("k", F.lit(1)), [NULL_RULE], "b")
-    assert quality.first_violations(found).count() == 1000 and found.count() == 1500
+    assert quality.first_violations(found, 1000).count() == 1000 and found.count() == 1500
     assert quality.first_violations(found, 3).count() == 3
 
 

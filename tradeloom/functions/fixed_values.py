@@ -75,11 +75,6 @@ TRADES_CSV_SCHEMA = (
     "currency string, direction string, notional string, quantity double, "
     "trade_date string, settlement_date string, settlement_status string, exchange string"
 )
-POSITIONS_CSV_SCHEMA = (
-    "position_id string, product_id string, counterparty_id string, asset_class string, "
-    "currency string, direction string, quantity int, market_value_usd double, "
-    "as_of_date date, book string"
-)
 
 # --- lineage layers, in pipeline order, and their display colours -----------
 LAYER_ORDER = ["raw", "clean", "typed", "dedup", "enriched", "risk_report", "fact_trades"]
@@ -97,11 +92,9 @@ DEFAULT_COLOUR = "#9CA3AF"
 
 # --- dead letters -----------------------------------------------------------
 DEAD_LETTER_COLUMNS = ["_dlq_batch_id", "_dlq_stage", "_dlq_reason", "_dlq_ts"]
-REASON_LENGTH = 512
 
 # --- data quality -----------------------------------------------------------
 SEVERITY_WEIGHTS = {"CRITICAL": 2.0, "ERROR": 1.5, "WARN": 1.0}
-VIOLATIONS_PER_RULE = 1000
 
 NAMED_EXPRESSIONS = {
     "settlement_after_trade": "settlement_date >= trade_date",

@@ -2,8 +2,10 @@
 
 Adding doubles gives different last digits for every partitioning. Amounts are
 therefore turned into whole millionths, added as decimals, and turned back into
-a double once. Amounts that do not fit (beyond about 9e12, NaN, infinity) are
-added as doubles next to it, so nothing is left out.
+a double once. A row's amount is rounded to millionths before it is added, so
+half a millionth per row is the most that can be lost. Amounts that do not fit
+(beyond about 9e12, NaN, infinity) are added as doubles next to it, so nothing is
+left out; the last digits of such sums may depend on the order of rows.
 """
 
 from pyspark.sql import Column

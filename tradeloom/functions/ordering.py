@@ -41,14 +41,11 @@ def exclusive_prefix(
     ).select(*inner.columns)
 
 
-def number_rows(
-    df: DataFrame, order: Sequence[str], key: str, start: int = 0
-) -> DataFrame:
-    """Add ``start`` + the 1-based position of each row in the given order.
+def in_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows range-partitioned and sorted, with their slice and place, as a written table.
 
-    Rows are range-partitioned and sorted, so every partition holds one slice
-    of the global order. The position inside the slice is settled with the row;
-    slice sizes (one row per partition) then give the offsets.
+    ``_slice`` numbers the partitions in the given order and ``_place`` the rows of
+    a slice, from 0. Written, so both stay with the row.
     """
     ascending = [F.col(c).asc_nulls_first() for c in order]
     sliced = (
@@ -56,12 +53,23 @@ def number_rows(
         .sortWithinPartitions(*ascending)
         .withColumn("_place", F.monotonically_increasing_id())
     )
-    placed = settle(sliced, "numbered").withColumns(
+    return settle(sliced, "slices").withColumns(
         {
             "_slice": F.shiftright("_place", 33),
             "_place": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)),
         }
     )
+
+
+def number_rows(
+    df: DataFrame, order: Sequence[str], key: str, start: int = 0
+) -> DataFrame:
+    """Add ``start`` + the 1-based position of each row in the given order.
+
+    The position inside a slice of the global order is settled with the row; slice
+    sizes (one row per partition) then give the offsets.
+    """
+    placed = in_slices(df, order)
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_slice")

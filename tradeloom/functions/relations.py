@@ -5,10 +5,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.functions.staging import settle
-
-COPIES_PER_BLOCK = 1_000_000
-
 
 def fixed_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A literal table; its size is known, so it is always broadcast."""
@@ -33,29 +29,3 @@ def same_keys(pairs: dict) -> Column:
     for left, right in pairs.items():
         condition = condition & F.col(left).eqNullSafe(F.col(right))
     return condition
-
-
-def multiset_minus(df: DataFrame, other: DataFrame) -> DataFrame:
-    """``df`` without one copy per row of ``other``; remaining copies stay.
-
-    Equal rows are counted before the shuffle, so neither a hot key nor a hot
-    group of identical rows lands in one task. A large number of copies is
-    written out again in blocks that are spread over tasks.
-    """
-    columns = df.columns
-    counted = settle(
-        df.withColumn("_copies", F.lit(1))
-        .unionByName(other.select(*columns).withColumn("_copies", F.lit(-1)))
-        .groupBy(*columns)
-        .agg(F.sum("_copies").alias("_copies"))
-        .where("_copies > 0"),
-        "copies",
-    )
-    size = COPIES_PER_BLOCK
-    if not counted.where(F.col("_copies") > size).isEmpty():
-        counted = (
-            counted.withColumn("_block", F.explode(F.expr(f"sequence(0, (_copies - 1) div {size})")))
-            .withColumn("_copies", F.expr(f"least({size}, _copies - _block * {size})"))
-            .repartition("_block", *columns)
-        )
-    return counted.withColumn("_copy", F.explode(F.expr("sequence(1, _copies)"))).select(*columns)

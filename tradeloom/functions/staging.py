@@ -7,7 +7,6 @@ the table: a join with it is broadcast only when its files are below
 handling) otherwise.
 """
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -15,24 +14,21 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """This application's folder below ``spark.checkpoint.dir``.
+    """This application's folder below ``spark.checkpoint.dir``, or else below the warehouse.
 
-    Where that is unset, a local master gets a temporary folder; a cluster has
-    to name one. Nothing in it is needed once the application has ended.
+    Both are folders that all executors share. Nothing in it is needed once the
+    application has ended; ``remove_scratch`` deletes it.
     """
-    application = spark.sparkContext.applicationId
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return f"{folder.rstrip('/')}/{application}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="tradeloom-")
-    return _LOCAL_FOLDERS[application]
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's written intermediate tables, in whatever store they are."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -6,12 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import COLUMN_TYPES, NULL_DEFAULTS
-from tradeloom.functions.relations import multiset_minus, same_keys
 from tradeloom.functions.staging import settle
 
 NULL_TEXT = "<null>"
 UNORDERED_TYPES = ("map", "variant")
-HOT_ROWS = 1_000_000
+ROW_ID = "_row_id"
 
 
 def _fills(df: DataFrame, fills: Mapping | None) -> dict:
@@ -129,32 +128,25 @@ def dedup_split(
     order_col: str = "trade_date",
     ascending: bool = False,
     tie_break: Sequence[str] = (),
-    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows ``dedup`` keeps, and all others, as written tables.
+    """The rows ``dedup`` keeps, and all others.
 
-    Rows are ranked in one shuffle. Keys with more than ``hot_rows`` rows are
-    found first from the key columns alone; their rows are not ranked together
-    but compared with the kept row as multisets, which needs no group in one task.
+    The rows are written once with a row id. ``dedup`` gives the id that wins each
+    key, one row per key and map task being shuffled; both sides are then a join on
+    that unique id, so no key's rows meet in one task and no value is changed.
     """
     if not {*keys, order_col} <= set(df.columns):
         return df, df.limit(0)
-    names = {k: f"_hot_{k}" for k in keys}
-    hot = settle(
-        df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
-        .select(*keys).withColumnsRenamed(names),
-        "hot_keys",
+    rows = settle(df.withColumn(ROW_ID, F.monotonically_increasing_id()), "typed")
+    sortable = [f.name for f in rows.schema if f.dataType.typeName() not in UNORDERED_TYPES]
+    wanted = [c for c in sortable if c not in keys]
+    won = settle(
+        dedup(rows.select(*keys, *wanted), keys, order_col, ascending, [*tie_break]).select(ROW_ID), "won"
+    )
+    return (
+        rows.join(won, ROW_ID, "left_semi").drop(ROW_ID),
+        rows.join(won, ROW_ID, "left_anti").drop(ROW_ID),
     )
-    crowded = None
-    if not hot.isEmpty():
-        crowded = df.join(hot, same_keys(names), "left_semi")
-        df = df.join(hot, same_keys(names), "left_anti")
-    ranked = settle(_ranked(df, keys, order_col, ascending, tie_break), "ranked")
-    kept, rest = (ranked.where(c).drop("_rank") for c in ("_rank = 1", "_rank > 1"))
-    if crowded is not None:
-        first = settle(dedup(crowded, keys, order_col, ascending, tie_break), "kept_hot")
-        kept, rest = kept.unionByName(first), rest.unionByName(multiset_minus(crowded, first))
-    return kept, rest
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from tradeloom.functions.fixed_values import DEAD_LETTER_COLUMNS, REASON_LENGTH
+from tradeloom.functions.fixed_values import DEAD_LETTER_COLUMNS
 
 PARTITIONS = ["_dlq_batch_id", "_dlq_stage"]
 
@@ -27,7 +27,7 @@ def tag(
         {
             "_dlq_batch_id": F.lit(batch_id) if isinstance(batch_id, str) else batch_id,
             "_dlq_stage": F.lit(stage),
-            "_dlq_reason": F.substring(text, 1, REASON_LENGTH),
+            "_dlq_reason": text,
             "_dlq_ts": F.current_timestamp() if ts is None else ts,
         }
     )
@@ -71,7 +71,7 @@ def read(
     try:
         found = reader.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         found = spark.createDataFrame([], full)
     found = found.withColumns({f.name: F.col(f.name).try_cast(f.dataType) for f in columns})

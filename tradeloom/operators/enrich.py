@@ -54,18 +54,24 @@ def lei_lookup(
     df: DataFrame,
     counterparty_col: str = "counterparty_id",
     reference: DataFrame | None = None,
+    reference_key: str = "counterparty_id",
 ) -> DataFrame:
     """Left-join legal-entity columns; unknown counterparties get nulls.
 
+    Of reference rows that repeat a key the first in column order counts, so a
+    trade is never doubled.
+
     The built-in table has a fixed size and is broadcast. A ``reference`` read
     from a file is joined without a hint: its file size decides.
     """
     if counterparty_col not in df.columns:
         return df
     if reference is None:
-        reference = fixed_rows(df.sparkSession, LEGAL_ENTITIES, LEGAL_ENTITY_SCHEMA)
-    renamed = reference.select(
-        F.col("counterparty_id").alias("_entity_id"), *LEGAL_ENTITY_COLUMNS
-    )
+        fixed = fixed_rows(df.sparkSession, LEGAL_ENTITIES, LEGAL_ENTITY_SCHEMA)
+        renamed = fixed.select(F.col("counterparty_id").alias("_entity_id"), *LEGAL_ENTITY_COLUMNS)
+    else:
+        renamed = reference.select(F.col(reference_key).alias("_entity_id"), *LEGAL_ENTITY_COLUMNS)
+        first = F.min(F.struct(*LEGAL_ENTITY_COLUMNS)).alias("_first")
+        renamed = renamed.groupBy("_entity_id").agg(first).select("_entity_id", "_first.*")
     match = F.col(counterparty_col) == F.col("_entity_id")
     return df.join(renamed, match, "left").drop("_entity_id")

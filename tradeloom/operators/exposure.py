@@ -11,14 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.money import exact_sum, micros, overflow, to_amount
-from tradeloom.functions.ordering import exclusive_prefix
+from tradeloom.functions.ordering import exclusive_prefix, in_slices
 from tradeloom.functions.relations import attach
-from tradeloom.functions.staging import at_once, settle, settle_all
+from tradeloom.functions.staging import at_once, settle
 
-SLICE_ROWS = 1_000_000
-SLICE_DIGITS = 3
 GROUP_KEYS = ("counterparty_id", "product_id", "asset_class")
-MOMENT = ["counterparty_id", "trade_date"]
 PAIR = ["counterparty_id", "product_id"]
 
 
@@ -40,17 +37,14 @@ class Summary:
     """Written partial sums that all totals are derived from."""
 
     groups: DataFrame
-    moments: DataFrame
 
 
 def exposure_summary(df: DataFrame) -> Summary:
-    """Sums per counterparty, product and class, and per counterparty and date."""
+    """Sums per counterparty, product and class."""
     usd = {"usd": F.col("notional_usd")}
     sides = {"buy": _side("BUY"), "sell": _side("SELL")} if "direction" in df.columns else {}
     keys = [k for k in GROUP_KEYS if k in df.columns]
-    return Summary(
-        *settle_all(groups=_sums(df, keys, {**usd, **sides}), moments=_sums(df, MOMENT, usd))
-    )
+    return Summary(settle(_sums(df, keys, {**usd, **sides}), "groups"))
 
 
 def _total(name: str) -> Column:
@@ -71,7 +65,7 @@ def exposure_rollup(df: DataFrame, summary: Summary | None = None) -> DataFrame:
     if "asset_class" in df.columns:
         totals["asset_class"] = [_total("usd").alias("asset_class_exposure_usd")]
     out, *written = at_once(
-        lambda: running_exposure(df, summary),
+        lambda: running_exposure(df),
         *[lambda k=k: settle(summary.groups.groupBy(k).agg(*totals[k]), k) for k in totals],
     )
     for key, table in zip(totals, written):
@@ -79,50 +73,31 @@ def exposure_rollup(df: DataFrame, summary: Summary | None = None) -> DataFrame:
     return out
 
 
-def running_exposure(
-    df: DataFrame,
-    summary: Summary | None = None,
-    tie_break: Sequence[str] = ("trade_id",),
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
+def running_exposure(df: DataFrame, tie_break: Sequence[str] = ("trade_id",)) -> DataFrame:
     """Add ``running_notional_usd``: the counterparty's total up to this row.
 
     Rows are ordered by trade date, then by the MD5 of the tie-break columns,
-    then by those columns. The total before a row's (counterparty, date) comes
-    from a prefix sum over the summary; only rows of the same counterparty and
-    date are sorted together. A date with more than ``slice_rows`` rows is cut
-    further by leading MD5 digits, which follow the same order.
+    then by those columns. They are range-partitioned in that order; a window adds
+    up the rows of one counterparty inside one slice, and the total of its earlier
+    slices (one row per counterparty and slice) is added to it. A counterparty
+    with any number of rows, on one date or many, is cut by the slices.
     """
-    summary = summary or exposure_summary(df)
-    measures = ["usd_micros", "usd_overflow", "amounts"]
-    size = summary.moments.agg(
-        F.count("*").alias("moments"), F.coalesce(F.max("trades"), F.lit(0)).alias("most")
-    ).first()
-    levels = ["trade_date"]
-    levelled = summary.moments
-    if size["moments"] > slice_rows:
-        levels = ["_day", "_second", "trade_date"]
-        levelled = levelled.withColumns(
-            {"_day": F.to_date("trade_date"), "_second": F.date_trunc("second", "trade_date")}
-        )
-    before = exclusive_prefix(levelled, ["counterparty_id"], levels, measures).select(
-        *MOMENT, F.col("trades").alias("_trades"), *[f"_before_{m}" for m in measures]
-    )
-
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in tie_break]
     spread = df.withColumn("_spread", F.md5(F.concat_ws("|", *texts)))
-    rows = attach(spread, settle(before, "before"), MOMENT)
-    cell = list(MOMENT)
-    if size["most"] > slice_rows:
-        rows = _add_slices(rows, measures, slice_rows)
-        cell.append("_slice")
+    rows = in_slices(spread, ["counterparty_id", "trade_date", "_spread", *tie_break])
+    cell = ["counterparty_id", "_slice"]
+    measures = ["usd_micros", "usd_overflow", "amounts"]
+    sums = _sums(rows, cell, {"usd": F.col("notional_usd")})
+    before = exclusive_prefix(sums, ["counterparty_id"], ["_slice"], measures).select(
+        *cell, *[f"_before_{m}" for m in measures]
+    )
     window = (
         Window.partitionBy(*cell)
-        .orderBy("_spread", *[F.col(c).asc_nulls_first() for c in tie_break])
+        .orderBy("_place")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     amount = F.col("notional_usd")
-    summed = rows.withColumns(
+    summed = attach(rows, settle(before, "before"), cell).withColumns(
         {
             "_micros": F.sum(micros(amount)).over(window),
             "_overflow": F.sum(overflow(amount)).over(window),
@@ -139,25 +114,6 @@ def running_exposure(
     ).select(*df.columns, "running_notional_usd")
 
 
-def _add_slices(rows: DataFrame, measures: list[str], slice_rows: int) -> DataFrame:
-    """Cut crowded (counterparty, date) groups by MD5 digits and add their prefixes."""
-    crowded = F.col("_trades") > slice_rows
-    rows = rows.withColumn(
-        "_slice", F.when(crowded, F.substring("_spread", 1, SLICE_DIGITS)).otherwise(F.lit(""))
-    )
-    keys = [*MOMENT, "_slice"]
-    sums = _sums(rows.where(crowded), keys, {"usd": F.col("notional_usd")})
-    inner = exclusive_prefix(sums, MOMENT, ["_slice"], measures)
-    inside = {m: F.col(f"_before_{m}").alias(f"_inside_{m}") for m in measures}
-    joined = attach(rows, settle(inner.select(*keys, *inside.values()), "slices"), keys)
-    return joined.withColumns(
-        {
-            f"_before_{m}": F.col(f"_before_{m}") + F.coalesce(f"_inside_{m}", F.lit(0))
-            for m in measures
-        }
-    )
-
-
 def position_net(df: DataFrame) -> DataFrame:
     """Bought, sold and net USD notional per counterparty and product."""
     return df.groupBy(*PAIR).agg(

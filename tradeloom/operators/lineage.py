@@ -223,9 +223,9 @@ def export_nodes(edges: DataFrame) -> DataFrame:
 def export_edges(edges: DataFrame) -> DataFrame:
     """Collapsed edges with defaults for missing attributes."""
     unknown = {a: F.coalesce(F.col(a), F.lit("unknown")) for a in ("transform", "stage", "batch_id")}
-    parsed = F.from_json("metadata", "map<string,string>")
+    valid = F.try_parse_json("metadata").isNotNull()
     return collapse(edges).withColumns(
-        {**unknown, "metadata": F.to_json(F.coalesce(parsed, F.create_map().cast("map<string,string>")))}
+        {**unknown, "metadata": F.when(valid, F.col("metadata")).otherwise(F.lit("{}"))}
     )
 
 
@@ -266,7 +266,7 @@ def read_json_document(spark: SparkSession, path: str) -> DataFrame:
     """Edges of documents ``{"nodes": [...], "edges": [...]}``."""
     edge = (
         "struct<source:string,target:string,transform:string,stage:string,"
-        "batch_id:string,metadata:map<string,string>>"
+        "batch_id:string,metadata:variant>"
     )
     documents = spark.read.schema(f"edges array<{edge}>").option("multiLine", True).json(path)
     rows = documents.select(F.inline("edges")).withColumn("metadata", F.to_json("metadata"))

@@ -6,6 +6,7 @@ same expressions. The number of rules does not change the number of scans.
 """
 
 import json
+import threading
 from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -18,14 +19,13 @@ from tradeloom.functions.fixed_values import (
     NAMED_EXPRESSIONS,
     RULES,
     SEVERITY_WEIGHTS,
-    VIOLATIONS_PER_RULE,
 )
 from tradeloom.functions.staging import settle
 
 RULE_TYPES = ("null_check", "range_check", "referential_integrity", "cross_field")
 TABLE_MODES = ("table", "duckdb_table")
 DEFAULT_SEVERITY = {"cross_field": "WARN"}
-SAMPLE_SALTS = 64
+_PLANNING = threading.RLock()
 
 
 # --- rule lists --------------------------------------------------------------
@@ -102,13 +102,19 @@ def _number(df: DataFrame, field: str) -> Column:
 
 @contextmanager
 def _lenient(spark: SparkSession):
-    """Bad casts inside a user's expression give null, so the row passes."""
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", "false")
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.ansi.enabled", before)
+    """Bad casts inside a user's expression give null, so the row passes.
+
+    The mode is fixed in an expression when it is analysed, which happens inside.
+    The setting belongs to the whole session: rules are compiled by one thread at
+    a time, and other threads should not plan queries of this session meanwhile.
+    """
+    with _PLANNING:
+        before = spark.conf.get("spark.sql.ansi.enabled")
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        try:
+            yield
+        finally:
+            spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def _pass(rule: Mapping) -> Check:
@@ -159,9 +165,9 @@ def _cross_field(df: DataFrame, rule: Mapping) -> Check:
 def _compile(df: DataFrame, rule: Mapping) -> Check:
     """Build and analyse one rule; a rule that cannot be analysed is isolated."""
     kind = rule["type"]
-    if kind != "cross_field" and rule["field"] not in df.columns:
-        return _pass(rule)
     try:
+        if kind != "cross_field" and rule["field"] not in df.columns:
+            return _pass(rule)
         if kind == "null_check":
             check = _null_check(df, rule)
         elif kind == "range_check":
@@ -174,11 +180,16 @@ def _compile(df: DataFrame, rule: Mapping) -> Check:
             return _pass(rule)
         df.select(check.broken, check.offending)
         return check
-    except (AnalysisException, ParseException) as error:
-        if kind == "cross_field":
+    except Exception as error:
+        if kind == "cross_field" and isinstance(error, (AnalysisException, ParseException)):
             return _pass(rule)
-        text = f"RULE_EXECUTION_ERROR: {str(error)[:200]}"
-        return replace(_pass(rule), skipped=False, error=text)
+        return _broken_rule(rule, error)
+
+
+def _broken_rule(rule: Mapping, error: Exception) -> Check:
+    """A rule that cannot run; it reports itself as one ERROR violation."""
+    text = f"RULE_EXECUTION_ERROR: {type(error).__name__}: {error}"
+    return replace(_pass({**rule, "severity": "ERROR"}), skipped=False, error=text)
 
 
 def _with_lookups(
@@ -191,7 +202,7 @@ def _with_lookups(
         lookup = tables.get(rule.get("lookup_table")) if is_lookup else None
         if lookup is None or rule.get("lookup_field") not in lookup.columns:
             continue
-        if rule["field"] not in df.columns:
+        if rule.get("field") not in df.columns:
             continue
         allowed = F.upper(F.col(rule["lookup_field"]).cast("string"))
         values = settle(
@@ -291,23 +302,15 @@ def _violation(check: Check, offending: Column, row_key: Column) -> Column:
     )
 
 
-def first_violations(found: DataFrame, per_rule: int = VIOLATIONS_PER_RULE) -> DataFrame:
-    """At most ``per_rule`` violations per rule, lowest row keys first.
+def first_violations(found: DataFrame, per_rule: int) -> DataFrame:
+    """The ``per_rule`` violations of each rule with the lowest row keys: a top-n report.
 
-    A rule that most rows break is first cut per salt, so no task has to sort
-    all its violations.
+    Only that many rows of a rule leave each map task: the optimizer limits the
+    window group before the shuffle.
     """
     order = [F.col(c).asc_nulls_first() for c in ("row_key", "offending_value", "field_name")]
-    salt = F.pmod(F.xxhash64("row_key"), F.lit(SAMPLE_SALTS))
-    group = ["batch_id", "stage", "rule_name"]
-    return (
-        found.withColumn("_salt", salt)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*group, "_salt").orderBy(*order)))
-        .where(F.col("_rank") <= per_rule)
-        .withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-        .where(F.col("_rank") <= per_rule)
-        .drop("_salt", "_rank")
-    )
+    window = Window.partitionBy("batch_id", "stage", "rule_name").orderBy(*order)
+    return found.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= per_rule).drop("_rank")
 
 
 # --- counts and scores -------------------------------------------------------
@@ -340,9 +343,9 @@ def rule_counts(
 
 
 def checkpoint_scores(
-    counts: DataFrame, by: Sequence[str] = (), per_rule: int | None = VIOLATIONS_PER_RULE
+    counts: DataFrame, by: Sequence[str] = (), per_rule: int | None = None
 ) -> DataFrame:
-    """Score from 0 to 100 per checkpoint; each rule counts ``per_rule`` rows at most.
+    """Score from 0 to 100 per checkpoint; with ``per_rule`` a rule counts that many rows at most.
 
     The penalty is the weighted number of violating rows over twice the number
     of rules, so a few hundred bad rows already give 0.
@@ -402,9 +405,9 @@ def query_violations(
     severity: str | None = None,
     stage: str | None = None,
     rule_name: str | None = None,
-    limit: int = 500,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Latest violations with optional filters."""
+    """Violations, latest first, with optional filters; all of them unless ``limit`` is given."""
     wanted = {
         "batch_id": batch_id,
         "severity": severity.upper() if severity else None,
@@ -415,9 +418,8 @@ def query_violations(
         if value:
             found = found.where(F.col(column) == value)
     ties = ["batch_id", "rule_name", "row_key", "offending_value", "field_name"]
-    return found.orderBy(
-        F.col("ts").desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in ties]
-    ).limit(limit)
+    ordered = found.orderBy(F.col("ts").desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in ties])
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def violation_summary(found: DataFrame, batch_id: str | None = None) -> DataFrame:
@@ -438,10 +440,10 @@ def violation_summary(found: DataFrame, batch_id: str | None = None) -> DataFram
     )
 
 
-def latest_scores(scores: DataFrame, limit: int = 20) -> DataFrame:
-    return scores.orderBy(
-        F.col("recorded_at").desc_nulls_last(), "batch_id", "checkpoint"
-    ).limit(limit)
+def latest_scores(scores: DataFrame, limit: int | None = None) -> DataFrame:
+    """Scores, newest first; all of them unless ``limit`` is given."""
+    ordered = scores.orderBy(F.col("recorded_at").desc_nulls_last(), "batch_id", "checkpoint")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def score_trend(scores: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from tradeloom.functions.fixed_values import STATUS_SCHEMA, STATUSES, UNKNOWN_ST
 from tradeloom.functions.money import exact_sum
 from tradeloom.functions.ordering import number_rows
 from tradeloom.functions.relations import fixed_rows
+from tradeloom.functions.staging import settle
 
 DIRECTIONS = ["BUY", "SELL", "UNKNOWN"]
 STAGED_COLUMNS = [
@@ -180,11 +181,24 @@ def constraint_reason() -> Column:
 
 
 def split_by_constraints(trades: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid trades, and rejected ones with a ``constraint_reason`` column."""
+    """Valid trades, and rejected ones with a ``constraint_reason`` column.
+
+    A trade id must be unique among the otherwise valid trades. Ids are counted in
+    one partial aggregate; only those that repeat, a written table, are joined back.
+    """
     reason = constraint_reason()
+    repeated = settle(
+        trades.where(reason.isNull()).groupBy(F.col("trade_id").alias("_repeated"))
+        .agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_repeated"),
+        "repeated",
+    )
+    again = F.when(F.col("_repeated").isNotNull(), F.lit("trade_id_not_unique"))
+    marked = trades.join(repeated, F.col("trade_id") == F.col("_repeated"), "left").withColumn(
+        "constraint_reason", F.coalesce(reason, again)
+    ).drop("_repeated")
     return (
-        trades.where(reason.isNull()),
-        trades.where(reason.isNotNull()).withColumn("constraint_reason", reason),
+        marked.where(F.col("constraint_reason").isNull()).drop("constraint_reason"),
+        marked.where(F.col("constraint_reason").isNotNull()),
     )
 
 

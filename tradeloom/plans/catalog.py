@@ -375,7 +375,7 @@ def dq_violations(spark, folder):
 
 @query
 def dq_violations_first(spark, folder):
-    return quality.first_violations(dq_violations(spark, folder))
+    return quality.first_violations(dq_violations(spark, folder), 1000)
 
 
 @query
@@ -421,7 +421,7 @@ def _stored_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def violations_filtered(spark, folder):
-    return quality.query_violations(_stored_violations(spark, folder), severity="error")
+    return quality.query_violations(_stored_violations(spark, folder), severity="error", limit=500)
 
 
 @query
@@ -431,7 +431,7 @@ def violation_summary(spark, folder):
 
 @query
 def latest_scores(spark, folder):
-    return quality.latest_scores(dq_scores(spark, folder))
+    return quality.latest_scores(dq_scores(spark, folder), 20)
 
 
 @query

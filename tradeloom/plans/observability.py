@@ -10,7 +10,7 @@ from tradeloom.functions.fixed_values import COLUMN_TYPES
 RUN_SCHEMA = (
     "batch_id string, pipeline_name string, started_at timestamp, stage_name string, "
     "status string, records_in bigint, records_out bigint, records_dead bigint, "
-    "duration_sec double, error string"
+    "records_dead_total bigint, duration_sec double, note string"
 )
 DATE_COLUMNS = [
     "days_to_settlement", "trade_year", "trade_quarter", "trade_month",
@@ -47,9 +47,10 @@ def stage_counts(
     return counts.withColumn("records_dead_total", F.sum("records_dead").over(so_far))
 
 
-def latest_runs(runs: DataFrame, limit: int = 20) -> DataFrame:
-    """Most recent stage runs."""
-    return runs.orderBy(F.col("started_at").desc_nulls_last(), "batch_id", "stage_name").limit(limit)
+def latest_runs(runs: DataFrame, limit: int | None = None) -> DataFrame:
+    """Stage runs, most recent first; all of them unless ``limit`` is given."""
+    ordered = runs.orderBy(F.col("started_at").desc_nulls_last(), "batch_id", "stage_name")
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def step_edges() -> list[tuple[str, str, str, str]]:

@@ -238,7 +238,7 @@ def _scores(counts: str, by: str = "") -> str:
             CAST(SUM(CASE WHEN severity = 'CRITICAL' THEN v ELSE 0 END) AS BIGINT) AS critical_count,
             CAST(SUM(CASE WHEN severity = 'ERROR' THEN v ELSE 0 END) AS BIGINT) AS error_count,
             CAST(SUM(CASE WHEN severity = 'WARN' THEN v ELSE 0 END) AS BIGINT) AS warn_count
-          FROM (SELECT *, LEAST(failing_rows, 1000) AS v FROM ({counts}))
+          FROM (SELECT *, failing_rows AS v FROM ({counts}))
           GROUP BY {group}checkpoint)"""
 
 

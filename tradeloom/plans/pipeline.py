@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.fixed_values import RULES
 from tradeloom.functions.staging import at_once, settle
 from tradeloom.operators import clean, deadletter, enrich, exposure, lineage, quality, star
-from tradeloom.plans import observability
+from tradeloom.plans import observability, registry
 
 STAGES = ("ingest", "clean", "enrich", "load")
 CHECKPOINTS = {"ingest": "post_ingest", "clean": "post_clean", "enrich": "pre_load"}
@@ -54,7 +54,12 @@ def attribute_stage(cleaned: DataFrame, config: Mapping | None = None) -> DataFr
     fx, dates, lei = (config.get(k, {}) for k in ("fx_convert", "date_expand", "lei_lookup"))
     reference = None
     if lei.get("lookup_path"):
+        key = lei.get("reference_key", "counterparty_id")
         reference = cleaned.sparkSession.read.csv(lei["lookup_path"], header=True)
+        missing = clean.missing_columns(reference, [key, *enrich.LEGAL_ENTITY_COLUMNS])
+        if missing:
+            raise ValueError(f"{lei['lookup_path']} lacks {missing}")
+        reference = reference.select(key, *enrich.LEGAL_ENTITY_COLUMNS)
     return (
         cleaned.transform(
             enrich.fx_convert,
@@ -67,7 +72,12 @@ def attribute_stage(cleaned: DataFrame, config: Mapping | None = None) -> DataFr
             dates.get("date_col", "trade_date"),
             dates.get("settle_col", "settlement_date"),
         )
-        .transform(enrich.lei_lookup, lei.get("counterparty_col", "counterparty_id"), reference)
+        .transform(
+            enrich.lei_lookup,
+            lei.get("counterparty_col", "counterparty_id"),
+            reference,
+            lei.get("reference_key", "counterparty_id"),
+        )
     )
 
 
@@ -108,11 +118,14 @@ class Run:
     pipeline_name: str
     started_at: datetime
     results: list[tuple] = field(default_factory=list)
+    scores: dict[str, float] = field(default_factory=dict)
 
-    def record(self, stage, status, counts, seconds, error=None) -> None:
+    def record(self, stage, status, counts, seconds, note=None) -> None:
+        """Keep a stage's result; the last count is the dead rows of the run so far."""
+        before = self.results[-1][8] if self.results else 0
         self.results.append(
             (self.batch_id, self.pipeline_name, self.started_at, stage, status,
-             *counts, seconds, error)
+             *counts, before + counts[2], seconds, note)
         )
 
 
@@ -131,31 +144,56 @@ def run_pipeline(
 ) -> Run:
     """Run the chosen stages in order and append everything to the tables at ``root``.
 
-    The first chosen stage starts from ``raw``. A stage that fails sends its
-    whole input to the dead letters, is recorded as FAILED and ends the run
-    with RuntimeError; run metadata is written either way.
+    The rows of ``raw`` are written once; every stage and count reads written rows.
+    A stage that fails sends its whole input, as last written, to the dead letters,
+    is recorded as FAILED and ends the run with RuntimeError. Run metadata is written
+    either way, also if the input itself cannot be read or buried.
+
+    ``config`` may hold, besides the options of the steps: ``checkpoints`` (stage to
+    checkpoint name), ``extra_steps`` (stage to names of registered steps that follow
+    its own), and ``required_columns`` (stage to columns; a missing one is noted).
     """
-    spark = raw.sparkSession
+    spark, config = raw.sparkSession, config or {}
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     run = Run(batch_id or new_batch_id(), pipeline_name, now)
     tables = Tables(root)
     steps = {"ingest": _ingest, "clean": _clean, "enrich": _enrich, "load": _load}
-    rows, size, failure, edge_steps = raw, raw.count(), None, []
+    checkpoints = config.get("checkpoints", CHECKPOINTS)
+    rows, first, size, failure, edge_steps = raw, None, 0, None, []
     for stage in [s for s in STAGES if s in stages]:
         begin = time.monotonic()
+        missing = clean.missing_columns(rows, config.get("required_columns", {}).get(stage, ()))
+        warning = f"missing columns: {', '.join(missing)}" if missing else None
         try:
-            out, dead = steps[stage](rows, tables, run, config or {})
-            _checkpoint(out, CHECKPOINTS.get(stage), tables, run, rules)
+            if first is None:
+                rows = first = settle(raw, "ingested")
+                size = rows.count()
+            out, dead = steps[stage](rows, tables, run, config)
+            extra = config.get("extra_steps", {}).get(stage, ())
+            for name in extra:
+                out = registry.step(name)(out, config.get(name, {}))
+            if extra:
+                out = settle(out, stage)
+            _checkpoint(out, checkpoints.get(stage), tables, run, rules)
             left = size if out is rows else out.count()
-            run.record(stage, "SUCCESS", (size, left, dead), time.monotonic() - begin)
+            run.record(stage, "SUCCESS", (size, left, dead), time.monotonic() - begin, warning)
             edge_steps.append(stage)
             rows, size = out, left
         except Exception as error:
-            deadletter.write(rows, tables.path("dead_letters"), str(error), run.batch_id, stage)
-            run.record(stage, "FAILED", (size, 0, size), time.monotonic() - begin, str(error))
-            failure = error
+            failure, text, dead = error, str(error), 0
+            try:
+                deadletter.write(rows, tables.path("dead_letters"), text, run.batch_id, stage)
+                dead = size
+            except Exception as more:
+                text = f"{text}\nthe input could not be kept: {more}"
+            run.record(stage, "FAILED", (size, 0, dead), time.monotonic() - begin, text)
             break
-    _write_lineage(raw, edge_steps, tables, run, config or {})
+    try:
+        if edge_steps:
+            _write_lineage(first, edge_steps, tables, run, config)
+    except Exception as error:
+        failure = failure or error
+        run.record("lineage", "FAILED", (0, 0, 0), 0.0, str(error))
     tables.append(spark.createDataFrame(run.results, observability.RUN_SCHEMA), "pipeline_runs")
     if failure is not None:
         raise RuntimeError(f"pipeline failed, see pipeline_runs of batch {run.batch_id}") from failure
@@ -184,7 +222,8 @@ def _enrich(cleaned: DataFrame, tables: Tables, run: Run, config: Mapping) -> tu
 
 
 def _load(enriched: DataFrame, tables: Tables, run: Run, config: Mapping) -> tuple[DataFrame, int]:
-    rejected = load_star(enriched, tables, run.batch_id, run.pipeline_name)
+    score = next(reversed(run.scores.values()), None)
+    rejected = load_star(enriched, tables, run.batch_id, run.pipeline_name, score)
     return enriched, rejected
 
 
@@ -197,15 +236,18 @@ def _checkpoint(
         return
     begin = time.monotonic()
     found = quality.violations(df, chosen, run.batch_id)
-    scores = quality.checkpoint_scores(quality.rule_counts(df, chosen)).select(
+    counts = quality.rule_counts(df, chosen)
+    _, counted = at_once(
+        lambda: tables.append(found, "dq_violations", ("batch_id", "stage")),
+        lambda: settle(quality.checkpoint_scores(counts), "scores"),
+    )
+    scores = counted.select(
         F.lit(run.batch_id).alias("batch_id"), "*",
         F.lit(time.monotonic() - begin).alias("duration_sec"),
         F.current_timestamp().alias("recorded_at"),
     )
-    at_once(
-        lambda: tables.append(found, "dq_violations", ("batch_id", "stage")),
-        lambda: tables.append(scores, "dq_scores"),
-    )
+    tables.append(scores, "dq_scores")
+    run.scores.update((r.checkpoint, r.dq_score) for r in counted.collect())  # one row per checkpoint
 
 
 def _write_lineage(
@@ -215,15 +257,14 @@ def _write_lineage(
         F.lit(run.batch_id).alias("batch_id"), "*"
     )
     edges = observability.emitted_edges(counts, F.current_timestamp())
-    edges = edges.where(F.col("stage").isin(list(stages)))
-    if stages:
-        tables.append(edges, "lineage_edges")
+    tables.append(edges.where(F.col("stage").isin(list(stages))), "lineage_edges")
 
 
 # --- star schema on disk -----------------------------------------------------
 
 def load_star(
-    enriched: DataFrame, tables: Tables, batch_id: str, pipeline_name: str = PIPELINE_NAME
+    enriched: DataFrame, tables: Tables, batch_id: str, pipeline_name: str = PIPELINE_NAME,
+    dq_score: float | None = None,
 ) -> int:
     """Append new dimension members and facts; returns how many rows were rejected.
 
@@ -261,7 +302,7 @@ def load_star(
         valid, keys, tables.read(spark, "dim_product"), tables.read(spark, "dim_counterparty"),
         batch_id, pipeline_name,
     ).withColumns(
-        {"loaded_at": F.current_timestamp(), "dq_score_at_load": F.lit(None).cast("double")}
+        {"loaded_at": F.current_timestamp(), "dq_score_at_load": F.lit(dq_score).cast("double")}
     )
     load_id = 1 + (_max_load(spark, tables) or 0)
     if current is not None:
