@@ -1,0 +1,64 @@
+"""The registered queries: SQL on the given tables, and the pipeline against plain stages."""
+
+import sys
+
+import cases
+import compare
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, "/root/repo")
+
+import corpus_pipeline  # noqa: E402
+from tradeloom.llm import quality, queries, suffix  # noqa: E402
+from test_dedup import plain_near, plain_suffix  # noqa: E402
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", queries.ORACLE)
+def test_query_matches_sql(spark, name):
+    con = compare.connect(FOLDER)
+    assert compare.differences(queries.QUERIES[name](spark, FOLDER), con, queries.ORACLE[name]) == []
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE)))
+def test_query_covers_its_table(spark, name):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    found = queries.QUERIES[name](spark, FOLDER)
+    assert found.select("doc_id").distinct().count() == docs.count()
+
+
+def test_pipeline_stages_against_plain_versions(spark, tmp_path):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    columns = docs.columns
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+        stage(spark, docs, FOLDER).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        after = docs.select("doc_id", "text").collect() if "text" in docs.columns else None
+        if name != "packing":
+            assert docs.columns == columns
+        kept[name] = before, after
+    before, after = kept["quality_classifier"]
+    assert 0 < len(after) < len(before)
+    before, after = kept["exact_dedup"]
+    assert {r.doc_id for r in after} == {max(d for d, t in before if t.lower() == x) for x in {t.lower() for _, t in before}}
+    before, after = kept["near_dedup"]
+    assert {r.doc_id for r in after} == {d for d, _, _, k in plain_near(before) if k}
+    before, after = kept["suffix_array_dedup"]
+    assert len(after) == len(before)
+    want = {r[0]: r[1] - r[2] for r in plain_suffix(before)}
+    assert all(abs(len(r.text.encode()) - want[r.doc_id]) <= 6 for r in after)
+    before, _ = kept["packing"]
+    assert docs.select("doc_id").distinct().count() == len(before)
+    assert docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+
+
+def test_pipeline_runs_on_odd_rows(spark, tmp_path):
+    cases.docs(spark, cases.odd_rows()).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(5, 1, 0), (9, 0, 0)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert quality and suffix
