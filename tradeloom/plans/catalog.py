@@ -76,6 +76,29 @@ def _facts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, Data
     return facts, products, counterparties, dates
 
 
+VIEW_COLUMNS = [
+    "trade_id", "trade_date_key", "product_key", "counterparty_key", "status_key", "currency", "notional_usd",
+    "notional_eur", "net_notional_usd", "days_to_settlement",
+]
+
+
+def _view_facts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """What the views need of the facts: no running totals and no row numbers are computed."""
+    rows = exposure.position_net_rows(_attributes(spark, folder))
+    products, counterparties, dates, valid = _dims(rows, lambda: star.split_by_constraints(rows)[0])
+    facts = star.resolve_keys(valid, products, counterparties).select(*VIEW_COLUMNS, F.lit(BATCH).alias("batch_id"))
+    return facts, products, counterparties, dates
+
+
+def _stored_runs(spark: SparkSession, folder: str) -> pipeline.Tables:
+    """The tables that two runs of the pipeline wrote: all trades, then those of every other supplier."""
+    tables = pipeline.Tables(scratch_path(spark, "runs"))
+    rows = raw_trades(spark, folder)
+    for batch, part in (("b_1", rows), ("b_2", rows.where("src_suppkey % 2 = 0"))):
+        pipeline.run_pipeline(part, tables.root, batch, PIPELINE, config=CONFIG)
+    return tables
+
+
 def _month_batch() -> Column:
     return F.concat(F.lit("b_"), F.date_format("trade_date", "yyyyMM"))
 
@@ -115,9 +138,9 @@ def scan_latest_file(spark, folder):
 
 @query
 def metadata_roundtrip(spark, folder):
-    tables = pipeline.Tables(scratch_path(spark, "metadata"))
-    tables.append(pipeline_runs(spark, folder), "pipeline_runs")
-    return tables.read(spark, "pipeline_runs")
+    """The stored stage runs of two batches, without times."""
+    runs = _stored_runs(spark, folder).read(spark, "pipeline_runs")
+    return runs.drop("started_at", "duration_sec", "note")
 
 
 @query
@@ -295,6 +318,14 @@ def fact_constraint_rejects(spark, folder):
     return rejects.select("trade_id", "direction", "constraint_reason")
 
 
+@query
+def fact_unique_rejects(spark, folder):
+    """Typed trades, duplicates included, that the load would reject."""
+    typed, _ = pipeline.typed_stage(raw_trades(spark, folder))
+    rejects = star.split_by_constraints(typed)[1]
+    return rejects.select("trade_id", "src_suppkey", "src_partkey", "constraint_reason")
+
+
 @query
 def fact_trades(spark, folder):
     return _facts(spark, folder)[0]
@@ -315,19 +346,19 @@ def fact_upsert(spark, folder):
 
 @query
 def vw_daily_cpty_exposure(spark, folder):
-    facts, _, counterparties, dates = _facts(spark, folder)
+    facts, _, counterparties, dates = _view_facts(spark, folder)
     return star.daily_counterparty_exposure(facts, dates, counterparties)
 
 
 @query
 def vw_asset_class_exposure(spark, folder):
-    facts, products, _, dates = _facts(spark, folder)
+    facts, products, _, dates = _view_facts(spark, folder)
     return star.asset_class_exposure(facts, dates, products)
 
 
 @query
 def vw_settlement_failures(spark, folder):
-    facts, products, counterparties, _ = _facts(spark, folder)
+    facts, products, counterparties, _ = _view_facts(spark, folder)
     return star.settlement_failures(facts, counterparties, products)
 
 
@@ -399,17 +430,28 @@ def dq_run_all(spark, folder):
 
 
 def dq_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Score history: one row per trade month and checkpoint."""
-    raw, cleaned = raw_trades(spark, folder), _cleaned(spark, folder)
-    frames = {
-        "post_ingest": raw, "post_clean": cleaned, "pre_load": pipeline.attribute_stage(cleaned),
-    }
-    parts = []
-    for hour, (checkpoint, df) in enumerate(frames.items(), start=1):
-        counts = quality.rule_counts(_with_batch(df), quality.rules_for(checkpoint), by=["batch_id"])
-        scores = quality.checkpoint_scores(counts, by=["batch_id"])
-        parts.append(scores.withColumn("recorded_at", _batch_time(F.lit(hour))))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """The scores that two runs of the pipeline stored."""
+    return _stored_runs(spark, folder).read(spark, "dq_scores").drop("duration_sec")
+
+
+@query
+def dq_stored_violations(spark, folder):
+    """Stored violations of two batches, counted per checkpoint and rule."""
+    found = _stored_runs(spark, folder).read(spark, "dq_violations")
+    counts = found.groupBy("batch_id", "stage", "rule_name").agg(F.count(F.lit(1)).alias("violations"))
+    return counts.withColumnRenamed("stage", "checkpoint")
+
+
+@query
+def dq_rule_errors(spark, folder):
+    """Rules that cannot run report themselves once and leave the others alone."""
+    base = {"type": "range_check", "stage": "post_ingest", "severity": "WARN"}
+    rules = [
+        {**base, "name": "no_field"}, {**base, "name": "bad_bound", "field": "quantity", "min": "abc"},
+        {"name": "product_present", "type": "null_check", "field": "product_id", "stage": "post_ingest"},
+    ]
+    found = _violations(raw_trades(spark, folder), rules)
+    return found.groupBy("rule_name", "severity", "field_name").agg(F.count(F.lit(1)).alias("violations"))
 
 
 def _stored_violations(spark: SparkSession, folder: str) -> DataFrame:
@@ -431,12 +473,12 @@ def violation_summary(spark, folder):
 
 @query
 def latest_scores(spark, folder):
-    return quality.latest_scores(dq_scores(spark, folder), 20)
+    return quality.latest_scores(dq_scores(spark, folder), 20).drop("recorded_at")
 
 
 @query
 def vw_dq_score_trend(spark, folder):
-    return quality.score_trend(dq_scores(spark, folder))
+    return quality.score_trend(dq_scores(spark, folder)).drop("recorded_at")
 
 
 @query
@@ -535,19 +577,10 @@ def stage_counts(spark, folder):
     )
 
 
-def pipeline_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Stage runs per trade month, started one hour apart."""
-    return stage_counts(spark, folder).select(
-        "batch_id", F.lit(PIPELINE).alias("pipeline_name"),
-        _batch_time(F.col("stage_order")).alias("started_at"), "stage_name",
-        F.lit("SUCCESS").alias("status"), "records_in", "records_out",
-        F.col("records_dead_total").alias("records_dead"),
-    )
-
-
 @query
 def latest_runs(spark, folder):
-    return observability.latest_runs(pipeline_runs(spark, folder), 200)
+    runs = _stored_runs(spark, folder).read(spark, "pipeline_runs")
+    return observability.latest_runs(runs, 4).drop("started_at", "duration_sec", "note")
 
 
 # --- lineage -----------------------------------------------------------------

@@ -85,12 +85,7 @@ def emitted_edges(null_counts: DataFrame, ts: Column) -> DataFrame:
         F.concat(F.lit("clean."), "column_name").alias("target"),
         F.lit("null_fill").alias("transform"),
         F.lit("clean").alias("stage"),
-        F.to_json(
-            F.create_map(
-                F.lit("null_count"), F.col("null_count").cast("string"),
-                F.lit("fill_value"), F.col("fill_value"),
-            )
-        ).alias("metadata"),
+        F.to_json(F.struct("null_count", "fill_value")).alias("metadata"),
     )
     always = F.array(
         *[

@@ -13,7 +13,6 @@ from tradeloom.functions.fixed_values import (
     RULES,
     STATUSES,
 )
-from tradeloom.plans.observability import step_edges
 from tradeloom.sources.lineage_log import lineage_log_sql, node_name
 from tradeloom.sources.trades import RAW_TRADES_SQL
 
@@ -242,16 +241,26 @@ def _scores(counts: str, by: str = "") -> str:
           GROUP BY {group}checkpoint)"""
 
 
-def _history() -> str:
-    """Score per trade month and checkpoint."""
-    parts = []
-    for hour, (stage, frame) in enumerate(FRAMES.items(), start=1):
-        scores = _scores(_counts(BY_STAGE[stage], frame, MONTH), "batch_id")
-        parts.append(
-            f"SELECT *, STRPTIME(SUBSTR(batch_id, 3) || '01', '%Y%m%d') + INTERVAL '{hour}' HOUR AS recorded_at "
-            f"FROM ({scores})"
-        )
-    return "\nUNION ALL ".join(parts)
+def _two_batches(sql: str) -> str:
+    """The result of ``sql`` for both stored batches: all trades, and those of every other supplier."""
+    half = f"SELECT * FROM ({CTES['raw']}) WHERE src_suppkey % 2 = 0"
+    return f"""
+        SELECT 'b_1' AS batch_id, * FROM ({sql})
+        UNION ALL SELECT 'b_2' AS batch_id, * FROM ({sql.replace(CTES["raw"], half)})"""
+
+
+def _stored_scores() -> str:
+    union = "\nUNION ALL ".join(f"SELECT * FROM ({_scores(_counts(BY_STAGE[s], f))})" for s, f in FRAMES.items())
+    return _two_batches(_with(union, *FRAMES.values()))
+
+
+def _stored_violations() -> str:
+    union = "\nUNION ALL ".join(
+        f"SELECT checkpoint, rule_name, failing_rows FROM ({_counts(BY_STAGE[s], f)})" for s, f in FRAMES.items()
+    )
+    counts = _two_batches(_with(union, *FRAMES.values()))
+    return f"""SELECT batch_id, checkpoint, rule_name, CAST(failing_rows AS BIGINT) AS violations
+               FROM ({counts}) WHERE failing_rows > 0"""
 
 
 # --- run metadata ------------------------------------------------------------
@@ -287,12 +296,13 @@ def _stage_counts() -> str:
           FROM ({union}) GROUP BY ALL)"""
 
 
-def _runs() -> str:
-    return f"""
-        SELECT batch_id, 'trades' AS pipeline_name,
-          STRPTIME(SUBSTR(batch_id, 3) || '01', '%Y%m%d') + INTERVAL '1' HOUR * stage_order AS started_at,
-          stage_name, 'SUCCESS' AS status, records_in, records_out, records_dead_total AS records_dead
-        FROM ({_stage_counts()})"""
+def _stored_runs() -> str:
+    counts = _stage_counts().replace(f"{MONTH} AS batch_id", "'all' AS batch_id")
+    return _two_batches(_with(
+        f"""SELECT 'trades' AS pipeline_name, stage_name, 'SUCCESS' AS status, records_in, records_out,
+              records_dead, records_dead_total FROM ({counts})""",
+        *_RUN_FRAMES,
+    ))
 
 
 _RUN_FRAMES = ("raw", "cleaned", "failed", "duplicates")
@@ -325,14 +335,46 @@ COLOURS = " ".join(f"WHEN '{layer}' THEN '{colour}'" for layer, colour in LAYER_
 KNOWN = f"CASE WHEN {LAYER.format(none='other')} IN ({_list(LAYER_ORDER)}) THEN {LAYER.format(none='other')} ELSE 'other' END"
 
 
+EDGES = """
+  ('raw.trade_id', 'typed.trade_id', 'type_cast', 'clean'),
+  ('raw.notional', 'typed.notional', 'type_cast', 'clean'),
+  ('raw.quantity', 'typed.quantity', 'type_cast', 'clean'),
+  ('raw.trade_date', 'typed.trade_date', 'type_cast', 'clean'),
+  ('raw.settlement_date', 'typed.settlement_date', 'type_cast', 'clean'),
+  ('raw.counterparty_id', 'typed.counterparty_id', 'type_cast', 'clean'),
+  ('raw.product_id', 'typed.product_id', 'type_cast', 'clean'),
+  ('raw.currency', 'typed.currency', 'type_cast', 'clean'),
+  ('raw.direction', 'typed.direction', 'type_cast', 'clean'),
+  ('typed.trade_id', 'dedup.trade_id', 'dedup', 'clean'),
+  ('clean.notional', 'enriched.notional_usd', 'fx_convert', 'enrich'),
+  ('enriched.notional_usd', 'enriched.notional_eur', 'fx_to_eur', 'enrich'),
+  ('clean.trade_date', 'enriched.days_to_settlement', 'date_expand', 'enrich'),
+  ('clean.trade_date', 'enriched.trade_year', 'date_expand', 'enrich'),
+  ('clean.trade_date', 'enriched.trade_quarter', 'date_expand', 'enrich'),
+  ('clean.trade_date', 'enriched.trade_month', 'date_expand', 'enrich'),
+  ('clean.trade_date', 'enriched.trade_day_of_week', 'date_expand', 'enrich'),
+  ('clean.trade_date', 'enriched.is_month_end', 'date_expand', 'enrich'),
+  ('clean.trade_date', 'enriched.is_trading_day', 'date_expand', 'enrich'),
+  ('clean.counterparty_id', 'enriched.lei_code', 'lei_lookup', 'enrich'),
+  ('clean.counterparty_id', 'enriched.legal_entity_name', 'lei_lookup', 'enrich'),
+  ('clean.counterparty_id', 'enriched.lei_country', 'lei_lookup', 'enrich'),
+  ('clean.counterparty_id', 'enriched.credit_rating', 'lei_lookup', 'enrich'),
+  ('enriched.notional_usd', 'risk_report.usd_exposure', 'exposure_rollup', 'enrich'),
+  ('risk_report.usd_exposure', 'risk_report.eur_exposure', 'eur_conversion', 'enrich'),
+  ('enriched.notional_usd', 'enriched.net_notional_usd', 'position_net', 'enrich'),
+  ('enriched.notional_usd', 'fact_trades.notional_usd', 'write_star_schema', 'load'),
+  ('enriched.notional_eur', 'fact_trades.notional_eur', 'write_star_schema', 'load'),
+  ('enriched.net_notional_usd', 'fact_trades.net_notional_usd', 'write_star_schema', 'load')"""
+
+
 def _emitted() -> str:
     fills = "\nUNION ALL ".join(
         f"SELECT {MONTH} AS batch_id, 'raw.{c}' AS source, 'clean.{c}' AS target, 'null_fill' AS transform, "
-        f"'clean' AS stage, '{{\"null_count\":\"' || COUNT(*) || '\",\"fill_value\":\"{v}\"}}' AS metadata "
+        f"'clean' AS stage, '{{\"null_count\":' || COUNT(*) || ',\"fill_value\":\"{v}\"}}' AS metadata "
         f"FROM raw WHERE {c} IS NULL GROUP BY 1"
         for c, v in NULL_DEFAULTS.items()
     )
-    steps = ", ".join(f"('{s}', '{t}', '{n}', '{g}')" for s, t, n, g in step_edges())
+    steps = EDGES
     always = (
         f"SELECT batch_id, source, target, transform, stage, '{{}}' AS metadata FROM "
         f"(SELECT DISTINCT {MONTH} AS batch_id FROM raw), "
@@ -400,7 +442,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_parquet": "SELECT * FROM orders",
         "scan_csv_roundtrip": _with(f"SELECT {_FEED} FROM raw", "raw"),
         "scan_latest_file": _with(f"SELECT {_FEED} FROM raw WHERE settlement_status <> 'SETTLED'", "raw"),
-        "metadata_roundtrip": _with(_runs(), *_RUN_FRAMES),
+        "metadata_roundtrip": _stored_runs(),
         "lineage_json_roundtrip": _with(
             "SELECT source, target, transform, stage, batch_id, metadata FROM graph", "graph"
         ),
@@ -516,6 +558,14 @@ def oracle_sql() -> dict[str, str]:
                  LEFT JOIN statuses s ON s.status_code = COALESCE(a.settlement_status, 'UNKNOWN')""",
             "attributes", "products", "counterparties", "statuses",
         ),
+        "fact_unique_rejects": _with(
+            """SELECT trade_id, src_suppkey, src_partkey, CASE WHEN valid THEN 'trade_id_not_unique'
+                 ELSE 'direction_not_allowed' END AS constraint_reason
+               FROM (SELECT *, COUNT(*) OVER (PARTITION BY trade_id, valid) AS n FROM (
+                 SELECT *, direction IN ('BUY', 'SELL', 'UNKNOWN') AS valid FROM typed))
+               WHERE NOT valid OR n > 1""",
+            "typed",
+        ),
         "fact_constraint_rejects": _with(
             """SELECT trade_id, direction, 'direction_not_allowed' AS constraint_reason FROM cleaned
                WHERE direction NOT IN ('BUY', 'SELL', 'UNKNOWN')""",
@@ -584,15 +634,16 @@ def oracle_sql() -> dict[str, str]:
                 FROM ({stored}) GROUP BY ALL""",
             "raw",
         ),
-        "latest_scores": _with(
-            f"SELECT * FROM ({_history()}) ORDER BY recorded_at DESC, batch_id, checkpoint LIMIT 20",
-            *FRAMES.values(),
-        ),
-        "vw_dq_score_trend": _with(f"SELECT * EXCLUDE (rules_skipped) FROM ({_history()})", *FRAMES.values()),
-        "dq_scorecard": _with(
-            f"""SELECT batch_id, checkpoint, dq_score, total_violations, rules_failed FROM ({_history()})
-                ORDER BY recorded_at DESC, batch_id DESC, checkpoint DESC LIMIT 1""",
-            *FRAMES.values(),
+        "latest_scores": _stored_scores(),
+        "vw_dq_score_trend": f"SELECT * EXCLUDE (rules_skipped) FROM ({_stored_scores()})",
+        "dq_scorecard": f"""SELECT batch_id, checkpoint, dq_score, total_violations, rules_failed
+            FROM ({_stored_scores()}) WHERE batch_id = 'b_2' AND checkpoint = 'pre_load'""",
+        "dq_stored_violations": _stored_violations(),
+        "dq_rule_errors": _with(
+            """SELECT 'product_present' AS rule_name, 'ERROR' AS severity, 'product_id' AS field_name, COUNT(*) AS violations
+               FROM raw WHERE product_id IS NULL
+               UNION ALL SELECT 'no_field', 'ERROR', 'unknown', 1 UNION ALL SELECT 'bad_bound', 'ERROR', 'quantity', 1""",
+            "raw",
         ),
         # dead letters
         "dlq_roundtrip": _with(
@@ -623,9 +674,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         # run metadata
         "stage_counts": _with(_stage_counts(), *_RUN_FRAMES),
-        "latest_runs": _with(
-            f"SELECT * FROM ({_runs()}) ORDER BY started_at DESC, batch_id, stage_name LIMIT 200", *_RUN_FRAMES
-        ),
+        "latest_runs": f"SELECT * FROM ({_stored_runs()}) WHERE batch_id = 'b_2'",
         # lineage
         "lineage_emitted": _with(_emitted(), "raw"),
         "lineage_batch_edges": _with("SELECT * FROM log WHERE batch_id = 'b_3'", "log"),
