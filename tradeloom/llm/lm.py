@@ -124,7 +124,8 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, size: int = 150
     ``target`` has the doc_id of each document of the target corpus.
     """
     vocabulary = frequent_words(docs, size)
-    wanted = target.select(F.col("doc_id").cast("long").alias("__wanted")).distinct()
+    # One plan at every size: labels grow with the documents, so they are never broadcast.
+    wanted = target.select(F.col("doc_id").cast("long").alias("__wanted")).distinct().hint("merge")
     marked = docs.select(F.col("doc_id").cast("long").alias("__doc"), "text").join(
         wanted, F.col("__doc") == F.col("__wanted"), "left"
     )
