@@ -1,15 +1,16 @@
 """Near-duplicate documents by min-max hashing.
 
 Every permutation of the shingles gives two signature values, the smallest and the
-largest, so 64 evaluations give 128 values. Bands of four values are the buckets:
-two sets with similarity 0.75 share one of 32 with probability 1 - 5e-6.
+largest, so 192 evaluations give 384 values. Bands of four of the first 128 values
+are the buckets: two sets with similarity 0.75 share one of 32 with probability
+1 - 5e-6.
 
 Documents with the same set form a class, and only its smallest id goes on. In a
 first round every bucket links its members to one pivot, the member that shares
 most buckets with others, and the links are confirmed on the full sets. Buckets
 whose members then lie in several components are searched whole: the members
 outside the largest component against all, in blocks of bounded size, by their
-signatures (128 bytes each), and what looks at least 0.6 similar (four standard
+signatures (384 bytes each), and what looks at least 0.66 similar (four standard
 deviations below the limit) is confirmed on the full sets. Members of
 one component need no comparing: a link between them changes nothing.
 
@@ -30,10 +31,10 @@ from tradeloom.llm.text import fresh, in_arrow, texts
 
 NO_ID = -(2**63)
 WORDS = 5
-PERMUTATIONS, ROWS_PER_BAND = 64, 4
+PERMUTATIONS, BANDS, ROWS_PER_BAND = 192, 32, 4
 BLOCK = 1024
 #: Shingles hashed at a time, so that a very long text needs no more memory.
-STRETCH = 8192
+STRETCH = 2048
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -83,7 +84,7 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def bands(values: np.ndarray) -> np.ndarray:
-    grouped = _mix(values).reshape(-1, ROWS_PER_BAND) * JOIN
+    grouped = _mix(values[: BANDS * ROWS_PER_BAND]).reshape(-1, ROWS_PER_BAND) * JOIN
     return _mix(grouped.sum(1, dtype=np.uint64) + np.arange(len(grouped), dtype=np.uint64))
 
 
@@ -146,8 +147,9 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def alike(batches, schema: pa.Schema, percent: int, least: float):
     """Of rows sorted by (key, i, j), pairs of one key with different components that look alike.
 
-    A row's side tells whether it stands left (outside the largest component), right
-    or both; rows of a key that goes on in the next batch are kept for it.
+    A row's side tells whether it stands left (1) or right (2), and whether it is
+    outside the largest component (4); rows of a key that goes on in the next batch
+    are kept for it. Every pair comes once, from the first bucket that both share.
     """
     rest = None
     for batch in [*batches, None] if isinstance(batches, list) else _then_none(batches):
@@ -166,6 +168,9 @@ def alike(batches, schema: pa.Schema, percent: int, least: float):
             continue
         now, key = now.slice(0, cut), key[:cut]
         side, node, part, size = (now.column(c).to_numpy() for c in range(3, 7))
+        band = now.column(8).combine_chunks().flatten().to_numpy().reshape(cut, -1)
+        here = (band == key[:, :1]).argmax(1)  # which of its bands a row stands for
+        left, right, minor = side & 1, (side >> 1) & 1, side >> 2
         sig = np.frombuffer(b"".join(now.column(7).to_pylist()), np.uint8).reshape(cut, -1)
         group = np.concatenate(([0], np.cumsum((key[1:] != key[:-1]).any(1))))
         for k in range(1, cut):
@@ -173,14 +178,19 @@ def alike(batches, schema: pa.Schema, percent: int, least: float):
             if not len(a):
                 break
             b = a + k
-            # 1: left, 2: right, 3: both
-            meet = ((side[a] & 1) & (side[b] >> 1)) | ((side[b] & 1) & (side[a] >> 1))
+            one_way, other_way = left[a] & right[b], left[b] & right[a]
             lesser, larger = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
-            keep = (meet > 0) & (part[a] != part[b]) & (100 * lesser >= percent * larger)
+            keep = ((one_way | other_way) > 0) & (part[a] != part[b]) & (100 * lesser >= percent * larger)
+            # Two minors meet in two blocks, once either way round: the smaller on the left counts.
+            wrong = np.where(one_way == 1, node[a] > node[b], node[b] > node[a])
+            keep &= ~((minor[a] & minor[b] & (one_way ^ other_way)) == 1) | ~wrong
             a, b = a[keep], b[keep]
             for s in range(0, len(a), 100_000):
                 x, y = a[s : s + 100_000], b[s : s + 100_000]
                 near = (sig[x] == sig[y]).mean(1) >= least
+                x, y = x[near], y[near]
+                # Of all buckets that a pair shares, the first gives it.
+                near = (band[x] == band[y]).argmax(1) == here[x]
                 for u, v in zip(node[x[near]].tolist(), node[y[near]].tolist()):
                     yield min(u, v), max(u, v)
 
@@ -206,25 +216,25 @@ def second_round(held: DataFrame, parts: DataFrame, about: DataFrame, percent: i
     place = F.xxhash64("doc_id")
     left_blocks, right_blocks = F.ceil(F.col("minors") / BLOCK).cast("int"), F.ceil(F.col("n") / BLOCK).cast("int")
     own_left, own_right = F.pmod(place, left_blocks).cast("int"), F.pmod(place, right_blocks).cast("int")
-    common = ["key", "doc_id", "part", "n_shingles", "sig"]
+    common = ["key", "doc_id", "part", "n_shingles", "sig", "bands"]
     minor = F.col("part") != F.col("major")
     one = (left_blocks == 1) & (right_blocks == 1)
-    right = rows.filter(~one).select(*common, F.explode(F.sequence(F.lit(0), left_blocks - 1)).alias("i"), own_right.alias("j"), F.lit(2).alias("side"))
-    left = rows.filter(minor & ~one).select(*common, own_left.alias("i"), F.explode(F.sequence(F.lit(0), right_blocks - 1)).alias("j"), F.lit(1).alias("side"))
-    plain = rows.filter(one).select(*common, F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(minor, 3).otherwise(2).alias("side"))
-    blocks = left.unionByName(right).unionByName(plain).select("key", "i", "j", "side", "doc_id", "part", "n_shingles", "sig")
+    right = rows.filter(~one).select(*common, F.explode(F.sequence(F.lit(0), left_blocks - 1)).alias("i"), own_right.alias("j"), F.when(minor, 6).otherwise(2).alias("side"))
+    left = rows.filter(minor & ~one).select(*common, own_left.alias("i"), F.explode(F.sequence(F.lit(0), right_blocks - 1)).alias("j"), F.lit(5).alias("side"))
+    plain = rows.filter(one).select(*common, F.lit(0).alias("i"), F.lit(0).alias("j"), F.when(minor, 7).otherwise(2).alias("side"))
+    blocks = left.unionByName(right).unionByName(plain).select("key", "i", "j", "side", "doc_id", "part", "n_shingles", "sig", "bands")
     dealt = blocks.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
     schema = pa.schema(list(zip(dealt.columns, kinds)))
 
     def cast(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(k).cast(t) for k, t in enumerate(kinds)], schema=schema)
 
-    return in_arrow(dealt, lambda batches: alike(cast(batches), schema, percent, least), "u long, v long").distinct()
+    return in_arrow(dealt, lambda batches: alike(cast(batches), schema, percent, least), "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, least: float = 0.6) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, least: float = 0.66) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     sketch = settle(sketches(docs), "sketches")
     full = sketch.filter("n_shingles > 0")
@@ -250,7 +260,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, least: float = 0.6) -> D
     # Rows with one id are one node, so an id also links the classes of its rows.
     ids = member.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v")).filter("u != v").select("u", "v")
     parts = settle(components(first), "parts")
-    narrow = about.select("doc_id", "n_shingles", "sig")
+    narrow = about.select("doc_id", "n_shingles", "sig", "bands")
     second = settle(confirm(second_round(held, parts, narrow, percent, least), sets, percent), "links")
     tree = parts.select(F.col("component").alias("u"), F.col("node").alias("v"))
     final = components(tree.union(second).union(ids))
