@@ -174,6 +174,21 @@ def test_scores_of_odd_rows(spark):
     assert lm.cross_entropy_difference(cases.docs(spark, []), none).count() == 0
 
 
+def test_scores_with_all_words(spark, monkeypatch):
+    rows = [(k, " ".join(f"w{(k * 131 + j * j) % 2500}" for j in range(150))) for k in range(40)] + [(90, None), (None, "w1 w2"), (None, "w3")]
+    targets = set(range(0, 40, 3))
+    target = spark.createDataFrame([(k,) for k in targets], "doc_id long")
+    want = sorted(plain_bigrams(rows, targets, 10**9, 50.0), key=repr)
+    for size in (lm.CHUNK, 100):  # texts longer than a chunk are cut
+        monkeypatch.setattr(lm, "CHUNK", size)
+        found = lm.cross_entropy_difference(cases.docs(spark, rows), target)
+        have = sorted(((r.doc_id, r.n_tokens, r.ce_target, r.ce_background) for r in found.collect()), key=repr)
+        assert len({w for _, t in rows for w in (t or "").split()}) > 1500
+        for h, w in zip(have, want, strict=True):
+            assert h[:2] == w[:2]
+            assert h[2] == pytest.approx(w[2], abs=1e-6) and h[3] == pytest.approx(w[3], abs=1e-6)
+
+
 def plain_marginals(score, switch):
     """P(good) of each line by listing all labellings."""
     n = len(score)
