@@ -239,3 +239,19 @@ def test_quality_of_odd_rows(spark):
     nothing = labels.limit(0)
     assert {r.score for r in quality.quality_scores(table, nothing).collect()} == {0.5}
     assert quality.quality_scores(cases.docs(spark, []), nothing).count() == 0
+
+
+def test_quality_learns_from_lines_after_the_first_200(spark):
+    def text(k, tail):
+        return "\n".join([" ".join(cases.words(1000 * k + j, 8)) for j in range(200)] + [tail(1000 * k + j) for j in range(200, 600)])
+
+    def plain(j):
+        return " ".join(cases.words(j, 8))
+
+    def junk(j):
+        return f"### $$ || {j} !! <>"
+
+    rows = [(k, text(k, junk if k % 2 else plain)) for k in range(40)]
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(40)], "doc_id long, quality int")
+    score = {r.doc_id: r.score for r in quality.quality_scores(cases.docs(spark, rows), labels).collect()}
+    assert min(score[k] for k in range(0, 40, 2)) > 0.6 and max(score[k] for k in range(1, 40, 2)) < 0.4

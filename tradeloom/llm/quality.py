@@ -4,7 +4,9 @@ Every line with a word is labelled good or bad. A line's features are its own,
 those of the line before and of the line after. The chain is fitted on labelled
 documents whose lines all carry the document's label; a document's score is the
 mean of its lines' marginal probabilities of being good, from forward-backward,
-weighted by line length, and then set by a logistic curve.
+weighted by line length, and then set by a logistic curve. The fit sees all lines:
+a document of more than CHAIN lines is cut into chains for it, whose lines keep the
+features of their neighbours; the curve is fitted on the means of whole documents.
 
 The fit uses at most ``bound`` labelled documents, chosen by a hash of their id;
 all of them up to that number. Rows without doc_id or label are not learned from;
@@ -24,6 +26,8 @@ from tradeloom.llm.text import fresh, in_arrow, remainder, texts
 
 N_OWN = 13
 N_ALL = 3 * N_OWN + 3
+#: Lines of a chain in the fit; scoring takes whole documents.
+CHAIN = 200
 DELETE_UPPER = bytes(range(65, 91))
 SYMBOLS = b"#*$%&|<>{}[]\\^~_=+@"
 
@@ -104,21 +108,23 @@ def marginals(scores: np.ndarray, switch: np.ndarray, mask: np.ndarray) -> tuple
 def fit(features: list[np.ndarray], sizes: list[np.ndarray], labels: np.ndarray, rounds: int = 80) -> dict:
     """Maximum likelihood by Adam, with a small penalty; then the logistic curve of the score."""
     weight, switch = np.zeros(N_ALL), np.zeros((2, 2))
-    order = sorted((i for i in range(len(features)) if len(features[i])), key=lambda i: len(features[i]))
+    chains = [(f[at : at + CHAIN], y) for f, y in zip(features, labels) for at in range(0, len(f), CHAIN)]
+    order = sorted(range(len(chains)), key=lambda i: len(chains[i][0]))
     packs = []
     for part in np.array_split(np.array(order, int), max(1, len(order) // 256)):
         if not len(part):
             continue
-        lines = len(features[part[-1]])
+        lines = len(chains[part[-1]][0])
         x, mask = np.zeros((len(part), lines, N_ALL)), np.zeros((len(part), lines), bool)
         for row, i in enumerate(part):
-            x[row, : len(features[i])], mask[row, : len(features[i])] = features[i], True
-        packs.append((x, mask, labels[part], part))
-    n_lines = sum(m.sum() for _, m, _, _ in packs) or 1
+            n = len(chains[i][0])
+            x[row, :n], mask[row, :n] = chains[i][0], True
+        packs.append((x, mask, np.array([chains[i][1] for i in part])))
+    n_lines = sum(m.sum() for _, m, _ in packs) or 1
     moment, square = np.zeros(N_ALL + 4), np.zeros(N_ALL + 4)
     for k in range(1, rounds + 1):
         step, step2 = np.zeros(N_ALL), np.zeros((2, 2))
-        for x, mask, y, _ in packs:
+        for x, mask, y in packs:
             good, pairs, _ = marginals(x @ weight, switch, mask)
             want = mask * y[:, None]
             step += ((want - good)[:, :, None] * x).sum((0, 1))
@@ -179,8 +185,7 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = 6000) -> dict | None:
         for batch in batches:
             for doc_id, quality, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch)):
                 x, s = document_features(text)
-                # Long documents are thinned to whole chains of at most 200 lines for the fit alone.
-                yield doc_id, quality, len(x[:200]), x[:200].astype(np.float32).tobytes(), s[:200].tobytes()
+                yield doc_id, quality, len(x), x.astype(np.float32).tobytes(), s.tobytes()
 
     chosen = both.select("doc_id", "quality", "text")
     found = in_arrow(chosen, rows, "doc_id long, quality int, n int, x binary, s binary").toPandas()
