@@ -59,6 +59,19 @@ def test_expected_uses_sum_to_the_words(vocabulary):
     assert abs((uses[:, 0] * length).sum() - (3 * 4 + 2 * 3)) < 1e-6  # characters with the mark
 
 
+def test_pieces_and_words_of_every_length_are_used(vocabulary):
+    assert max(map(len, vocabulary.pieces)) > 8
+    piece = max((p for p in vocabulary.pieces if p[0] == "▁" and p[1:].isalpha()), key=len)
+    uniform = np.full((len(vocabulary.pieces), 1), 1 / len(vocabulary.pieces))
+    uses = langid.expected([piece[1:]], np.array([[1.0]]), vocabulary, uniform)
+    assert uses[vocabulary.pieces.index(piece), 0] > 0.99
+    long = langid.expected(["the" * 200], np.array([[5.0]]), vocabulary, uniform)
+    length = np.array([len(p) for p in vocabulary.pieces])
+    assert (long[:, 0] * length).sum() == pytest.approx(5 * 601)
+    learned = langid.fit(["the" * 200], np.array([[50.0]]), vocabulary)
+    assert np.isfinite(learned).all() and learned.max() > 100 * learned.min()
+
+
 def test_languages_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     found = langid.languages(docs, PIECES)

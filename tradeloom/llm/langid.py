@@ -29,7 +29,8 @@ from tradeloom.llm.text import in_arrow, remainder
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
 BITS = 20
-LONGEST = 8
+#: Characters of the longest piece of the vocabulary.
+LONGEST = 16
 FLOOR = 1e-7
 #: Characters (words x longest word) that one step of work may hold.
 CELLS = 400_000
@@ -41,12 +42,14 @@ def code_points(words: list[str], width: int) -> np.ndarray:
 
 
 class Vocabulary:
-    """Pieces of at most LONGEST characters, found by a 64-bit hash of their characters."""
+    """All pieces, found by a 64-bit hash of their characters."""
 
     def __init__(self, path: str):
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = {model.id_to_piece(k) for k in range(model.get_piece_size()) if not model.is_control(k) and not model.is_byte(k)}
-        self.pieces = sorted(p for p in names if 0 < len(p) <= LONGEST)
+        self.pieces = sorted(p for p in names if p)
+        if max(map(len, self.pieces)) > LONGEST:
+            raise ValueError(f"a piece has more than {LONGEST} characters")
         self.powers = np.array([pow(int(BASE), k, 2**64) for k in range(LONGEST + 1)], np.uint64)
         hashes = np.array([self._hash(p) for p in self.pieces], np.uint64)
         self.tables = []
@@ -114,10 +117,11 @@ def word_scores(words: list[str], vocabulary: Vocabulary, prob: np.ndarray) -> n
             value = np.zeros_like(scale)
             for size in range(1, min(LONGEST, e) + 1):
                 piece = vocabulary.find(hashes[e] - hashes[e - size] * vocabulary.powers[size])
-                weight = padded[piece]
                 if size == 1:
-                    weight = np.maximum(weight, FLOOR)
-                value += recent[-size] * weight
+                    value += recent[-1] * np.maximum(padded[piece], FLOOR)
+                else:
+                    hit = np.flatnonzero(piece >= 0)
+                    value[hit] += recent[-size][hit] * prob[piece[hit]]
             recent = [*recent[-LONGEST + 1 :], value]
             if e % 16 == 0:
                 most = np.maximum.reduce(recent)
@@ -133,37 +137,46 @@ def word_scores(words: list[str], vocabulary: Vocabulary, prob: np.ndarray) -> n
 def expected(words: list[str], counts: np.ndarray, vocabulary: Vocabulary, prob: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece by language, over all segmentations."""
     total = np.zeros_like(prob)
-    padded = np.vstack([prob, np.zeros(prob.shape[1])])
     for part in chunks(words):
         hashes, lengths = prefix_hashes([words[k] for k in part])
         ends, n, langs = len(hashes), len(part), prob.shape[1]
-        pieces = np.full((ends, LONGEST + 1, n), -1, np.int32)
-        forward, backward = np.zeros((ends, n, langs)), np.zeros((ends, n, langs))
-        forward[0] = 1
-        weights = {}
+        # Logarithms of the forward sums; a piece's share in the sum at its end is at most 1 at every length.
+        forward, found = np.zeros((ends, n, langs)), {}
         for e in range(1, ends):
+            value = np.zeros((n, langs))
             for size in range(1, min(LONGEST, e) + 1):
-                pieces[e, size] = vocabulary.find(hashes[e] - hashes[e - size] * vocabulary.powers[size])
-                w = padded[pieces[e, size]]
-                weights[e, size] = np.maximum(w, FLOOR) if size == 1 else w
-                forward[e] += forward[e - size] * weights[e, size]
-        backward[lengths, np.arange(n)] = 1
-        whole = np.maximum(forward[lengths, np.arange(n)], 1e-300)
+                piece = vocabulary.find(hashes[e] - hashes[e - size] * vocabulary.powers[size])
+                hit = np.flatnonzero(piece >= 0)
+                found[e, size] = hit, piece[hit]
+                weight = prob[piece[hit]]
+                if size == 1:
+                    value[:] = FLOOR
+                    value[hit] = np.maximum(weight, FLOOR)
+                else:
+                    value[hit] += weight * np.exp(forward[e - size, hit] - forward[e - 1, hit])
+            forward[e] = forward[e - 1] + np.log(value)
+        inside = np.zeros((ends, n, langs))  # how probable it is that a piece ends here
+        inside[lengths, np.arange(n)] = 1
         for e in range(ends - 1, 0, -1):
             for size in range(1, min(LONGEST, e) + 1):
-                backward[e - size] += weights[e, size] * backward[e]
-                use = forward[e - size] * weights[e, size] * backward[e] / whole * counts[part]
-                known = pieces[e, size] >= 0
+                hit, piece = found[e, size]
+                weight = prob[piece]
+                if size == 1:
+                    every = np.full((n, langs), FLOOR)
+                    every[hit] = weight = np.maximum(weight, FLOOR)
+                    inside[e - 1] += every * np.exp(forward[e - 1] - forward[e]) * inside[e]
+                share = weight * np.exp(forward[e - size, hit] - forward[e, hit]) * inside[e, hit]
+                if size > 1:
+                    inside[e - size, hit] += share
+                use = share * counts[part[hit]]
                 for k in range(langs):
-                    np.add.at(total[:, k], pieces[e, size][known], use[known, k])
+                    np.add.at(total[:, k], piece, use[:, k])
     return total
 
 
 def fit(words: list[str], counts: np.ndarray, vocabulary: Vocabulary, rounds: int = 3) -> np.ndarray:
     """Piece probabilities by language (pieces x languages)."""
     prob = np.full((len(vocabulary.pieces), counts.shape[1]), 1 / len(vocabulary.pieces))
-    short = [k for k, w in enumerate(words) if len(w) <= 40]  # longer ones are no words to learn pieces from
-    words, counts = [words[k] for k in short], counts[short]
     for _ in range(rounds):
         got = expected(words, counts, vocabulary, prob) + 0.05
         prob = got / got.sum(0)
