@@ -93,6 +93,13 @@ def test_languages_of_odd_rows(spark):
     assert langid.languages(cases.docs(spark, []), PIECES).count() == 0
 
 
+def test_a_rare_language_is_learned(spark):
+    rows = [(k, "the house is on the hill " * 3, "en") for k in range(200)]
+    rows += [(1000 + k, "das haus ist auf dem berg " * 3, "de") for k in range(3)]
+    found = langid.languages(cases.docs(spark, rows), PIECES, bound_docs=2)
+    assert {r.doc_id for r in found.filter("lang_pred = 'de'").collect()} == {1000, 1001, 1002}
+
+
 def plain_repetition(text):
     words = (text or "").encode().split()
     n = len(words)

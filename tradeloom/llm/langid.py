@@ -6,9 +6,9 @@ pass over its characters gives it. Piece probabilities come from expectation
 maximisation over word counts. All words of a part of a task are taken side by
 side: one step of the pass handles one end position of all of them.
 
-The fit uses at most ``bound_docs`` labelled documents, chosen by a hash of their
-id, and at most ``bound_words`` of their most frequent words per language; all up
-to those numbers. Rows without id or language are not learned from. A text that is
+The fit uses at most ``bound_docs`` labelled documents per language, chosen by a hash
+of their id, and at most ``bound_words`` of their most frequent words; all up to those
+numbers, so every language with a labelled document outside the held-out fold is learned. Rows without id or language are not learned from. A text that is
 null, empty or without a letter is ``und`` with score 0, and so is every text if
 there is nothing to learn from. The score is the posterior of the predicted
 language under equal priors; of equal languages the first in order wins. Words
@@ -23,6 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradeloom.functions.staging import settle
 from tradeloom.llm.ids import in_parts
 from tradeloom.llm.text import in_arrow, remainder
 
@@ -189,10 +190,14 @@ def learn(docs: DataFrame, vocabulary: Vocabulary, bound_docs: int = 4000, bound
     known = docs.select(doc_id.alias("doc_id"), "lang").filter(
         doc_id.isNotNull() & F.col("lang").isNotNull() & (remainder(doc_id, 4) != 2)
     )
-    sample = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound_docs)
-    chosen = (
-        docs.select(doc_id.alias("doc_id"), "lang", "text").filter("lang is not null").join(F.broadcast(sample), "doc_id").select("lang", "text")
-    )
+    known = settle(known.distinct(), "labelled")
+    # Ids are thinned evenly first, so that no task gets all of a large language.
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("__n"))
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) * F.col("__n") < 4e6 * bound_docs + 1e8
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    thinned = known.join(F.broadcast(counts), "lang").filter(part)
+    sample = thinned.withColumn("__place", place).filter(F.col("__place") <= bound_docs).select("doc_id", "lang")
+    chosen = docs.select(doc_id.alias("doc_id"), "lang", "text").join(F.broadcast(sample), ["doc_id", "lang"]).select("lang", "text")
 
     def rows(batches):
         seen: Counter = Counter()
@@ -207,10 +212,12 @@ def learn(docs: DataFrame, vocabulary: Vocabulary, bound_docs: int = 4000, bound
     found = counted.withColumn("place", place).filter(F.col("place") <= bound_words).toPandas()
     if found.empty:
         return None
-    langs, words = sorted(found["lang"].unique()), sorted(found["word"].unique())
-    counts = np.zeros((len(words), len(langs)))
-    counts[np.searchsorted(words, found["word"]), np.searchsorted(langs, found["lang"])] = found["n"]
-    return langs, fit(words, counts, vocabulary)
+    langs = sorted(found["lang"].unique())
+    fitted = []
+    for lang in langs:  # each language by its own words
+        own = found[found["lang"] == lang].sort_values("word")
+        fitted.append(fit(own["word"].tolist(), own[["n"]].to_numpy(float), vocabulary))
+    return langs, np.hstack(fitted)
 
 
 def languages(docs: DataFrame, vocabulary_path: str, bound_docs: int = 4000, bound_words: int = 60_000) -> DataFrame:
