@@ -275,3 +275,17 @@ def test_quality_learns_from_lines_after_the_first_200(spark):
     labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(40)], "doc_id long, quality int")
     score = {r.doc_id: r.score for r in quality.quality_scores(cases.docs(spark, rows), labels).collect()}
     assert min(score[k] for k in range(0, 40, 2)) > 0.6 and max(score[k] for k in range(1, 40, 2)) < 0.4
+
+
+def test_rows_of_one_id_are_kept_by_their_own_text(spark):
+    def plain(k):
+        return "\n".join(" ".join(cases.words(100 * k + j, 8)) for j in range(8))
+
+    def junk(k):
+        return "\n".join(f"### $$ || {k * j} !! <>" for j in range(8))
+
+    rows = [(k, (junk if k % 2 else plain)(k)) for k in range(40)]
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(40)], "doc_id long, quality int")
+    more = [(None, plain(50)), (None, junk(51)), (60, plain(60)), (60, junk(61)), (60, plain(60))]
+    kept = quality.keep_good(cases.docs(spark, rows + more), labels).filter("doc_id is null or doc_id >= 40")
+    assert cases.pairs(kept, "doc_id", "text") == sorted([more[0], more[2], more[4]], key=repr)

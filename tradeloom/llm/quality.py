@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.llm.text import fresh, in_arrow, remainder, texts
+from tradeloom.llm.text import in_arrow, remainder, texts
 
 N_OWN = 13
 N_ALL = 3 * N_OWN + 3
@@ -197,6 +197,14 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = 6000) -> dict | None:
     return fit(x, s, np.clip(found["quality"].to_numpy(float), 0, 1))
 
 
+def score_of(text: bytes, model: dict | None) -> float:
+    if not model:
+        return 0.5
+    raw = mean_good(*document_features(text), model["weight"], model["switch"])
+    a, b = model["curve"].tolist()
+    return 1 / (1 + math.exp(-(a + b * (raw - 0.5))))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, bound: int = 6000) -> DataFrame:
     """doc_id, held_out, score and predicted for every row of ``docs``."""
     model = learn(docs, labels, bound)
@@ -204,11 +212,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, b
     def rows(batches):
         for batch in batches:
             for doc_id, fold, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch)):
-                score = 0.5
-                if model:
-                    raw = mean_good(*document_features(text), model["weight"], model["switch"])
-                    a, b = model["curve"].tolist()
-                    score = 1 / (1 + math.exp(-(a + b * (raw - 0.5))))
+                score = score_of(text, model)
                 yield doc_id, fold == 0, score, int(score >= threshold)
 
     doc_id = F.col("doc_id").cast("long")
@@ -217,8 +221,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, b
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, bound: int = 6000) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with all their columns."""
-    name = fresh(docs, "rejected")
-    scores = quality_scores(docs, labels, threshold, bound)
-    rejected = scores.filter("predicted = 0").select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(rejected, docs["doc_id"].cast("long").eqNullSafe(rejected[name]), "left_anti")
+    """The rows of ``docs`` that the classifier does not reject, with all their columns; each by its own text."""
+    model = learn(docs, labels, bound)
+
+    def good(text):
+        import pyarrow as pa
+
+        return pa.array([score_of(x or b"", model) >= threshold for x in text.cast(pa.binary()).to_pylist()], pa.bool_())
+
+    return docs.filter(F.arrow_udf(good, "boolean")("text"))
