@@ -111,6 +111,13 @@ def test_blocks_of_a_large_bucket_lose_no_link(spark, monkeypatch):
     assert cases.pairs(found, "doc_id", "n_shingles", "component_id", "kept") == plain_near(rows)
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    a, b, c = (cases.words(k, 60) for k in (501, 502, 503))
+    rows = [(20, " ".join(t)) for t in (a, b, c)] + [(30 + k, " ".join([*t, "more"])) for k, t in enumerate((a, b, c))]
+    found = minhash.near_duplicates(cases.docs(spark, rows))
+    assert cases.pairs(found, "doc_id", "component_id", "kept") == [(20, 20, True)] * 3 + [(30 + k, 20, False) for k in range(3)]
+
+
 def test_near_dedup_keeps_one_of_each(spark):
     rows = near_rows()
     table = cases.docs(spark, rows)

@@ -5,7 +5,8 @@ largest, so 192 evaluations give 384 values. Bands of four of the first 128 valu
 are the buckets: two sets with similarity 0.75 share one of 32 with probability
 1 - 5e-6.
 
-Documents with the same set form a class, and only its smallest id goes on. In a
+Documents with the same set form a class, and only one row of it goes on; classes,
+not ids, are linked, and in the end every class of an id to that id's smallest one. In a
 first round every bucket links its members to one pivot, the member that shares
 most buckets with others, and the links are confirmed on the full sets. Buckets
 whose members then lie in several components are searched whole: the members
@@ -22,6 +23,7 @@ gives an empty result; other columns are not looked at.
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,22 +90,26 @@ def bands(values: np.ndarray) -> np.ndarray:
     return _mix(grouped.sum(1, dtype=np.uint64) + np.arange(len(grouped), dtype=np.uint64))
 
 
+def class_key(found: np.ndarray) -> tuple[int, int]:
+    key = xxhash.xxh3_128_intdigest(found.tobytes())
+    return (key >> 64) - 2**63, (key & (2**64 - 1)) - 2**63
+
+
 def sketches(docs: DataFrame) -> DataFrame:
     def rows(batches):
-        hashes = _Hashes()
+        hashes, row = _Hashes(), TaskContext.get().partitionId() << 40
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch)):
-                found = shingles(text, hashes)
+                found, row = shingles(text, hashes), row + 1
                 if not len(found):
-                    yield doc_id, 0, None, None, [], None
+                    yield row, doc_id, 0, None, None, [], None
                     continue
-                key = xxhash.xxh3_128_intdigest(found.tobytes())
                 values = signature(found)
-                k1, k2 = (key >> 64) - 2**63, (key & (2**64 - 1)) - 2**63
+                k1, k2 = class_key(found)
                 small = (_mix(values) >> np.uint64(56)).astype(np.uint8).tobytes()
-                yield doc_id, len(found), k1, k2, bands(values).astype(np.int64), small
+                yield row, doc_id, len(found), k1, k2, bands(values).astype(np.int64), small
 
-    schema = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sig binary"
+    schema = "row long, doc_id long, n_shingles long, k1 long, k2 long, bands array<long>, sig binary"
     return in_arrow(_ranked(docs), rows, schema, flush=5000)
 
 
@@ -112,16 +118,18 @@ def _ranked(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, shingles (binary) of the documents in ``wanted`` (doc_id)."""
+    """doc_id (the class's node) and shingles (binary) of the classes in ``wanted`` (node, least, k1, k2)."""
 
     def rows(batches):
         hashes = _Hashes()
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), texts(batch)):
-                yield doc_id, shingles(text, hashes).tobytes()
+            for text in texts(batch):
+                found = shingles(text, hashes)
+                yield *class_key(found), found.tobytes()
 
-    picked = _ranked(docs).join(wanted, "doc_id", "left_semi")
-    return in_arrow(picked, rows, "doc_id long, shingles binary", flush=1000)
+    picked = _ranked(docs).join(wanted.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    found = in_arrow(picked.select("text"), rows, "k1 long, k2 long, shingles binary", flush=1000)
+    return found.join(wanted, ["k1", "k2"]).select(F.col("node").alias("doc_id"), "shingles").dropDuplicates(["doc_id"])
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -238,12 +246,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75, least: float = 0.66) ->
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     sketch = settle(sketches(docs), "sketches")
     full = sketch.filter("n_shingles > 0")
-    classes = full.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    classes = full.groupBy("k1", "k2").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"))
+    classes = settle(classes, "keys")
     member = settle(
-        sketch.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2"], "left").select("doc_id", "n_shingles", "rep"),
+        sketch.select("doc_id", "n_shingles", "k1", "k2").join(classes, ["k1", "k2"], "left").select("doc_id", "n_shingles", "rep", "least"),
         "members",
     )
-    about = full.join(classes, ["k1", "k2"]).filter("doc_id = rep").dropDuplicates(["k1", "k2"]).select("doc_id", "n_shingles", "sig", "bands")
+    # From here on a class's node stands in doc_id.
+    about = full.join(classes.select("rep"), F.col("row") == F.col("rep"), "left_semi").select(F.col("row").alias("doc_id"), "n_shingles", "sig", "bands")
     about = settle(about, "classes")
     band = about.select("doc_id", F.explode("bands").alias("key"))
     several = band.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -255,17 +265,22 @@ def near_duplicates(docs: DataFrame, percent: int = 75, least: float = 0.66) ->
     stars = held.join(pivots, "key").filter("doc_id != pivot").select(
         F.least("doc_id", "pivot").alias("u"), F.greatest("doc_id", "pivot").alias("v")
     ).distinct()
-    sets = settle(full_sets(docs, held.select("doc_id").distinct()).dropDuplicates(["doc_id"]), "sets")
+    wanted = classes.withColumnRenamed("rep", "node").join(held.select(F.col("doc_id").alias("node")).distinct(), "node", "left_semi")
+    sets = settle(full_sets(docs, wanted), "sets")
     first = settle(confirm(stars, sets, percent), "links")
     # Rows with one id are one node, so an id also links the classes of its rows.
-    ids = member.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("v")).filter("u != v").select("u", "v")
+    known = member.filter("rep is not null").select("doc_id", "rep").distinct()
+    several = known.groupBy("doc_id").agg(F.min("rep").alias("u"), F.max("rep").alias("top")).filter("u != top").select("doc_id", "u")
+    ids = known.join(several, "doc_id").select("u", F.col("rep").alias("v")).filter("u != v")
     parts = settle(components(first), "parts")
     narrow = about.select("doc_id", "n_shingles", "sig", "bands")
     second = settle(confirm(second_round(held, parts, narrow, percent, least), sets, percent), "links")
     tree = parts.select(F.col("component").alias("u"), F.col("node").alias("v"))
     final = components(tree.union(second).union(ids))
-    joined = member.join(final, member.rep == final.node, "left").select("doc_id", "n_shingles", "rep", "component")
-    component = F.coalesce("component", "rep", "doc_id")
+    least = final.join(classes.select("rep", "least"), F.col("node") == F.col("rep")).groupBy("component").agg(F.min("least").alias("smallest"))
+    named = final.join(least, "component").select("node", "smallest")
+    joined = member.join(named, member.rep == named.node, "left")
+    component = F.coalesce("smallest", "least", "doc_id")
     real = lambda c: F.when(c != NO_ID, c)
     return joined.select(
         real(F.col("doc_id")).alias("doc_id"), "n_shingles", real(component).alias("component_id"), (F.col("doc_id") == component).alias("kept")
