@@ -13,8 +13,9 @@ most CHUNK tokens. A chunk asks for each of its different words and bigrams once
 with its own counts of them; questions are dealt into buckets by hash, a bucket adds
 up and answers every chunk with the sums over all chunks. So a frequent bigram
 comes once a chunk, however many documents have it, and the number of buckets
-follows the number of tokens. Words and bigrams are told apart by 64 bits of hash
-(about one pair in 3e5 runs meets among ten million words).
+follows the number of tokens. Words and bigrams are told apart by 64 bits of hash:
+among n different ones about n * n / 2**65 pairs share their counts by accident (3e-6
+for ten million, 3 for ten thousand million).
 
 A null or empty text has no tokens and score 0. Without a target row both models
 agree and all scores are 0. Repeated rows count as often as they occur. An empty
