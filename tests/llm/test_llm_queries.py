@@ -1,17 +1,13 @@
 """The registered queries: SQL on the given tables, and the pipeline against plain stages."""
 
-import sys
-
 import cases
 import compare
 import pytest
 from pyspark.sql import functions as F
 
-sys.path.insert(0, "/root/repo")
-
-import corpus_pipeline  # noqa: E402
-from tradeloom.llm import quality, queries, suffix  # noqa: E402
-from test_dedup import plain_near, plain_suffix  # noqa: E402
+import corpus_pipeline
+from test_dedup import plain_near, plain_suffix
+from tradeloom.llm import quality, queries, suffix
 
 FOLDER = "/root/testdata/sf0.001"
 
