@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import bpe, exact, langid, lm, minhash, packing, quality, repetition, suffix, tokenfile
+from tradeloom.llm import bpe, exact, langid, lm, minhash, packing, quality, repair, repetition, suffix, tokenfile
 from tradeloom.llm.text import table
 
 
@@ -51,6 +51,11 @@ def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return repair.repair_report(repair.damage(conversations), conversations)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_minmax_hash_dedup": op2_minmax_hash_dedup,
@@ -62,6 +67,7 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 ORACLE = {
