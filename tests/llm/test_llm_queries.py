@@ -11,7 +11,7 @@ from tradeloom.llm import quality, queries, suffix
 
 FOLDER = "/root/testdata/sf0.001"
 #: Table and key of queries that read no documents.
-OTHER = {"op11_conversation_repair": ("conversations", "conv_id")}
+OTHER = {"op11_conversation_repair": ("conversations", "conv_id"), "op12_embedding_whitening": ("embeddings", "vec_id")}
 
 
 @pytest.mark.parametrize("name", queries.ORACLE)

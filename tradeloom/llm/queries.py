@@ -4,7 +4,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm import bpe, exact, langid, lm, minhash, packing, quality, repair, repetition, suffix, tokenfile
+from tradeloom.llm import (
+    bpe, exact, langid, licenses, lm, minhash, packing, quality, repair, repetition, suffix, tokenfile, whitening,
+)
 from tradeloom.llm.text import table
 
 
@@ -56,6 +58,14 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repair_report(repair.damage(conversations), conversations)
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op13_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder)).drop("notices", "expressions")
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_minmax_hash_dedup": op2_minmax_hash_dedup,
@@ -68,6 +78,8 @@ QUERIES = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_license_scan": op13_license_scan,
 }
 
 ORACLE = {
