@@ -14,7 +14,8 @@ from tradeloom.functions.staging import remove_scratch  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        # a task may fail once
+        SparkSession.builder.master("local[8,2]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")

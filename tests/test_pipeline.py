@@ -4,8 +4,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tradeloom.functions.fixed_values import TRADES_CSV_SCHEMA
+from tradeloom.functions.staging import settle, settle_counted
 from tradeloom.operators import clean, deadletter, star
 from tradeloom.plans import observability, pipeline, registry
+from tradeloom.plans.facts import FactStore
 from tradeloom.sources import files
 
 SCHEMA = (
@@ -73,15 +76,140 @@ def test_two_runs_of_a_pipeline(spark, tables):
 
 def test_unfinished_load_stays_invisible(spark, tables):
     pipeline.run_pipeline(feed(spark, trade("T1"), trade("T2")), tables.root, "b_1")
-    half = tables.read(spark, "fact_trades").withColumn("load_id", F.lit(2))
-    tables.append(half, "fact_trades", ("load_id",))
-    gone = half.select("trade_id", F.lit(1).alias("load_id"), F.lit(2).alias("replaced_by"))
-    tables.append(gone, "fact_replaced", ("replaced_by",))
+    store = FactStore(spark, tables)
+    half = settle(store.current().drop("bucket", "load_id"))
+    store.replace(half, 2)
+    store.append(half, 2)
     assert pipeline.current_facts(spark, tables).count() == 2
     pipeline.run_pipeline(feed(spark, trade("T2", "9.00")), tables.root, "b_2")
     assert rows(pipeline.current_facts(spark, tables), "trade_id", "notional") == [("T1", 100.0), ("T2", 9.0)]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def store_of(spark, tables, *loads):
+    store = FactStore(spark, tables, buckets=8)
+    for number, ids in enumerate(loads, 1):
+        facts = spark.createDataFrame([(f"T{k}", number * 1000 + k, float(number)) for k in ids], "trade_id string, trade_key bigint, notional double")
+        load_id = store.next_load()
+        store.replace(facts, load_id)
+        store.commit(load_id, f"b_{number}", store.append(facts, load_id))
+    return store
+
+
+def test_compaction_rewrites_touched_buckets_only(spark, tables):
+    store = store_of(spark, tables, range(200), [3, 5], [5, 900])
+    want = sorted([(f"T{k}", 1.0) for k in range(200) if k not in (3, 5)] + [("T3", 2.0), ("T5", 3.0), ("T900", 3.0)])
+    assert rows(store.current(), "trade_id", "notional") == want
+    before = {r.path for r in spark.read.format("binaryFile").load(f"{tables.path('fact_trades')}/bucket=*/load_id=*").select("path").collect()}
+    hit = store.compact()
+    assert 0 < len(hit) <= 2
+    after = {r.path for r in spark.read.format("binaryFile").load(f"{tables.path('fact_trades')}/bucket=*/load_id=*").select("path").collect()}
+    assert {p for p in before if not any(f"bucket={b}/" in p for b in hit)} == {p for p in after if not any(f"bucket={b}/" in p for b in hit)}
+    assert all("load_id=4/" in p for p in after if any(f"bucket={b}/" in p for b in hit))
+    assert rows(store.current(), "trade_id", "notional") == want
+    assert tables.read(spark, "fact_replaced") is None and store.compact() == []
+    assert store.next_load() == 5 and store.last_key() == 3900
+    # later loads and another session go on from there
+    again = FactStore(spark.newSession(), tables)
+    ids = again.spark.createDataFrame([("T7", 5000, 9.0)], "trade_id string, trade_key bigint, notional double")
+    again.replace(ids, 5)
+    again.append(ids, 5)
+    assert rows(store.current(), "trade_id", "notional") == want
+    again.commit(5, "b_5", 5000)
+    assert ("T7", 9.0) in rows(store.current(), "trade_id", "notional") and store.current().count() == len(want)
+
+
+def test_compaction_that_dies_changes_nothing(spark, tables, monkeypatch):
+    store = store_of(spark, tables, range(50), [3])
+    want = rows(store.current(), "trade_id", "notional")
+    monkeypatch.setattr(FactStore, "commit", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.compact()
+    monkeypatch.undo()
+    assert rows(store.current(), "trade_id", "notional") == want
+    assert len(store.compact()) == 1 and rows(store.current(), "trade_id", "notional") == want
+
+
+def test_current_facts_are_not_shuffled(spark, tables):
+    store = store_of(spark, tables, range(200), [3, 5])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(store.current())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "SelectedBucketsCount: 8 out of 8" in plan
+    assert "Exchange hashpartitioning" not in plan
+
+
+def test_writes_count_their_rows(spark, tables):
+    """Counts stand although every task fails once before it succeeds."""
+    from pyspark import TaskContext
+
+    def fails_once(batches):
+        yield from batches
+        if TaskContext.get().attemptNumber() == 0:
+            raise ValueError("lost")
+
+    source = spark.range(1000).repartition(5).mapInArrow(fails_once, "id long")
+    written, seen = settle_counted(source, even=F.count_if(F.col("id") % 2 == 0))
+    assert seen == {"rows": 1000, "even": 500} and written.count() == 1000
+
+
+def test_run_has_no_counting_job(spark, tables, monkeypatch):
+    def refuse(self):
+        raise AssertionError("count() was called")
+
+    monkeypatch.setattr(type(feed(spark)), "count", refuse)
+    run = pipeline.run_pipeline(feed(spark, trade("T1"), trade("T1"), trade("T2", "abc"), trade("T3")), tables.root, "b_1")
+    assert [r[4:8] for r in run.results] == [("SUCCESS", 4, 4, 0), ("SUCCESS", 4, 2, 2), ("SUCCESS", 2, 2, 0), ("SUCCESS", 2, 2, 0)]
+
+
+def test_malformed_lines_and_unreadable_numbers_are_dead_letters(spark, tables, tmp_path):
+    lines = [
+        "trade_id,product_id,counterparty_id,asset_class,currency,direction,notional,quantity,trade_date,settlement_date,settlement_status,exchange",
+        "T1,P1,CP001,FX,EUR,BUY,1.5,2,2026-05-20 00:00:00,2026-05-21 00:00:00,SETTLED,LSE",
+        "T2,P1,CP001,FX,EUR,BUY,1.5,abc,2026-05-20 00:00:00,2026-05-21 00:00:00,SETTLED,LSE",
+        "T3,P1,CP001,FX,EUR",
+        "T4,P1,CP001,FX,EUR,BUY,1.5,2,2026-05-20 00:00:00,2026-05-21 00:00:00,SETTLED,LSE,more",
+        "T5,P1,CP001,FX,EUR,BUY,1.5,,2026-05-20 00:00:00,2026-05-21 00:00:00,SETTLED,LSE",
+        "T6,P1,CP001,FX,EUR,BUY,1.5,2,no date,2026-05-21 00:00:00,SETTLED,LSE",
+    ]
+    path = tmp_path / "trades_1.csv"
+    path.write_text("\n".join(lines) + "\n")
+    source = files.read_feed(spark, str(path), TRADES_CSV_SCHEMA, keep_malformed=True)
+    run = pipeline.run_pipeline(source, tables.root, "b_1")
+    assert [r[4:8] for r in run.results][:2] == [("SUCCESS", 6, 4, 2), ("SUCCESS", 4, 2, 2)]
+    dead = deadletter.read(spark, tables.path("dead_letters"))
+    assert rows(dead.where("_dlq_stage = 'Ingest'"), "raw_line", "_dlq_reason") == [(lines[3], "malformed_line"), (lines[4], "malformed_line")]
+    assert dead.where("source_file LIKE '%trades_1.csv'").count() == 2
+    assert rows(dead.where("_dlq_stage = 'TypeCast'"), "trade_id", "quantity", "trade_date") == [
+        ("T2", "abc", "2026-05-20 00:00:00"), ("T6", "2", "no date"),
+    ]
+    assert rows(pipeline.current_facts(spark, tables), "trade_id", "quantity") == [("T1", 2.0), ("T5", 0.0)]
+    with pytest.raises(ValueError):
+        files.read_feed(spark, str(path), keep_malformed=True)
+
+
+def test_rows_that_fail_rules_become_dead_letters(spark, tables):
+    rules = [
+        {"name": "named", "type": "null_check", "field": "exchange", "severity": "WARN", "stage": "post_clean"},
+        {"name": "large", "type": "range_check", "field": "notional", "min": 10, "severity": "ERROR", "stage": "post_clean"},
+        {"name": "known", "type": "null_check", "field": "product_id", "severity": "CRITICAL", "stage": "post_clean"},
+    ]
+    source = feed(spark, trade("T1"), trade("T2", "1.00"), trade("T3", "1.00", product=None), trade("T4", product=None))
+    config = {"dead_letter_severities": {"clean": ["CRITICAL", "ERROR"]}}
+    run = pipeline.run_pipeline(source, tables.root, "b_1", stages=["clean"], config=config, rules=rules)
+    assert run.results[0][4:8] == ("SUCCESS", 4, 1, 3) and run.scores["post_clean"] < 100
+    dead = deadletter.read(spark, tables.path("dead_letters"), "b_1")
+    assert rows(dead, "trade_id", "_dlq_reason") == [
+        ("T2", "dq_failed: large"), ("T3", "dq_failed: large,known"), ("T4", "dq_failed: known"),
+    ]
+    assert "dq_route" not in dead.columns
+
+
 def test_failing_stage_keeps_its_input(spark, tables):
     broken = {"fx_convert": {"currency_col": "no_such_column"}}
     with pytest.raises(RuntimeError):

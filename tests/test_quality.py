@@ -122,3 +122,64 @@ def test_rule_lists(tmp_path):
 def test_run_all_orders_by_checkpoint(two):
     checkpoints = {r.checkpoint for r in quality.run_all(two).collect()}
     assert checkpoints == {"post_ingest", "post_clean", "pre_load"}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+FRESH = {"name": "fresh", "type": "freshness", "field": "d", "source": "src", "as_of": "2026-05-20", "max_age_days": 2, "stage": "s"}
+
+
+def test_freshness_reports_each_stale_source_once(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("a", "2026-05-18", None), ("a", "2020-01-01", "T1"), ("b", "2026-05-17", "T2"), ("b", "2026-05-16", "T3"), (None, "2026-05-01", "T4"),
+         ("c", None, "T5"), ("c", "no date", "T6")],
+        "src string, d string, trade_id string",
+    )
+    rules = [FRESH, {**NULL_RULE, "stage": "s"}, {**FRESH, "name": "none", "source": "zz"}, {**FRESH, "name": "bad", "max_age_days": "x"}]
+    evaluation = quality.evaluate(df, rules, "b1")
+    evaluation.violations.write.parquet(str(tmp_path / "v"))
+    found = spark.read.parquet(str(tmp_path / "v"))
+    assert rows(found.where("rule_name = 'fresh'"), "row_key", "offending_value", "severity", "field_name", "batch_id") == [
+        ("None", "2026-05-01 00:00:00", "ERROR", "d", "b1"), ("b", "2026-05-17 00:00:00", "ERROR", "d", "b1"), ("c", "NULL", "ERROR", "d", "b1"),
+    ]
+    assert found.where("rule_name = 'id_present'").count() == 1 and found.where("rule_name = 'bad'").first().offending_value.startswith("RULE_EX")
+    want = [("bad", 1, False), ("fresh", 3, False), ("id_present", 1, False), ("none", 0, True)]
+    assert rows(evaluation.counts(spark), "rule_name", "failing_rows", "skipped") == want
+    assert rows(quality.rule_counts(df, rules), "rule_name", "failing_rows", "skipped") == want
+    assert quality.run_checkpoint(df, "s", rules).first().total_violations == 5
+    by = quality.rule_counts(df.withColumn("k", F.col("src") == "a"), [FRESH], by=["k"])
+    assert rows(by, "k", "failing_rows") == [(False, 2), (None, 1), (True, 0)]
+
+
+def test_violations_are_counted_by_the_scan_that_writes_them(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1000).select(F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("trade_id")).write.parquet(path)
+    evaluation = quality.evaluate(spark.read.parquet(path), [NULL_RULE], "b")
+    plan = plan_of(evaluation.violations)
+    assert plan.count("FileScan") == 1 and "CollectMetrics" in plan and "Exchange" not in plan
+    evaluation.violations.write.parquet(str(tmp_path / "v"))
+    assert evaluation.counts(spark).first().failing_rows == 334
+
+
+def test_routes_take_the_worst_severity(spark, tmp_path):
+    rules = [
+        {"name": "w", "type": "range_check", "field": "n", "min": 1, "severity": "WARN", "stage": "s"},
+        {"name": "e", "type": "range_check", "field": "n", "min": 3, "severity": "ERROR", "stage": "s"},
+        {"name": "i", "type": "range_check", "field": "n", "max": 8, "severity": "INFO", "stage": "s"},
+        {"name": "absent", "type": "null_check", "field": "zz", "severity": "CRITICAL", "stage": "s"}, FRESH,
+    ]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(0,), (2,), (5,), (9,), (None,)], "n int").write.parquet(path)
+    df = spark.read.parquet(path)
+    routed = quality.routed(df, rules)
+    assert rows(routed, "n", "dq_route", "dq_rules") == [
+        (0, "ERROR", "w,e"), (2, "ERROR", "e"), (5, "PASS", ""), (9, "OTHER", "i"), (None, "ERROR", "w,e,i"),
+    ]
+    plan = plan_of(routed)
+    assert plan.count("FileScan") == 1 and "Join" not in plan and "Exchange" not in plan
+    kept, dead, left = quality.settle_routed(df, rules, ["ERROR"])
+    assert (left, kept.count(), dead.count()) == (2, 2, 3)
+    assert "PartitionFilters: [isnotnull(dq_route" in plan_of(dead) or "PartitionFilters: [dq_route" in plan_of(dead)
+    assert rows(quality.routed(df, []), "dq_route", "dq_rules") == [("PASS", "")] * 5

@@ -69,10 +69,10 @@ COLUMN_TYPES = {
     "direction": "string",
 }
 
-# --- feeds ------------------------------------------------------------------
+# --- feeds: every column that is cast later is text here ---------------------
 TRADES_CSV_SCHEMA = (
     "trade_id string, product_id string, counterparty_id string, asset_class string, "
-    "currency string, direction string, notional string, quantity double, "
+    "currency string, direction string, notional string, quantity string, "
     "trade_date string, settlement_date string, settlement_status string, exchange string"
 )
 

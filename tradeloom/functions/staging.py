@@ -8,10 +8,11 @@ handling) otherwise.
 """
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,10 +26,25 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+def _in_store(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, whatever store it is in, and the path for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, place = _in_store(spark, path)
+    return store.exists(place)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    store, place = _in_store(spark, path)
+    store.delete(place, True)
+
+
 def remove_scratch(spark: SparkSession) -> None:
-    """Delete this application's written intermediate tables, in whatever store they are."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete this application's written intermediate tables."""
+    delete_folder(spark, shared_folder(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -36,14 +52,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+def settle(df: DataFrame, name: str = "settled", partition: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once and continue from the written table."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def watched(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with its row count (``rows``) and further aggregates gathered by the job that writes it.
+
+    The metrics belong to the last stage of that job, where only the first success of
+    each task counts, so a repeated task does not change them.
+    """
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]), seen
+
+
+def settle_counted(
+    df: DataFrame, name: str = "settled", partition: Sequence[str] = (), **metrics: Column
+) -> tuple[DataFrame, dict]:
+    """``settle``, and the metrics of ``watched``."""
+    seen_rows, seen = watched(df, **metrics)
+    return settle(seen_rows, name, partition), seen.get
+
+
 def at_once(*jobs: Callable) -> list:
     """Run independent Spark jobs side by side and return their results in order.
 

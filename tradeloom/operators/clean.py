@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import COLUMN_TYPES, NULL_DEFAULTS
-from tradeloom.functions.staging import settle
+from tradeloom.functions.staging import settle, settle_counted
 
 NULL_TEXT = "<null>"
 UNORDERED_TYPES = ("map", "variant")
@@ -29,6 +29,20 @@ def null_fill(df: DataFrame, fills: Mapping | None = None) -> DataFrame:
     )
 
 
+FILL_SCHEMA = "column_name string, null_count bigint, fill_value string"
+
+
+def null_counters(df: DataFrame, fills: Mapping | None, good: Column) -> dict[str, Column]:
+    """An aggregate for each column that ``null_fill`` would fill: its nulls in good rows."""
+    return {c: F.count_if(good & F.col(c).isNull()) for c in _fills(df, fills)}
+
+
+def fill_rows(nulls: Mapping[str, int], fills: Mapping | None = None) -> list[tuple]:
+    """Rows of ``null_fill_counts`` from counted nulls."""
+    merged = {**NULL_DEFAULTS, **(fills or {})}
+    return [(c, n, str(merged[c])) for c, n in nulls.items()]
+
+
 def null_fill_counts(
     df: DataFrame, fills: Mapping | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -137,18 +151,43 @@ def dedup_split(
     """
     if not {*keys, order_col} <= set(df.columns):
         return df, df.limit(0)
-    rows = settle(df.withColumn(ROW_ID, F.monotonically_increasing_id()), "typed")
-    sortable = [f.name for f in rows.schema if f.dataType.typeName() not in UNORDERED_TYPES]
-    wanted = [c for c in sortable if c not in keys]
-    won = settle(
-        dedup(rows.select(*keys, *wanted), keys, order_col, ascending, [*tie_break]).select(ROW_ID), "won"
-    )
+    rows, won = _winners(df, keys, order_col, ascending, tie_break)
     return (
         rows.join(won, ROW_ID, "left_semi").drop(ROW_ID),
         rows.join(won, ROW_ID, "left_anti").drop(ROW_ID),
     )
 
 
+def _winners(
+    df: DataFrame, keys: Sequence[str], order_col: str, ascending: bool, tie_break: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """The rows written with an id, and the ids that win their key."""
+    rows = settle(df.withColumn(ROW_ID, F.monotonically_increasing_id()), "typed")
+    sortable = [f.name for f in rows.schema if f.dataType.typeName() not in UNORDERED_TYPES]
+    wanted = [c for c in sortable if c not in keys]
+    won = dedup(rows.select(*keys, *wanted), keys, order_col, ascending, [*tie_break]).select(ROW_ID)
+    return rows, settle(won, "won")
+
+
+def dedup_settled(
+    df: DataFrame,
+    keys: Sequence[str] = ("trade_id",),
+    order_col: str = "trade_date",
+    ascending: bool = False,
+    tie_break: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame, int, int]:
+    """``dedup_split`` with both sides written by one join, and their row counts."""
+    if not {*keys, order_col} <= set(df.columns):
+        rows, seen = settle_counted(df, "typed")
+        return rows, rows.limit(0), seen["rows"], 0
+    rows, won = _winners(df, keys, order_col, ascending, tie_break)
+    marked = rows.join(won.withColumn("_won", F.lit(True)), ROW_ID, "left").drop(ROW_ID)
+    marked = marked.withColumn("_won", F.coalesce("_won", F.lit(False)))
+    both, seen = settle_counted(marked, "deduplicated", ["_won"], kept=F.count_if("_won"))
+    kept = seen["kept"]
+    return both.where("_won").select(*df.columns), both.where("NOT _won").select(*df.columns), kept, seen["rows"] - kept
+
+
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     """Required columns the DataFrame lacks; a warning, never a block."""
     return [c for c in required if c not in df.columns]

@@ -5,7 +5,7 @@ Their columns are stored as text, since stages see the same column with
 different types; ``read`` casts them back when given a schema.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from tradeloom.functions.fixed_values import DEAD_LETTER_COLUMNS
+from tradeloom.functions.staging import watched
 
 PARTITIONS = ["_dlq_batch_id", "_dlq_stage"]
 
@@ -33,13 +34,18 @@ def tag(
     )
 
 
-def write(df: DataFrame, path: str, reason: str | Column, batch_id: str, stage: str) -> None:
-    """Append rows to the dead-letter table; nothing is written for no rows."""
+def write(
+    df: DataFrame, path: str, reason: str | Column, batch_id: str, stage: str, without: Sequence[str] = ()
+) -> int:
+    """Append rows to the dead-letter table and return their number, as the write counted it.
+
+    Columns in ``without`` may be used by the reason and are not stored.
+    """
     tagged = tag(df, reason, batch_id, stage)
-    texts = [F.col(c).cast("string").alias(c) for c in df.columns]
-    tagged.select(*texts, *DEAD_LETTER_COLUMNS).write.mode("append").partitionBy(
-        *PARTITIONS
-    ).parquet(path)
+    texts = [F.col(c).cast("string").alias(c) for c in df.columns if c not in without]
+    rows, seen = watched(tagged.select(*texts, *DEAD_LETTER_COLUMNS))
+    rows.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    return seen.get["rows"]
 
 
 def route(df: DataFrame, failed: Column) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,9 @@
 
 Every rule becomes one boolean column expression. Violations are the exploded
 array of the rules that a row breaks; scores come from one aggregation of the
-same expressions. The number of rules does not change the number of scans.
+same expressions. The number of rules does not change the number of scans. Rules
+over an aggregate (freshness) read their two columns once more and add their
+violations to the same result.
 """
 
 import json
@@ -12,7 +14,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import (
@@ -20,11 +22,13 @@ from tradeloom.functions.fixed_values import (
     RULES,
     SEVERITY_WEIGHTS,
 )
-from tradeloom.functions.staging import settle
+from tradeloom.functions.staging import settle, settle_counted, watched
 
-RULE_TYPES = ("null_check", "range_check", "referential_integrity", "cross_field")
+RULE_TYPES = ("null_check", "range_check", "referential_integrity", "cross_field", "freshness")
 TABLE_MODES = ("table", "duckdb_table")
 DEFAULT_SEVERITY = {"cross_field": "WARN"}
+#: Routes of checked rows, best first; a row takes the worst severity that it breaks.
+ROUTES = ("PASS", "OTHER", "WARN", "ERROR", "CRITICAL")
 _PLANNING = threading.RLock()
 
 
@@ -67,13 +71,18 @@ def rule_names(rules: Sequence[Mapping] = RULES) -> list[str]:
 
 @dataclass
 class Check:
-    """One rule as columns. ``broken`` is never null."""
+    """One rule as columns. ``broken`` is never null, and false on rows if the rule has ``groups``.
+
+    ``groups`` has one row per violation of a rule over an aggregate: row_key, offending,
+    and the columns that violations and counts are grouped by.
+    """
 
     rule: Mapping
     broken: Column
     offending: Column
     skipped: bool = False
     error: str | None = None
+    groups: DataFrame | None = None
 
     @property
     def severity(self) -> str:
@@ -162,7 +171,29 @@ def _cross_field(df: DataFrame, rule: Mapping) -> Check:
     return Check(rule, _true(~F.expr(text)), offending)
 
 
-def _compile(df: DataFrame, rule: Mapping) -> Check:
+def _freshness(df: DataFrame, rule: Mapping, by: Sequence[str]) -> Check:
+    """Sources whose newest date is older than allowed, or that have none.
+
+    ``field`` is the date, ``source`` the column that names the source; the newest date is
+    held against ``as_of`` (the current time if absent) less ``max_age_days`` (0).
+    """
+    source, field = rule.get("source"), rule["field"]
+    if source not in df.columns:
+        return _pass(rule)
+    text = df.schema[field].dataType.typeName() == "string"
+    date = F.col(field).try_cast("timestamp_ntz") if text else F.col(field).cast("timestamp_ntz")
+    now = F.lit(str(rule["as_of"])) if rule.get("as_of") is not None else F.current_timestamp()
+    oldest = now.cast("timestamp_ntz") - F.make_dt_interval(days=F.lit(int(rule.get("max_age_days", 0))))
+    newest = df.groupBy(*by, F.col(source).alias("_source")).agg(F.max(date).alias("_newest"))
+    stale = newest.where(F.col("_newest").isNull() | (F.col("_newest") < oldest)).select(
+        *by,
+        F.coalesce(F.col("_source").cast("string"), F.lit("None")).alias("_row_key"),
+        F.coalesce(F.col("_newest").cast("string"), F.lit("NULL")).alias("_offending"),
+    )
+    return replace(_pass(rule), skipped=False, groups=stale)
+
+
+def _compile(df: DataFrame, rule: Mapping, by: Sequence[str] = ()) -> Check:
     """Build and analyse one rule; a rule that cannot be analysed is isolated."""
     kind = rule["type"]
     try:
@@ -174,6 +205,8 @@ def _compile(df: DataFrame, rule: Mapping) -> Check:
             check = _range_check(df, rule)
         elif kind == "cross_field":
             check = _cross_field(df, rule)
+        elif kind == "freshness":
+            return _freshness(df, rule, by)
         elif rule.get("mode", "static_values") == "static_values":
             check = _static_reference(df, rule)
         else:
@@ -220,9 +253,15 @@ def _with_lookups(
 
 
 def compile_rules(
-    df: DataFrame, rules: Sequence[Mapping], tables: Mapping[str, DataFrame] | None = None
+    df: DataFrame,
+    rules: Sequence[Mapping],
+    tables: Mapping[str, DataFrame] | None = None,
+    by: Sequence[str] = (),
 ) -> tuple[DataFrame, list[Check]]:
-    """The rows to scan (with lookup columns, if any) and one Check per rule."""
+    """The rows to scan (with lookup columns, if any) and one Check per rule.
+
+    Rules over an aggregate are evaluated for each group of the columns ``by``.
+    """
     validate_rules(rules)
     joined, lookups = _with_lookups(df, rules, tables or {})
     checks = []
@@ -232,7 +271,7 @@ def compile_rules(
                 value = F.col(rule["field"]).cast("string")
                 checks.append(Check(rule, lookups[rule["name"]], value))
                 continue
-            check = _compile(df, rule)
+            check = _compile(df, rule, by)
             if rule["type"] == "cross_field" and not check.skipped:
                 # adding the column analyses the user's expression while casts are lenient
                 joined = joined.withColumn(f"_broken_{i}", check.broken)
@@ -248,47 +287,133 @@ VIOLATION_COLUMNS = [
 ]
 
 
-def violations(
+@dataclass
+class Evaluation:
+    """The violations of a checkpoint, and its counts once they have been written."""
+
+    violations: DataFrame
+    checks: list[Check]
+    rows: Observation | None
+    groups: dict[int, Observation]
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """``rule_counts`` as the write of the violations counted them: one row per rule."""
+        seen = self.rows.get if self.rows else {}
+        found = [
+            (c.stage, c.rule["name"], c.severity,
+             1 if c.error else self.groups[i].get["rows"] if i in self.groups else seen.get(f"_n{i}", 0), c.skipped)
+            for i, c in enumerate(self.checks)
+        ]
+        return spark.createDataFrame(found, COUNTS_SCHEMA)
+
+
+def evaluate(
     df: DataFrame,
     rules: Sequence[Mapping],
     batch_id: str | Column,
     tables: Mapping[str, DataFrame] | None = None,
     ts: Column | None = None,
-) -> DataFrame:
-    """One row per broken rule and input row, all of them, from one scan."""
+    counting: bool = True,
+) -> Evaluation:
+    """One row per broken rule and input row, all of them, from one scan.
+
+    With ``counting`` the job that writes the violations also counts each rule's. A rule
+    over an aggregate has one violation per group; it has no row, hence no ``ts`` of a row.
+    """
     scan, checks = compile_rules(df, rules, tables)
     batch = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
     when = F.current_timestamp() if ts is None else ts
-    found = []
-    for check in checks:
+    plain = F.lit(batch_id if isinstance(batch_id, str) else None).cast("string")
+    alone = when if ts is None else F.lit(None).cast("timestamp")
+    found, sums, parts, groups, rows = [], {}, [], {}, None
+    for i, check in enumerate(checks):
         key = check.rule.get("row_key_col", "trade_id")
         row_key = (
             F.coalesce(F.col(key).cast("string"), F.lit("None"))
             if key in df.columns
             else F.lit(None).cast("string")
         )
-        if not check.skipped and not check.error:
+        if check.groups is not None:
+            stale = check.groups
+            if counting:
+                stale, groups[i] = watched(stale)
+            report = F.inline(F.array(_violation(check, F.col("_offending"), F.col("_row_key"))))
+            parts.append(stale.select(plain.alias("batch_id"), alone.alias("ts"), report))
+        elif not check.skipped and not check.error:
             found.append(F.when(check.broken, _violation(check, check.offending, row_key)))
-    out = None
+            sums[f"_n{i}"] = F.count_if(check.broken)
     if found:
+        if counting:
+            scan, rows = watched(scan, **sums)
         broken = F.inline(F.array_compact(F.array(*found)))
-        out = scan.select(batch.alias("batch_id"), when.alias("ts"), broken)
+        parts.insert(0, scan.select(batch.alias("batch_id"), when.alias("ts"), broken))
     failed = [c for c in checks if c.error]
     if failed:
         # a rule that cannot run reports itself once
         reports = F.array(*[_violation(c, F.lit(c.error), F.lit(None).cast("string")) for c in failed])
-        errors = df.sparkSession.range(1).select(
-            F.lit(batch_id if isinstance(batch_id, str) else None).alias("batch_id"),
-            (when if ts is None else F.lit(None)).alias("ts"),
-            F.inline(reports),
-        )
-        out = errors if out is None else out.unionByName(errors)
-    if out is None:
+        parts.append(df.sparkSession.range(1).select(plain.alias("batch_id"), alone.alias("ts"), F.inline(reports)))
+    if not parts:
         empty = F.lit(None).cast("string")
-        out = scan.limit(0).select(
-            *[(when if c == "ts" else empty).alias(c) for c in VIOLATION_COLUMNS]
+        parts.append(scan.limit(0).select(*[(when if c == "ts" else empty).alias(c) for c in VIOLATION_COLUMNS]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return Evaluation(out.select(*VIOLATION_COLUMNS), checks, rows, groups)
+
+
+def violations(
+    df: DataFrame,
+    rules: Sequence[Mapping],
+    batch_id: str | Column,
+    tables: Mapping[str, DataFrame] | None = None,
+    ts: Column | None = None,
+) -> DataFrame:
+    """The violations of ``evaluate``."""
+    return evaluate(df, rules, batch_id, tables, ts, counting=False).violations
+
+
+def routed(
+    df: DataFrame, rules: Sequence[Mapping], tables: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """Every row with the worst severity of the rules it breaks and their names.
+
+    ``dq_route`` is one of ROUTES; ``dq_rules`` lists the broken rules in their order. The
+    array of broken rules is reduced in the row, so that no key is joined. Rules over an
+    aggregate, and rules that cannot run, route no row.
+    """
+    scan, checks = compile_rules(df, rules, tables)
+    found = [
+        F.when(
+            c.broken,
+            F.struct(
+                F.lit(ROUTES.index(c.severity) if c.severity in ROUTES[1:] else 1).alias("worse"),
+                F.lit(c.rule["name"]).alias("rule_name"),
+            ),
         )
-    return out.select(*VIOLATION_COLUMNS)
+        for c in checks
+        if not c.skipped and not c.error and c.groups is None
+    ]
+    if not found:
+        return scan.select(*df.columns, F.lit(ROUTES[0]).alias("dq_route"), F.lit("").alias("dq_rules"))
+    broken = scan.withColumn("_broken", F.array_compact(F.array(*found)))
+    worst = F.coalesce(F.array_max(F.transform("_broken", lambda b: b["worse"])), F.lit(0))
+    return broken.select(
+        *df.columns,
+        F.element_at(F.array(*map(F.lit, ROUTES)), worst + 1).alias("dq_route"),
+        F.array_join(F.transform("_broken", lambda b: b["rule_name"]), ",").alias("dq_rules"),
+    )
+
+
+def settle_routed(
+    df: DataFrame, rules: Sequence[Mapping], dead: Sequence[str], tables: Mapping[str, DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame, int]:
+    """``routed``, written once in folders by route: (rows that stay, rows of the routes ``dead``, how many stay).
+
+    Both sides only read their folders.
+    """
+    bad = F.col("dq_route").isin(list(dead))
+    rows, seen = settle_counted(routed(df, rules, tables), "routed", ["dq_route"], left=F.count_if(~bad))
+    return rows.where(~bad), rows.where(bad), seen["left"]
 
 
 def _violation(check: Check, offending: Column, row_key: Column) -> Column:
@@ -315,31 +440,46 @@ def first_violations(found: DataFrame, per_rule: int) -> DataFrame:
 
 # --- counts and scores -------------------------------------------------------
 
+COUNTS_SCHEMA = "checkpoint string, rule_name string, severity string, failing_rows bigint, skipped boolean"
+
+
 def rule_counts(
     df: DataFrame,
     rules: Sequence[Mapping],
     tables: Mapping[str, DataFrame] | None = None,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Broken rows per rule, including rules nobody breaks, in one aggregation."""
-    scan, checks = compile_rules(df, rules, tables)
-    sums = [
-        F.count_if(F.lit(False) if c.error else c.broken).alias(f"_n{i}")
-        for i, c in enumerate(checks)
-    ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c.stage).alias("checkpoint"),
-                F.lit(c.rule["name"]).alias("rule_name"),
-                F.lit(c.severity).alias("severity"),
-                (F.lit(1).cast("bigint") if c.error else F.col(f"_n{i}")).alias("failing_rows"),
-                F.lit(c.skipped).alias("skipped"),
-            )
-            for i, c in enumerate(checks)
-        ]
-    )
-    return scan.groupBy(*by).agg(*sums).select(*by, F.inline(rows))
+    """Broken rows per rule, including rules nobody breaks, in one aggregation.
+
+    A rule over an aggregate counts its groups, in a small aggregation of its own.
+    """
+    scan, checks = compile_rules(df, rules, tables, by)
+
+    def row(check: Check, failing: Column) -> Column:
+        return F.struct(
+            F.lit(check.stage).alias("checkpoint"),
+            F.lit(check.rule["name"]).alias("rule_name"),
+            F.lit(check.severity).alias("severity"),
+            failing.alias("failing_rows"),
+            F.lit(check.skipped).alias("skipped"),
+        )
+
+    of_rows = [c for c in checks if c.groups is None]
+    sums = [F.count_if(F.lit(False) if c.error else c.broken).alias(f"_n{i}") for i, c in enumerate(of_rows)]
+    out = None
+    if of_rows:
+        rows = F.array(
+            *[row(c, F.lit(1).cast("bigint") if c.error else F.col(f"_n{i}")) for i, c in enumerate(of_rows)]
+        )
+        out = scan.groupBy(*by).agg(*sums).select(*by, F.inline(rows))
+    for check in (c for c in checks if c.groups is not None):
+        stale = check.groups.select(*by, F.lit(1).alias("_one"))
+        if by:  # groups without a stale source count as well
+            stale = stale.unionByName(df.select(*by, F.lit(0).alias("_one")).distinct())
+        counts = stale.groupBy(*by).agg(F.coalesce(F.sum("_one"), F.lit(0)).alias("_n"))
+        part = counts.select(*by, F.inline(F.array(row(check, F.col("_n")))))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def checkpoint_scores(

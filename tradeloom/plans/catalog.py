@@ -10,6 +10,7 @@ from tradeloom.functions.ordering import number_rows
 from tradeloom.functions.staging import at_once, scratch_path, settle
 from tradeloom.operators import clean, deadletter, enrich, exposure, lineage, quality, star
 from tradeloom.plans import observability, pipeline
+from tradeloom.plans.facts import FactStore
 from tradeloom.sources import files
 from tradeloom.sources.lineage_log import lineage_log, node_name
 from tradeloom.sources.trades import raw_trades, table
@@ -36,6 +37,17 @@ CROSS_RULES = [
     {"name": "absent_field", "type": "cross_field", "fields": ["book"], "expr": "book = 'A'",
      "stage": "pre_load"},
 ]
+STALE_RULES = [
+    {"name": "supplier_is_fresh", "type": "freshness", "field": "trade_date", "source": "src_suppkey",
+     "as_of": "1998-12-01", "max_age_days": 14, "severity": "ERROR", "stage": "post_ingest"},
+    {"name": "exchange_is_fresh", "type": "freshness", "field": "trade_date", "source": "exchange",
+     "as_of": "1998-12-01 12:00:00", "severity": "WARN", "stage": "post_ingest"},
+    {"name": "absent_source", "type": "freshness", "field": "trade_date", "source": "book", "stage": "post_ingest"},
+    {"name": "product_present", "type": "null_check", "field": "product_id", "stage": "post_ingest"},
+]
+#: Feed columns in the order of the CSV, and a feed whose quantity is read as a number at once.
+FEED_COLUMNS = [c.split()[0] for c in TRADES_CSV_SCHEMA.split(", ")]
+TYPED_FEED = TRADES_CSV_SCHEMA.replace("quantity string", "quantity double")
 NODE = "fact_trades.s7"
 
 
@@ -123,7 +135,7 @@ def scan_parquet(spark, folder):
 def scan_csv_roundtrip(spark, folder):
     path = scratch_path(spark, "feed") + ".csv"
     files.write_csv(raw_trades(spark, folder).drop("src_suppkey", "src_partkey"), path)
-    return files.read_feed(spark, path, TRADES_CSV_SCHEMA)
+    return files.read_feed(spark, path, TYPED_FEED)
 
 
 @query
@@ -133,7 +145,46 @@ def scan_latest_file(spark, folder):
     settled = F.col("settlement_status") == "SETTLED"
     files.write_csv(feed.where(settled), f"{inbox}/trades_20260519.csv")
     files.write_csv(feed.where(~settled), f"{inbox}/trades_20260520.csv")
-    return files.read_feed(spark, files.newest_feed(spark, inbox), TRADES_CSV_SCHEMA)
+    return files.read_feed(spark, files.newest_feed(spark, inbox), TYPED_FEED)
+
+
+def _faulty_feed(spark: SparkSession, folder: str) -> str:
+    """Path of a CSV feed with unreadable quantities, lines cut short and lines with a field too many."""
+    part = F.col("src_partkey")
+    rows = raw_trades(spark, folder).withColumns(
+        {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("trade_date", "settlement_date")}
+    )
+    quantity = F.when(part % 17 == 0, F.lit("abc")).otherwise(F.col("quantity").cast("string"))
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in FEED_COLUMNS]
+    line = F.concat_ws(",", *texts)
+    short = F.concat_ws(",", *texts[:-2])
+    line = F.when(part % 11 == 0, short).when(part % 13 == 0, F.concat(line, F.lit(",late"))).otherwise(line)
+    path = scratch_path(spark, "faulty") + ".csv"
+    # one column named like the header line, so that every file has the header
+    lines = rows.withColumn("quantity", quantity).select(line.alias(",".join(FEED_COLUMNS)))
+    lines.write.options(header=True, sep="\u0001", quote="\u0002").csv(path)
+    return path
+
+
+@query
+def csv_bad_records(spark, folder):
+    """Lines that the reader or the casts cannot take, as dead letters, and the rows that went on."""
+    root = scratch_path(spark, "warehouse")
+    feed = files.read_feed(spark, _faulty_feed(spark, folder), TRADES_CSV_SCHEMA, keep_malformed=True)
+    pipeline.run_pipeline(feed, root, BATCH, PIPELINE, stages=["ingest", "clean"])
+    tables = pipeline.Tables(root)
+    schema = spark.createDataFrame([], f"{TRADES_CSV_SCHEMA}, raw_line string").schema
+    dead = deadletter.read(spark, tables.path("dead_letters"), BATCH, schema)
+    return dead.where("_dlq_stage <> 'Dedup'").select(
+        "raw_line", "trade_id", "notional", "quantity", F.col("_dlq_stage").alias("stage"), F.col("_dlq_reason").alias("reason")
+    )
+
+
+@query
+def csv_good_records(spark, folder):
+    """What the clean stage has of the same feed: readable amounts only."""
+    feed = settle(files.read_feed(spark, _faulty_feed(spark, folder), TRADES_CSV_SCHEMA, keep_malformed=True))
+    return pipeline.typed_stage(files.split_malformed(feed)[0])[0].select("trade_id", "notional", "quantity")
 
 
 @query
@@ -344,6 +395,24 @@ def fact_upsert(spark, folder):
     return star.upsert_facts(first, second)
 
 
+@query
+def fact_current_after_compaction(spark, folder):
+    """All facts, two loads that replace some of them, and a compaction of the buckets they touch."""
+    rows = _enriched(spark, folder)
+    valid, _ = star.split_by_constraints(rows)
+    products, counterparties, _ = _dims(rows)
+    store = FactStore(spark, pipeline.Tables(scratch_path(spark, "facts")))
+    for batch, part in (
+        ("b_1", valid), ("b_2", valid.where("trade_year >= 1998")), ("b_3", valid.where("product_id <= 'PROD003'")),
+    ):
+        load_id, start = store.next_load(), store.last_key()
+        staged = star.fact_trades(part, star.trade_keys(part, start), products, counterparties, batch, PIPELINE)
+        store.replace(part, load_id)
+        store.commit(load_id, batch, max(start, store.append(staged, load_id)))
+    store.compact()
+    return store.current().select("trade_id", "trade_key", "batch_id", "product_key", "notional_usd", "running_notional_usd")
+
+
 @query
 def vw_daily_cpty_exposure(spark, folder):
     facts, _, counterparties, dates = _view_facts(spark, folder)
@@ -442,6 +511,41 @@ def dq_stored_violations(spark, folder):
     return counts.withColumnRenamed("stage", "checkpoint")
 
 
+@query
+def dq_freshness(spark, folder):
+    """Sources whose newest trade is too old, next to a rule on rows."""
+    return _violations(raw_trades(spark, folder), STALE_RULES)
+
+
+@query
+def dq_freshness_score(spark, folder):
+    """The score of that checkpoint as its write counted it."""
+    evaluation = quality.evaluate(raw_trades(spark, folder), STALE_RULES, BATCH)
+    evaluation.violations.write.parquet(scratch_path(spark, "violations"))
+    return quality.checkpoint_scores(evaluation.counts(spark))
+
+
+ROUTE_RULES = [*quality.rules_for("post_clean"), *quality.rules_for("pre_load"), *CROSS_RULES]
+
+
+@query
+def dq_route(spark, folder):
+    """Every trade with its route, written once in folders by route; the worse routes are dead."""
+    kept, dead, _ = quality.settle_routed(_attributes(spark, folder), ROUTE_RULES, ["CRITICAL", "ERROR"])
+    sides = [rows.select("trade_id", "dq_route", "dq_rules", F.lit(side).alias("side")) for rows, side in ((kept, "kept"), (dead, "dead"))]
+    return sides[0].unionByName(sides[1])
+
+
+@query
+def dlq_quality(spark, folder):
+    """Dead letters of a run that buries rows breaking an ERROR rule after cleaning."""
+    root = scratch_path(spark, "warehouse")
+    config = CONFIG | {"dead_letter_severities": {"clean": ["CRITICAL", "ERROR"]}}
+    pipeline.run_pipeline(raw_trades(spark, folder), root, BATCH, PIPELINE, stages=["clean"], config=config)
+    dead = deadletter.read(spark, pipeline.Tables(root).path("dead_letters"), BATCH)
+    return dead.where("_dlq_stage = 'clean'").select("trade_id", "notional", "settlement_status", F.col("_dlq_reason").alias("reason"))
+
+
 @query
 def dq_rule_errors(spark, folder):
     """Rules that cannot run report themselves once and leave the others alone."""

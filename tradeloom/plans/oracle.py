@@ -405,6 +405,62 @@ def _triples() -> str:
     return _with("\nUNION ALL ".join(rows), "graph", "nodes")
 
 
+_FEED_COLUMNS = [
+    "trade_id", "product_id", "counterparty_id", "asset_class", "currency", "direction", "notional", "quantity",
+    "trade_date", "settlement_date", "settlement_status", "exchange",
+]
+_LINES = f"""
+    WITH texts AS (
+      SELECT src_partkey AS part, trade_id, notional,
+        CASE WHEN src_partkey % 17 = 0 THEN 'abc' ELSE CAST(quantity AS VARCHAR) END AS quantity,
+        [COALESCE(CAST(v AS VARCHAR), '') FOR v IN [trade_id, product_id, counterparty_id, asset_class, currency, direction, notional,
+          CASE WHEN src_partkey % 17 = 0 THEN 'abc' ELSE CAST(quantity AS VARCHAR) END,
+          STRFTIME(trade_date, '%Y-%m-%d %H:%M:%S'), STRFTIME(settlement_date, '%Y-%m-%d %H:%M:%S'), settlement_status, exchange]] AS f
+      FROM raw)
+    SELECT *, CASE WHEN part % 11 = 0 THEN ARRAY_TO_STRING(f[:{len(_FEED_COLUMNS) - 2}], ',')
+        WHEN part % 13 = 0 THEN ARRAY_TO_STRING(f, ',') || ',late' END AS raw_line,
+      COALESCE(notional, '0.0') AS amount FROM texts"""
+_BAD_NUMBER = "raw_line IS NULL AND (TRY_CAST(amount AS DOUBLE) IS NULL OR TRY_CAST(quantity AS DOUBLE) IS NULL)"
+
+
+def _stale(name: str, severity: str, source: str, oldest: str) -> str:
+    return f"""
+        SELECT 'b_test' AS batch_id, '{name}' AS rule_name, '{severity}' AS severity, 'trade_date' AS field_name,
+          COALESCE(STRFTIME(newest, '%Y-%m-%d %H:%M:%S'), 'NULL') AS offending_value,
+          COALESCE(CAST({source} AS VARCHAR), 'None') AS row_key, 'post_ingest' AS stage
+        FROM (SELECT {source}, MAX(trade_date) AS newest FROM raw GROUP BY {source})
+        WHERE newest IS NULL OR newest < TIMESTAMP '{oldest}'"""
+
+
+def _freshness() -> str:
+    return " UNION ALL ".join([
+        _stale("supplier_is_fresh", "ERROR", "src_suppkey", "1998-11-17 00:00:00"),
+        _stale("exchange_is_fresh", "WARN", "exchange", "1998-12-01 12:00:00"),
+        """SELECT 'b_test', 'product_present', 'ERROR', 'product_id', NULL, COALESCE(trade_id, 'None'), 'post_ingest'
+           FROM raw WHERE product_id IS NULL""",
+    ])
+
+
+def _freshness_score() -> str:
+    counts = f"""
+        SELECT 'post_ingest' AS checkpoint, r.rule_name, r.severity, COUNT(v.rule_name) AS failing_rows, r.skipped FROM (VALUES
+          ('supplier_is_fresh', 'ERROR', FALSE), ('exchange_is_fresh', 'WARN', FALSE), ('absent_source', 'ERROR', TRUE),
+          ('product_present', 'ERROR', FALSE)) AS r(rule_name, severity, skipped)
+        LEFT JOIN ({_freshness()}) v ON v.rule_name = r.rule_name GROUP BY ALL"""
+    return _scores(counts)
+
+
+def _routed(rules: list, frame: str, more: str = "") -> str:
+    """Rows with the worst severity and the names of the rules they break."""
+    ranks = {"WARN": 2, "ERROR": 3, "CRITICAL": 4}
+    broken = [(r["name"], ranks[r["severity"]], _rule_sql(r, FRAME_COLUMNS[frame])[0]) for r in rules]
+    names = ", ".join(f"CASE WHEN {b} THEN '{n}' END" for n, _, b in broken if b != "FALSE")
+    worst = ", ".join(f"CASE WHEN {b} THEN {k} ELSE 0 END" for _, k, b in broken if b != "FALSE")
+    return f"""
+        SELECT trade_id{more}, ['PASS', 'OTHER', 'WARN', 'ERROR', 'CRITICAL'][GREATEST({worst}) + 1] AS dq_route,
+          CONCAT_WS(',', {names}) AS dq_rules FROM {frame}"""
+
+
 _FEED = """trade_id, product_id, counterparty_id, asset_class, currency, direction, notional, quantity,
   STRFTIME(trade_date, '%Y-%m-%d %H:%M:%S') AS trade_date,
   STRFTIME(settlement_date, '%Y-%m-%d %H:%M:%S') AS settlement_date, settlement_status, exchange"""
@@ -442,6 +498,19 @@ def oracle_sql() -> dict[str, str]:
         "scan_parquet": "SELECT * FROM orders",
         "scan_csv_roundtrip": _with(f"SELECT {_FEED} FROM raw", "raw"),
         "scan_latest_file": _with(f"SELECT {_FEED} FROM raw WHERE settlement_status <> 'SETTLED'", "raw"),
+        "csv_bad_records": _with(
+            f"""SELECT raw_line, CASE WHEN raw_line IS NULL THEN trade_id END AS trade_id,
+                  CASE WHEN raw_line IS NULL THEN amount END AS notional, CASE WHEN raw_line IS NULL THEN quantity END AS quantity,
+                  CASE WHEN raw_line IS NULL THEN 'TypeCast' ELSE 'Ingest' END AS stage,
+                  CASE WHEN raw_line IS NULL THEN 'type_cast_failure' ELSE 'malformed_line' END AS reason
+                FROM ({_LINES}) WHERE raw_line IS NOT NULL OR {_BAD_NUMBER}""",
+            "raw",
+        ),
+        "csv_good_records": _with(
+            f"""SELECT trade_id, CAST(amount AS DOUBLE) AS notional, CAST(quantity AS DOUBLE) AS quantity
+                FROM ({_LINES}) WHERE raw_line IS NULL AND NOT ({_BAD_NUMBER})""",
+            "raw",
+        ),
         "metadata_roundtrip": _stored_runs(),
         "lineage_json_roundtrip": _with(
             "SELECT source, target, transform, stage, batch_id, metadata FROM graph", "graph"
@@ -580,6 +649,16 @@ def oracle_sql() -> dict[str, str]:
                FROM facts WHERE trade_year >= 1998""",
             "facts",
         ),
+        "fact_current_after_compaction": _with(
+            """SELECT trade_id, product_key, notional_usd, running_notional_usd,
+                 CASE WHEN third THEN 'b_3' WHEN second THEN 'b_2' ELSE 'b_1' END AS batch_id,
+                 CASE WHEN third THEN everything + seconds + place_3 WHEN second THEN everything + place_2 ELSE trade_key END AS trade_key
+               FROM (SELECT *, COUNT(*) OVER () AS everything, COUNT(*) FILTER (second) OVER () AS seconds,
+                   COUNT(*) FILTER (second) OVER (ORDER BY trade_id) AS place_2, COUNT(*) FILTER (third) OVER (ORDER BY trade_id) AS place_3
+                 FROM (SELECT f.*, trade_year >= 1998 AS second, COALESCE(product_id <= 'PROD003', FALSE) AS third
+                   FROM facts f LEFT JOIN products p ON f.product_key = p.product_key))""",
+            "facts", "products",
+        ),
         "vw_daily_cpty_exposure": _with(_DAILY, "facts", "counterparties"),
         "vw_asset_class_exposure": _with(
             f"""SELECT p.asset_class, p.currency, trade_date_key // 10000 AS year,
@@ -639,6 +718,19 @@ def oracle_sql() -> dict[str, str]:
         "dq_scorecard": f"""SELECT batch_id, checkpoint, dq_score, total_violations, rules_failed
             FROM ({_stored_scores()}) WHERE batch_id = 'b_2' AND checkpoint = 'pre_load'""",
         "dq_stored_violations": _stored_violations(),
+        "dq_freshness": _with(_freshness(), "raw"),
+        "dq_freshness_score": _with(_freshness_score(), "raw"),
+        "dq_route": _with(
+            f"""SELECT *, CASE WHEN dq_route IN ('ERROR', 'CRITICAL') THEN 'dead' ELSE 'kept' END AS side
+                FROM ({_routed([*BY_STAGE["post_clean"], *BY_STAGE["pre_load"], *CROSS_RULES], "attributes")})""",
+            "attributes",
+        ),
+        "dlq_quality": _with(
+            f"""SELECT trade_id, CAST(notional AS VARCHAR) AS notional, settlement_status, 'dq_failed: ' || dq_rules AS reason
+                FROM ({_routed(BY_STAGE["post_clean"], "cleaned", ", notional, settlement_status")})
+                WHERE dq_route IN ('ERROR', 'CRITICAL')""",
+            "cleaned",
+        ),
         "dq_rule_errors": _with(
             """SELECT 'product_present' AS rule_name, 'ERROR' AS severity, 'product_id' AS field_name, COUNT(*) AS violations
                FROM raw WHERE product_id IS NULL

@@ -1,8 +1,9 @@
 """The trade pipeline: ingest, clean, enrich, load, with quality checkpoints.
 
-Every stage writes a table once and the next stage starts from it. Counts,
-violations and scores are read from what was written, so a lost executor or a
-repeated task cannot change them.
+Every stage writes a table once and the next stage starts from it. Record counts,
+rule counts and null counts are gathered by the jobs that write (their last stage, so
+a lost executor or a repeated task cannot change them); nothing is read again to be
+counted.
 """
 
 import time
@@ -15,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import RULES
-from tradeloom.functions.staging import at_once, settle
+from tradeloom.functions.staging import at_once, exists, settle, settle_counted
 from tradeloom.operators import clean, deadletter, enrich, exposure, lineage, quality, star
 from tradeloom.plans import observability, registry
+from tradeloom.plans.facts import BUCKETS, FactStore
+from tradeloom.sources import files
 
 STAGES = ("ingest", "clean", "enrich", "load")
 CHECKPOINTS = {"ingest": "post_ingest", "clean": "post_clean", "enrich": "pre_load"}
@@ -99,10 +102,12 @@ class Tables:
 
     def read(self, spark: SparkSession, name: str) -> DataFrame | None:
         """A stored table, or None if it was never written."""
+        if not exists(spark, self.path(name)):
+            return None
         try:
             return spark.read.parquet(self.path(name))
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
                 return None
             raise
 
@@ -151,7 +156,13 @@ def run_pipeline(
 
     ``config`` may hold, besides the options of the steps: ``checkpoints`` (stage to
     checkpoint name), ``extra_steps`` (stage to names of registered steps that follow
-    its own), and ``required_columns`` (stage to columns; a missing one is noted).
+    its own), ``required_columns`` (stage to columns; a missing one is noted), ``fact_buckets``
+    (number of buckets of a store without facts), and
+    ``dead_letter_severities`` (stage to severities: rows that break a rule of its
+    checkpoint that severely go to the dead letters).
+
+    Rows of ``files.read_feed(..., keep_malformed=True)`` are sorted out first: malformed
+    lines go to the dead letters with their raw text and file.
     """
     spark, config = raw.sparkSession, config or {}
     now = datetime.now(timezone.utc).replace(tzinfo=None)
@@ -159,23 +170,29 @@ def run_pipeline(
     tables = Tables(root)
     steps = {"ingest": _ingest, "clean": _clean, "enrich": _enrich, "load": _load}
     checkpoints = config.get("checkpoints", CHECKPOINTS)
-    rows, first, size, failure, edge_steps = raw, None, 0, None, []
+    severities = config.get("dead_letter_severities", {})
+    rows, size, nulls, failure, edge_steps = raw, 0, None, None, []
     for stage in [s for s in STAGES if s in stages]:
         begin = time.monotonic()
         missing = clean.missing_columns(rows, config.get("required_columns", {}).get(stage, ()))
         warning = f"missing columns: {', '.join(missing)}" if missing else None
         try:
-            if first is None:
-                rows = first = settle(raw, "ingested")
-                size = rows.count()
-            out, dead = steps[stage](rows, tables, run, config)
+            if nulls is None:
+                good = F.col(files.MALFORMED).isNull() if files.MALFORMED in raw.columns else F.lit(True)
+                fills = clean.null_counters(raw, config.get("null_fill"), good)
+                rows, seen = settle_counted(raw, "ingested", **{f"null_{c}": n for c, n in fills.items()})
+                size, nulls = seen["rows"], {c: seen[f"null_{c}"] for c in fills}
+            out, left, dead = steps[stage](rows, size, tables, run, config)
             extra = config.get("extra_steps", {}).get(stage, ())
             for name in extra:
                 out = registry.step(name)(out, config.get(name, {}))
             if extra:
-                out = settle(out, stage)
+                out, seen = settle_counted(out, stage)
+                left = seen["rows"]
             _checkpoint(out, checkpoints.get(stage), tables, run, rules)
-            left = size if out is rows else out.count()
+            if severities.get(stage):
+                out, left, bad = _bury_broken(out, stage, checkpoints.get(stage), severities[stage], tables, run, rules)
+                dead += bad
             run.record(stage, "SUCCESS", (size, left, dead), time.monotonic() - begin, warning)
             edge_steps.append(stage)
             rows, size = out, left
@@ -190,7 +207,7 @@ def run_pipeline(
             break
     try:
         if edge_steps:
-            _write_lineage(first, edge_steps, tables, run, config)
+            _write_lineage(spark, nulls or {}, edge_steps, tables, run, config)
     except Exception as error:
         failure = failure or error
         run.record("lineage", "FAILED", (0, 0, 0), 0.0, str(error))
@@ -200,61 +217,78 @@ def run_pipeline(
     return run
 
 
-def _ingest(raw: DataFrame, tables: Tables, run: Run, config: Mapping) -> tuple[DataFrame, int]:
-    return raw, 0
+# Each step takes written rows and their number; it returns rows, their number, and how many it buried.
+
+def _ingest(raw: DataFrame, size: int, tables: Tables, run: Run, config: Mapping) -> tuple[DataFrame, int, int]:
+    if files.MALFORMED not in raw.columns:
+        return raw, size, 0
+    good, bad = files.split_malformed(raw)
+    dead = deadletter.write(bad, tables.path("dead_letters"), "malformed_line", run.batch_id, "Ingest")
+    return good, size - dead, dead
 
 
-def _clean(raw: DataFrame, tables: Tables, run: Run, config: Mapping) -> tuple[DataFrame, int]:
+def _clean(raw: DataFrame, size: int, tables: Tables, run: Run, config: Mapping) -> tuple[DataFrame, int, int]:
     typed, failed = typed_stage(raw, config)
-    rejects, (kept, duplicates) = at_once(
-        lambda: settle(failed, "cast_rejects"),
-        lambda: clean.dedup_split(typed, **dedup_options(config)),
-    )
     path = tables.path("dead_letters")
-    # one after the other: two jobs must not commit to the same folder at once
-    deadletter.write(rejects, path, "type_cast_failure", run.batch_id, "TypeCast")
+    rejects, (kept, duplicates, left, repeats) = at_once(
+        lambda: deadletter.write(failed, path, "type_cast_failure", run.batch_id, "TypeCast"),
+        lambda: clean.dedup_settled(typed, **dedup_options(config)),
+    )
+    # not beside the other: two jobs must not commit to the same folder at once
     deadletter.write(duplicates, path, "duplicate_trade_id", run.batch_id, "Dedup")
-    return kept, rejects.count() + duplicates.count()
+    return kept, left, rejects + repeats
 
 
-def _enrich(cleaned: DataFrame, tables: Tables, run: Run, config: Mapping) -> tuple[DataFrame, int]:
-    return settle(enrich_stage(cleaned, config), "enriched"), 0
+def _enrich(cleaned: DataFrame, size: int, tables: Tables, run: Run, config: Mapping) -> tuple[DataFrame, int, int]:
+    rows, seen = settle_counted(enrich_stage(cleaned, config), "enriched")
+    return rows, seen["rows"], 0
 
 
-def _load(enriched: DataFrame, tables: Tables, run: Run, config: Mapping) -> tuple[DataFrame, int]:
+def _load(enriched: DataFrame, size: int, tables: Tables, run: Run, config: Mapping) -> tuple[DataFrame, int, int]:
     score = next(reversed(run.scores.values()), None)
-    rejected = load_star(enriched, tables, run.batch_id, run.pipeline_name, score)
-    return enriched, rejected
+    buckets = config.get("fact_buckets", BUCKETS)
+    rejected = load_star(enriched, tables, run.batch_id, run.pipeline_name, score, buckets)
+    return enriched, size, rejected
 
 
 def _checkpoint(
     df: DataFrame, checkpoint: str | None, tables: Tables, run: Run, rules: Sequence[Mapping]
 ) -> None:
-    """Store violations and the score of a checkpoint; rows are never removed."""
+    """Store violations and the score of a checkpoint, from one scan; rows are never removed."""
     chosen = quality.rules_for(checkpoint, rules) if checkpoint else []
     if not chosen:
         return
-    begin = time.monotonic()
-    found = quality.violations(df, chosen, run.batch_id)
-    counts = quality.rule_counts(df, chosen)
-    _, counted = at_once(
-        lambda: tables.append(found, "dq_violations", ("batch_id", "stage")),
-        lambda: settle(quality.checkpoint_scores(counts), "scores"),
-    )
-    scores = counted.select(
+    spark, begin = df.sparkSession, time.monotonic()
+    evaluation = quality.evaluate(df, chosen, run.batch_id)
+    tables.append(evaluation.violations, "dq_violations", ("batch_id", "stage"))
+    scored = quality.checkpoint_scores(evaluation.counts(spark)).select(
         F.lit(run.batch_id).alias("batch_id"), "*",
         F.lit(time.monotonic() - begin).alias("duration_sec"),
         F.current_timestamp().alias("recorded_at"),
     )
-    tables.append(scores, "dq_scores")
-    run.scores.update((r.checkpoint, r.dq_score) for r in counted.collect())  # one row per checkpoint
+    kept = scored.collect()  # one row per checkpoint
+    tables.append(spark.createDataFrame(kept, scored.schema), "dq_scores")
+    run.scores.update((r.checkpoint, r.dq_score) for r in kept)
+
+
+def _bury_broken(
+    df: DataFrame, stage: str, checkpoint: str | None, severities: Sequence[str], tables: Tables, run: Run,
+    rules: Sequence[Mapping],
+) -> tuple[DataFrame, int, int]:
+    """Move rows whose worst broken rule has one of the severities to the dead letters."""
+    chosen = quality.rules_for(checkpoint, rules) if checkpoint else []
+    kept, broken, left = quality.settle_routed(df, chosen, severities)
+    hidden = ["dq_route", "dq_rules"]
+    reason = F.concat(F.lit("dq_failed: "), "dq_rules")
+    dead = deadletter.write(broken, tables.path("dead_letters"), reason, run.batch_id, stage, without=hidden)
+    return kept.drop(*hidden), left, dead
 
 
 def _write_lineage(
-    raw: DataFrame, stages: Sequence[str], tables: Tables, run: Run, config: Mapping
+    spark: SparkSession, nulls: Mapping[str, int], stages: Sequence[str], tables: Tables, run: Run, config: Mapping
 ) -> None:
-    counts = clean.null_fill_counts(raw, config.get("null_fill")).select(
-        F.lit(run.batch_id).alias("batch_id"), "*"
+    counts = spark.createDataFrame(
+        [(run.batch_id, *row) for row in clean.fill_rows(nulls, config.get("null_fill"))], f"batch_id string, {clean.FILL_SCHEMA}"
     )
     edges = observability.emitted_edges(counts, F.current_timestamp())
     tables.append(edges.where(F.col("stage").isin(list(stages))), "lineage_edges")
@@ -264,19 +298,15 @@ def _write_lineage(
 
 def load_star(
     enriched: DataFrame, tables: Tables, batch_id: str, pipeline_name: str = PIPELINE_NAME,
-    dq_score: float | None = None,
+    dq_score: float | None = None, buckets: int = BUCKETS,
 ) -> int:
     """Append new dimension members and facts; returns how many rows were rejected.
 
-    Facts are only ever appended. Ids that replace earlier facts are listed in
-    ``fact_replaced`` with the batch that held them. A load becomes visible
-    with its row in ``fact_loads``, written last; a load that dies before
-    leaves the visible facts untouched.
+    See ``facts.FactStore`` for how facts are kept and replaced.
     """
-    spark = enriched.sparkSession
+    spark, store = enriched.sparkSession, FactStore(enriched.sparkSession, tables, buckets)
     valid, rejects = star.split_by_constraints(enriched)
-    stored = tables.read(spark, "fact_trades")
-    start = 0 if stored is None else stored.agg(F.max("trade_key")).first()[0] or 0
+    start = store.last_key()
     stamps = {"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()}
 
     def add_members(name: str, build: Callable, extra: dict) -> None:
@@ -286,9 +316,7 @@ def load_star(
 
     def bury_rejects() -> int:
         path = tables.path("dead_letters")
-        written = settle(rejects.drop("constraint_reason"), "constraint_rejects")
-        deadletter.write(written, path, "constraint_violation", batch_id, "WriteStarSchema")
-        return written.count()
+        return deadletter.write(rejects.drop("constraint_reason"), path, "constraint_violation", batch_id, "WriteStarSchema")
 
     rejected, keys, *_ = at_once(
         bury_rejects,
@@ -297,51 +325,20 @@ def load_star(
         lambda: add_members("dim_counterparty", star.dim_counterparty, stamps),
         lambda: add_members("dim_date", star.dim_date, {}),
     )
-    current = current_facts(spark, tables)
     staged = star.fact_trades(
         valid, keys, tables.read(spark, "dim_product"), tables.read(spark, "dim_counterparty"),
         batch_id, pipeline_name,
     ).withColumns(
         {"loaded_at": F.current_timestamp(), "dq_score_at_load": F.lit(dq_score).cast("double")}
     )
-    load_id = 1 + (_max_load(spark, tables) or 0)
-    if current is not None:
-        replaced = current.select("trade_id", "load_id").join(
-            valid.select("trade_id"), "trade_id", "left_semi"
-        )
-        tables.append(
-            settle(replaced.withColumn("replaced_by", F.lit(load_id)), "replaced"),
-            "fact_replaced", ("replaced_by",),
-        )
-    tables.append(staged.withColumn("load_id", F.lit(load_id)), "fact_trades", ("load_id",))
-    commit = spark.createDataFrame([(load_id, batch_id)], "load_id int, batch_id string")
-    commit.write.mode("append").parquet(tables.path("fact_loads"))
+    load_id = store.next_load()
+    store.replace(valid, load_id)
+    last = store.append(staged, load_id)
+    store.commit(load_id, batch_id, max(start, last))
     return rejected
 
 
-def _max_load(spark: SparkSession, tables: Tables) -> int | None:
-    """Highest load number used so far, including loads that never finished."""
-    used = [
-        table.agg(F.max(column)).first()[0]
-        for name, column in (
-            ("fact_loads", "load_id"), ("fact_trades", "load_id"), ("fact_replaced", "replaced_by"),
-        )
-        if (table := tables.read(spark, name)) is not None
-    ]
-    return max((u for u in used if u is not None), default=None)
-
-
 def current_facts(spark: SparkSession, tables: Tables) -> DataFrame | None:
     """The visible facts: rows of finished loads that no finished load replaced."""
-    stored, loads = tables.read(spark, "fact_trades"), tables.read(spark, "fact_loads")
-    if stored is None or loads is None:
-        return None
-    finished = loads.select("load_id").distinct()
-    facts = stored.join(finished, "load_id", "left_semi")
-    replaced = tables.read(spark, "fact_replaced")
-    if replaced is None:
-        return facts
-    gone = replaced.join(
-        finished.withColumnRenamed("load_id", "replaced_by"), "replaced_by", "left_semi"
-    ).select("trade_id", "load_id")
-    return facts.join(gone, ["trade_id", "load_id"], "left_anti")
+    found = FactStore(spark, tables).current()
+    return None if found is None else found.drop("bucket")
