@@ -4,11 +4,12 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from conftest import rows
+from pyspark.sql import functions as F
 
 from tradeloom.functions.money import exact_sum
 from tradeloom.functions.ordering import number_rows
-from tradeloom.operators import exposure
-from pyspark.sql import functions as F
+from tradeloom.operators import exposure, star
 
 SCHEMA = (
     "trade_id string, counterparty_id string, product_id string, asset_class string, "
@@ -102,3 +103,18 @@ def test_number_rows_is_global_and_dense(spark):
     df = spark.createDataFrame([(n,) for n in names], "name string").repartition(7)
     out = number_rows(df, ["name"], "key", start=10).collect()
     assert {r.name: r.key for r in out} == {n: 11 + i for i, n in enumerate(sorted(names))}
+
+
+def test_sketches_count_distinct_values(spark):
+    products = spark.createDataFrame([(1, "FX"), (2, "Equity")], "product_key int, asset_class string")
+    facts = spark.range(60_000).select(
+        (F.col("id") % 2 + 1).cast("int").alias("product_key"), (F.lit(20260101) + F.col("id") % 20).cast("int").alias("trade_date_key"),
+        (F.col("id") % 7).cast("int").alias("counterparty_key"), F.concat(F.lit("T"), F.col("id") % 40_000).alias("trade_id"),
+    )
+    few = star.distinct_sketches(facts, products)
+    assert few.count() == 20
+    assert rows(star.distinct_of_period(few, 20260101, 20260103)) == [("Equity", 7), ("FX", 7)]
+    exact = dict(facts.where("trade_date_key <= 20260115").join(products, "product_key").groupBy("asset_class").agg(F.countDistinct("trade_id")).collect())
+    many = star.distinct_sketches(facts, products, "trade_id")
+    for row in star.distinct_of_period(many, 20260101, 20260115).collect():
+        assert abs(row.distinct_values - exact[row.asset_class]) < 0.05 * exact[row.asset_class]

@@ -2,6 +2,8 @@ import json
 
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from tradeloom.operators import lineage
 from tradeloom.plans.observability import emitted_edges, step_edges
@@ -42,6 +44,61 @@ def test_cycles_end_and_diamonds_count_once(spark):
     assert names(lineage.shortest_path(edges, "zz", "zz")) == []
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pairs=st.lists(st.tuples(st.sampled_from("abcdefghi"), st.sampled_from("abcdefghi")), min_size=6, max_size=22))
+def test_paths_against_plain_search(spark, pairs):
+    found = {"a": ["a"]}
+    frontier = [["a"]]
+    while frontier:
+        longer = sorted(p + [t] for p in frontier for s, t in set(pairs) if s == p[-1] and t not in found)
+        frontier = [p for k, p in enumerate(longer) if p[-1] not in {q[-1] for q in longer[:k]}]
+        found.update({p[-1]: p for p in frontier})
+    path = lineage.shortest_path(graph(spark, *pairs), "a", "i", buckets=3).orderBy("position")
+    assert names(path) == found.get("i", [])
+
+
+def test_both_frontiers_go_half_way(spark, monkeypatch):
+    grown = []
+    grow = lineage._Frontiers.grow
+    monkeypatch.setattr(lineage._Frontiers, "grow", lambda self: (grown.append(self.near), grow(self))[1])
+    edges = graph(spark, *[(f"n{k}", f"n{k + 1}") for k in range(7)])
+    assert names(lineage.shortest_path(edges, "n0", "n7").orderBy("position")) == [f"n{k}" for k in range(8)]
+    assert len(grown) == 7 and abs(grown.count("source") - grown.count("target")) <= 1
+
+
+def test_frontier_reads_its_buckets_only(spark):
+    links = lineage.Links(graph(spark, *[(f"n{k}", f"n{k + 1}") for k in range(40)]), buckets=16)
+    one = spark.createDataFrame([("n3",), ("zz",)], "node string")
+    found = links.from_(one, "source")
+    assert rows(found, "near", "far") == [("n3", "n4")]
+    assert "PartitionFilters: [bucket" in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(links.from_(one, "target"), "far") == [("n2",)]
+
+
+def test_graph_is_folded_in_any_order(spark, tmp_path):
+    log = [graph(spark, ("a", "b"), ("b", "c"), batch="b1"), graph(spark, ("x", "y"), ("a", "b"), ("a", "b"), batch="b2"), graph(spark, ("c", "d"), batch="b3")]
+    want = rows(lineage.collapse(lineage.merge(*log)), *sorted(["source", "target", *lineage.EDGE_ATTRIBUTES]))
+    for order in ((0, 1, 2), (2, 1, 0, 1)):
+        store = lineage.GraphStore(spark, str(tmp_path / "".join(map(str, order))), buckets=4)
+        assert store.edges() is None and store.fold(log[0].limit(0)) == []
+        for k in order:
+            assert 0 < len(store.fold(log[k])) <= 4
+        assert rows(store.edges(), *sorted(["source", "target", *lineage.EDGE_ATTRIBUTES])) == want
+
+
+def test_fold_that_dies_stays_invisible(spark, tmp_path, monkeypatch):
+    store = lineage.GraphStore(spark, str(tmp_path / "g"), buckets=4)
+    store.fold(graph(spark, ("a", "b")))
+    before = rows(store.edges())
+    monkeypatch.setattr(type(before and store.edges()), "coalesce", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.fold(graph(spark, ("a", "b"), ("a", "b"), ("c", "d")))
+    monkeypatch.undo()
+    assert rows(store.edges()) == before
+    store.fold(graph(spark, ("c", "d")))
+    assert rows(store.edges(), "source", "transform") == [("a", "t0"), ("c", "t0")]
+
+
 def test_collapse_keeps_the_last_edge(spark):
     edges = graph(spark, ("a", "b"), ("a", "b"), ("b", "c"))
     assert rows(lineage.collapse(edges), "source", "target", "transform") == [("a", "b", "t1"), ("b", "c", "t2")]

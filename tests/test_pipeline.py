@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import TRADES_CSV_SCHEMA
 from tradeloom.functions.staging import settle, settle_counted
-from tradeloom.operators import clean, deadletter, star
+from tradeloom.operators import clean, deadletter, lineage, star
 from tradeloom.plans import observability, pipeline, registry
 from tradeloom.plans.facts import FactStore
 from tradeloom.sources import files
@@ -256,7 +256,7 @@ def test_stored_score_counts_every_violation(spark, tables):
 
 
 def test_configured_steps_checkpoints_and_warnings(spark, tables):
-    assert {"null_fill", "dedup", "fx_convert", "date_expand", "lei_lookup", "exposure_rollup", "position_net"} <= set(registry.names())
+    assert {"null_fill", "dedup", "fx_convert", "date_expand", "lei_lookup", "exposure_rollup", "position_net", "type_cast", "write_star"} <= set(registry.names())
     with pytest.raises(ValueError):
         registry.register("dedup")(lambda rows, options: rows)
     with pytest.raises(KeyError):
@@ -277,6 +277,27 @@ def test_configured_steps_checkpoints_and_warnings(spark, tables):
     assert run.results[1][10] == "missing columns: book"
 
 
+def test_cast_and_load_are_steps(spark, tables):
+    dead = tables.path("dead_letters")
+    source = feed(spark, trade("T1"), trade("T2", "abc"))
+    typed = registry.step("type_cast")(source, {"dead_letters": dead, "batch_id": "b_1"})
+    assert rows(typed, "trade_id", "notional") == [("T1", 100.0)]
+    assert rows(deadletter.read(spark, dead, "b_1"), "trade_id", "_dlq_stage") == [("T2", "TypeCast")]
+    enriched = settle(pipeline.enrich_stage(typed))
+    assert registry.step("write_star")(enriched, {"root": tables.root, "batch_id": "b_1"}) is enriched
+    assert rows(pipeline.current_facts(spark, tables), "trade_id", "batch_id") == [("T1", "b_1")]
+
+
+def test_latest_run_prunes_the_other_batches(spark, tables):
+    for number in (1, 2):
+        pipeline.run_pipeline(feed(spark, trade("T1", product=None)), tables.root, f"b_{number}", stages=["ingest", "clean"])
+    runs = tables.read(spark, "pipeline_runs")
+    for name in ("lineage_edges", "dq_violations"):
+        found = lineage.of_latest_run(tables.read(spark, name), runs)
+        assert rows(found.select("batch_id").distinct()) == [("b_2",)]
+        assert "dynamicpruning" in plan_of(found).split("PartitionFilters")[1].split("]")[0]
+
+
 def test_repeated_ids_become_rejects(spark, tables):
     same = [trade("T1", "1.00"), trade("T1", "2.00"), trade("T1", "3.00"), trade("T2")]
     run = pipeline.run_pipeline(feed(spark, *same), tables.root, "b_1", stages=["enrich", "load"],

@@ -183,3 +183,30 @@ def test_routes_take_the_worst_severity(spark, tmp_path):
     assert (left, kept.count(), dead.count()) == (2, 2, 3)
     assert "PartitionFilters: [isnotnull(dq_route" in plan_of(dead) or "PartitionFilters: [dq_route" in plan_of(dead)
     assert rows(quality.routed(df, []), "dq_route", "dq_rules") == [("PASS", "")] * 5
+
+
+def test_export_is_one_order_over_numbered_files(spark, tmp_path):
+    stored, path = str(tmp_path / "v"), str(tmp_path / "csv")
+    df = spark.range(400).select(
+        F.lit("b").alias("batch_id"), F.lit("s").alias("stage"), F.concat(F.lit("r"), F.col("id") % 3).alias("rule_name"),
+        F.lit("WARN").alias("severity"), F.lit("f").alias("field_name"), F.when(F.col("id") % 5 > 0, F.lit('a "b", c')).alias("offending_value"),
+        F.col("id").cast("string").alias("row_key"), F.timestamp_add("DAY", (F.col("id") % 10).cast("int"), F.lit("2026-05-01").cast("timestamp_ntz")).alias("ts"),
+    )
+    quality.dated(df).write.partitionBy("run_date").parquet(stored)
+    found = spark.read.parquet(stored)
+    plan = plan_of(found.where(F.col("run_date").between("2026-05-02", "2026-05-04")))
+    assert "PartitionFilters: [isnotnull(run_date" in plan
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        quality.export_csv(found, path, "2026-05-02", "2026-05-04")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    names = sorted(r.path for r in spark.read.format("binaryFile").load(f"{path}/*.csv").select("path").collect())
+    assert len(names) > 2
+    schema = "run_date date, batch_id string, rule_name string, severity string, field_name string, offending_value string, row_key string, stage string, ts timestamp_ntz"
+    parts = [[tuple(r[c] for c in ("run_date", "rule_name", "row_key")) for r in spark.read.schema(schema).csv(n, header=True).collect()] for n in names]
+    whole = [r for part in parts for r in part]
+    assert len(whole) == 120 and whole == sorted(whole)
+    same = spark.read.schema(schema).csv(path, header=True).select(*df.columns)
+    chosen = df.where("ts >= '2026-05-02' AND ts < '2026-05-05'")
+    assert rows(same) == rows(chosen)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import DEFAULT_COLOUR, LAYER_COLOURS, LAYER_ORDER
-from tradeloom.functions.staging import scratch_path, settle
+from tradeloom.functions.staging import exists, scratch_path, settle, watched
 
 EDGE_SCHEMA = (
     "batch_id string, source string, target string, transform string, stage string, "
@@ -32,6 +32,17 @@ def for_batch(edges: DataFrame, batch_id: str | None) -> DataFrame:
     return edges if batch_id is None else edges.where(F.col("batch_id") == batch_id)
 
 
+def of_latest_run(stored: DataFrame, runs: DataFrame) -> DataFrame:
+    """Rows of a table partitioned by batch that belong to the latest run with a finished stage.
+
+    The batch is found when the query runs; only its folders are read (dynamic partition
+    pruning by the broadcast of one row).
+    """
+    newest = F.max_by("batch_id", F.struct("started_at", "batch_id")).alias("batch_id")
+    latest = runs.where(F.col("status") == "SUCCESS").agg(newest)
+    return stored.join(F.broadcast(latest), "batch_id")
+
+
 def collapse(edges: DataFrame) -> DataFrame:
     """One edge per (source, target); the last one emitted wins."""
     last = F.max(F.struct("ts", *EDGE_ATTRIBUTES)).alias("_last")
@@ -88,35 +99,163 @@ def _reach(links: DataFrame, start: str) -> DataFrame:
         step.write.parquet(f"{root}/dist={level}")
 
 
-def shortest_path(edges: DataFrame, source: str, target: str) -> DataFrame:
+LINK_BUCKETS = 32
+
+
+class Links:
+    """Distinct links stored twice, in buckets of either end, for searches that read only what a frontier touches."""
+
+    def __init__(self, edges: DataFrame, buckets: int = LINK_BUCKETS):
+        self.spark, self.buckets = edges.sparkSession, buckets
+        self.paths = {}
+        links = settle(edges.select("source", "target").distinct(), "links")
+        for near, far in (("source", "target"), ("target", "source")):
+            self.paths[near] = scratch_path(self.spark, f"links-by-{near}")
+            rows = links.select(F.col(near).alias("near"), F.col(far).alias("far"), self._bucket(near).alias("bucket"))
+            rows.repartition("bucket").write.partitionBy("bucket").parquet(self.paths[near])
+
+    def _bucket(self, column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(self.buckets)).cast("int")
+
+    def from_(self, nodes_: DataFrame, near: str) -> DataFrame:
+        """(near, far) links at the given nodes (column ``node``); only their buckets are read."""
+        wanted = [r.bucket for r in nodes_.select(self._bucket("node").alias("bucket")).distinct().collect()]  # at most all buckets
+        links = self.spark.read.schema("near string, far string, bucket int").parquet(self.paths[near])
+        return links.where(F.col("bucket").isin(wanted)).join(nodes_.select(F.col("node").alias("near")), "near", "left_semi").drop("bucket")
+
+    def known(self, node: str) -> bool:
+        """Whether the node is an end of any link."""
+        one = self.spark.createDataFrame([(node,)], "node string")
+        return any(not self.from_(one, near).isEmpty() for near in self.paths)
+
+
+class _Frontiers:
+    """Nodes by their distance from one end, a folder for each level; a node is listed once."""
+
+    def __init__(self, links: Links, near: str, start: str):
+        self.links, self.near, self.level = links, near, 0
+        self.spark = links.spark
+        self.root = scratch_path(self.spark, f"levels-{near}")
+        first = self.spark.createDataFrame([(start,)], "node string")
+        first.write.parquet(f"{self.root}/dist=0")
+        self.size = 1
+
+    def at(self, level: int) -> DataFrame:
+        return self.spark.read.schema("node string").parquet(f"{self.root}/dist={level}")
+
+    def seen(self) -> DataFrame:
+        return self.spark.read.schema("node string, dist int").parquet(self.root)
+
+    def grow(self) -> None:
+        """Write the next level."""
+        step = self.links.from_(self.at(self.level), self.near).select(F.col("far").alias("node")).distinct()
+        rows, counted = watched(step.join(self.seen(), "node", "left_anti"))
+        self.level += 1
+        rows.write.parquet(f"{self.root}/dist={self.level}")
+        self.size = counted.get["rows"]
+
+
+def shortest_path(edges: DataFrame, source: str, target: str, buckets: int = LINK_BUCKETS) -> DataFrame:
     """Nodes of the shortest path by position; no rows if there is none.
 
-    Of several shortest paths the one with the smallest node names is taken.
+    Of several shortest paths the one with the smallest node names is taken. The search
+    grows from both ends, the smaller frontier first but neither more than one level
+    ahead, until a level of one meets the last level of the other. What is stored of a
+    node is its distance; the path is then read off one node at a time: from the source
+    the smallest next node among those that lead on to the meeting level, and from there
+    the smallest next node among those one step nearer to the target.
     """
-    spark = edges.sparkSession
-    links = settle(edges.select("source", "target").distinct(), "links")
+    links = Links(edges, buckets)
+    spark = links.spark
     if source == target:
-        known = nodes(links).where(F.col("node") == source)
-        return known.select(F.lit(0).alias("position"), "node")
-    root = scratch_path(spark, "paths")
-    first = spark.createDataFrame([(source, [source])], "node string, path array<string>")
-    first.write.parquet(f"{root}/dist=0")
-    level = 0
+        found = [(0, source)] if links.known(source) else []
+        return spark.createDataFrame(found, "position int, node string")
+    ends = ahead, back = _Frontiers(links, "source", source), _Frontiers(links, "target", target)
     while True:
-        seen = spark.read.schema("node string, dist int").parquet(root)
-        frontier = spark.read.schema("node string, path array<string>").parquet(f"{root}/dist={level}")
-        found = frontier.where(F.col("node") == target)
-        if frontier.isEmpty() or not found.isEmpty():
-            return found.select(F.posexplode("path").alias("position", "node"))
-        level += 1
-        step = (
-            links.join(frontier, F.col("source") == F.col("node"))
-            .select(F.col("target"), F.array_append("path", F.col("target")).alias("path"))
-            .groupBy(F.col("target").alias("node"))
-            .agg(F.min("path").alias("path"))
-            .join(seen, "node", "left_anti")
+        meeting = ahead.at(ahead.level).join(back.at(back.level), "node", "left_semi")
+        if not meeting.isEmpty():
+            break
+        if not (ahead.size and back.size):
+            return spark.createDataFrame([], "position int, node string")
+        min(ends, key=lambda side: (side.level, side.size)).grow()
+    # Of each level behind the meeting one, the nodes that lead to it.
+    useful = [settle(meeting, "meeting")]
+    for level in range(ahead.level - 1, 0, -1):
+        before = links.from_(useful[0], "target").select(F.col("far").alias("node")).distinct()
+        useful.insert(0, settle(ahead.at(level).join(before, "node", "left_semi"), "useful"))
+    layers = useful if ahead.level else []
+    layers = [*layers, *[back.at(level) for level in range(back.level - 1, -1, -1)]]
+    path = [source]
+    for layer in layers:
+        here = spark.createDataFrame([(path[-1],)], "node string")
+        onward = links.from_(here, "source").select(F.col("far").alias("node"))
+        path.append(onward.join(layer, "node", "left_semi").agg(F.min("node")).first()[0])
+    return spark.createDataFrame(list(enumerate(path)), "position int, node string")
+
+
+# --- a collapsed graph that is kept ------------------------------------------------
+
+class GraphStore:
+    """The collapsed graph of all batches so far, one state per edge, updated batch by batch.
+
+    The state of an edge is its last emitted attributes with their time. The later of two
+    states is again a state, so batches may arrive in any order and a batch may be folded
+    in twice. Edges are kept in buckets; folding in a batch rewrites only the buckets that
+    it touches, in folders of its own, and becomes visible with its row in ``folds``,
+    written last.
+    """
+
+    STATE = ["source", "target", "ts", *EDGE_ATTRIBUTES]
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = LINK_BUCKETS):
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+
+    def _folds(self) -> DataFrame | None:
+        path = f"{self.root}/folds"
+        return self.spark.read.schema("fold int, bucket int").parquet(path) if exists(self.spark, path) else None
+
+    def _states(self, buckets: list[int] | None = None) -> DataFrame | None:
+        """The newest states of the buckets (all without a list)."""
+        folds = self._folds()
+        if folds is None:
+            return None
+        newest = dict(folds.groupBy("bucket").agg(F.max("fold")).collect())  # one entry a bucket
+        chosen = [(b, f) for b, f in newest.items() if buckets is None or b in buckets]
+        if not chosen:
+            return None
+        paths = [f"{self.root}/states/bucket={b}/fold={f}" for b, f in chosen]
+        return self.spark.read.option("basePath", f"{self.root}/states").parquet(*paths).select("bucket", *self.STATE)
+
+    def fold(self, batch: DataFrame) -> list[int]:
+        """Take in the edges of a batch; returns the buckets that were rewritten."""
+        place = F.pmod(F.xxhash64("source", "target"), F.lit(self.buckets)).cast("int")
+        new = settle(self._merged(batch).withColumn("bucket", place), "fold")
+        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most all buckets
+        if not touched:
+            return []
+        folds, old = self._folds(), self._states(touched)
+        number = 1 if folds is None else folds.agg(F.max("fold")).first()[0] + 1
+        while exists(self.spark, f"{self.root}/attempts/fold={number}"):  # one that never became visible
+            number += 1
+        self.spark.range(1).write.parquet(f"{self.root}/attempts/fold={number}")
+        both = new.select("bucket", *self.STATE)
+        both = both if old is None else both.unionByName(old)
+        rows = self._merged(both, "bucket").withColumn("fold", F.lit(number)).repartition("bucket")
+        rows.write.mode("append").partitionBy("bucket", "fold").parquet(f"{self.root}/states")
+        done = self.spark.createDataFrame([(number, b) for b in touched], "fold int, bucket int")
+        done.coalesce(1).write.mode("append").parquet(f"{self.root}/folds")
+        return sorted(touched)
+
+    def _merged(self, states: DataFrame, *by: str) -> DataFrame:
+        last = F.max(F.struct("ts", *EDGE_ATTRIBUTES)).alias("_last")
+        return states.groupBy(*by, "source", "target").agg(last).select(
+            *by, "source", "target", *[f"_last.{c}" for c in ("ts", *EDGE_ATTRIBUTES)]
         )
-        step.write.parquet(f"{root}/dist={level}")
+
+    def edges(self) -> DataFrame | None:
+        """What ``collapse`` gives for all batches; None before the first."""
+        states = self._states()
+        return None if states is None else states.select("source", "target", *EDGE_ATTRIBUTES)
 
 
 # --- one-hop questions -------------------------------------------------------

@@ -562,6 +562,26 @@ def query_violations(
     return ordered if limit is None else ordered.limit(limit)
 
 
+EXPORT_ORDER = ["run_date", "batch_id", "stage", "rule_name", "row_key", "offending_value", "field_name"]
+
+
+def dated(found: DataFrame, ts: Column | None = None) -> DataFrame:
+    """Violations with the day by which they are stored."""
+    return found.withColumn("run_date", F.to_date(F.col("ts") if ts is None else ts))
+
+
+def export_csv(found: DataFrame, path: str, first_day: str, last_day: str) -> None:
+    """Stored violations of some days as CSV: numbered files with headers, in order among themselves.
+
+    Only the folders of those days are read; the rows are range-partitioned, so any number
+    of tasks write the one order.
+    """
+    order = [F.col(c).asc_nulls_first() for c in EXPORT_ORDER]
+    chosen = found.where(F.col("run_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date")))
+    rows = chosen.select("run_date", *VIOLATION_COLUMNS).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.write.option("header", True).csv(path)
+
+
 def violation_summary(found: DataFrame, batch_id: str | None = None) -> DataFrame:
     """Violations per rule and severity, worst severity first."""
     if batch_id:

@@ -425,6 +425,17 @@ def vw_asset_class_exposure(spark, folder):
     return star.asset_class_exposure(facts, dates, products)
 
 
+@query
+def class_counterparties_sketch(spark, folder):
+    """Counterparties per asset class in two periods, from sketches stored per day and class."""
+    facts, products, _, _ = _view_facts(spark, folder)
+    stored = settle(star.distinct_sketches(facts, products), "sketches")
+    year = F.floor(F.col("trade_date_key") / 10000).cast("int").alias("year")
+    by_year = star.distinct_of_period(stored.withColumn("year", year), 19930101, 19961231, "year")
+    whole = star.distinct_of_period(stored, 19930215, 19971110).withColumn("year", F.lit(None).cast("int"))
+    return by_year.unionByName(whole)
+
+
 @query
 def vw_settlement_failures(spark, folder):
     facts, products, counterparties, _ = _view_facts(spark, folder)
@@ -570,6 +581,17 @@ def violations_filtered(spark, folder):
     return quality.query_violations(_stored_violations(spark, folder), severity="error", limit=500)
 
 
+@query
+def violations_csv_roundtrip(spark, folder):
+    """Violations stored by day, those of two years exported in order and read back."""
+    stored, path = scratch_path(spark, "violations"), scratch_path(spark, "export")
+    found = quality.dated(_stored_violations(spark, folder), F.trunc("ts", "month"))
+    found.write.partitionBy("run_date").parquet(stored)
+    quality.export_csv(spark.read.parquet(stored), path, "1994-01-01", "1995-12-31")
+    columns = "run_date date, batch_id string, rule_name string, severity string, field_name string, offending_value string, row_key string, stage string, ts timestamp_ntz"
+    return spark.read.schema(columns).csv(path, header=True)
+
+
 @query
 def violation_summary(spark, folder):
     return quality.violation_summary(_stored_violations(spark, folder))
@@ -702,6 +724,22 @@ def lineage_batch_edges(spark, folder):
     return lineage.for_batch(lineage_log(spark, folder), "b_3").orderBy("ts")
 
 
+@query
+def lineage_latest_batch(spark, folder):
+    """The stored edges of the latest of two runs."""
+    tables = _stored_runs(spark, folder)
+    return lineage.of_latest_run(tables.read(spark, "lineage_edges"), tables.read(spark, "pipeline_runs")).drop("ts")
+
+
+@query
+def violations_latest_batch(spark, folder):
+    """The stored violations of the latest of two runs, counted per checkpoint and rule."""
+    tables = _stored_runs(spark, folder)
+    found = lineage.of_latest_run(tables.read(spark, "dq_violations"), tables.read(spark, "pipeline_runs"))
+    counts = found.groupBy("batch_id", "stage", "rule_name").agg(F.count(F.lit(1)).alias("violations"))
+    return counts.withColumnRenamed("stage", "checkpoint")
+
+
 @query
 def lineage_edge_count(spark, folder):
     return lineage_log(spark, folder).agg(F.count("*").alias("edge_count"))
@@ -718,6 +756,17 @@ def lineage_graph_edges(spark, folder):
     return lineage.collapse(lineage_log(spark, folder))
 
 
+@query
+def lineage_graph_incremental(spark, folder):
+    """The collapsed graph after three groups of batches were folded in, the newest first."""
+    log = lineage_log(spark, folder)
+    store = lineage.GraphStore(spark, scratch_path(spark, "graph"))
+    number = F.substring("batch_id", 3, 9).cast("int")
+    for part in (number >= 5, number == 0, number.between(1, 4)):
+        store.fold(log.where(part))
+    return store.edges()
+
+
 @query
 def lineage_ancestors(spark, folder):
     return lineage.ancestors(lineage_log(spark, folder), NODE)

@@ -386,6 +386,17 @@ def _emitted() -> str:
     )
 
 
+def _latest_edges() -> str:
+    fills = "\nUNION ALL ".join(
+        f"SELECT 'b_2' AS batch_id, 'raw.{c}' AS source, 'clean.{c}' AS target, 'null_fill' AS transform, 'clean' AS stage, "
+        f"'{{\"null_count\":' || COUNT(*) || ',\"fill_value\":\"{v}\"}}' AS metadata "
+        f"FROM raw WHERE {c} IS NULL AND src_suppkey % 2 = 0 HAVING COUNT(*) > 0"
+        for c, v in NULL_DEFAULTS.items()
+    )
+    always = f"SELECT 'b_2', source, target, transform, stage, '{{}}' FROM (VALUES {EDGES}) AS t(source, target, transform, stage)"
+    return _with(f"{fills}\nUNION ALL {always}", "raw")
+
+
 def _triples() -> str:
     base = "http://example.org/lineage/"
 
@@ -668,6 +679,15 @@ def oracle_sql() -> dict[str, str]:
                 FROM facts f JOIN products p ON f.product_key = p.product_key GROUP BY ALL""",
             "facts", "products",
         ),
+        "class_counterparties_sketch": _with(
+            """SELECT * FROM (WITH days AS (SELECT asset_class, trade_date_key AS d, counterparty_key AS c
+                 FROM facts f JOIN products p ON f.product_key = p.product_key)
+               SELECT asset_class, CAST(d // 10000 AS INTEGER) AS year, COUNT(DISTINCT c) AS distinct_values
+               FROM days WHERE d BETWEEN 19930101 AND 19961231 GROUP BY ALL
+               UNION ALL
+               SELECT asset_class, NULL, COUNT(DISTINCT c) FROM days WHERE d BETWEEN 19930215 AND 19971110 GROUP BY ALL)""",
+            "facts", "products",
+        ),
         "vw_settlement_failures": _with(
             """SELECT trade_id, trade_date_key, notional_usd, f.currency, legal_entity_name, credit_rating,
                  p.asset_class, status_label, days_to_settlement, batch_id
@@ -706,6 +726,11 @@ def oracle_sql() -> dict[str, str]:
                 ORDER BY ts DESC, batch_id, rule_name, row_key, offending_value NULLS FIRST, field_name LIMIT 500""",
             "raw",
         ),
+        "violations_csv_roundtrip": _with(
+            f"""SELECT CAST(DATE_TRUNC('month', ts) AS DATE) AS run_date, * FROM ({stored})
+                WHERE ts >= TIMESTAMP '1994-01-01' AND ts < TIMESTAMP '1996-01-01'""",
+            "raw",
+        ),
         "violation_summary": _with(
             f"""SELECT rule_name, severity, COUNT(*) AS violation_count,
                   CAST(CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'ERROR' THEN 2 WHEN 'WARN' THEN 3 ELSE 4 END
@@ -770,9 +795,12 @@ def oracle_sql() -> dict[str, str]:
         # lineage
         "lineage_emitted": _with(_emitted(), "raw"),
         "lineage_batch_edges": _with("SELECT * FROM log WHERE batch_id = 'b_3'", "log"),
+        "lineage_latest_batch": _latest_edges(),
+        "violations_latest_batch": f"SELECT * FROM ({_stored_violations()}) WHERE batch_id = 'b_2'",
         "lineage_edge_count": _with("SELECT COUNT(*) AS edge_count FROM log", "log"),
         "lineage_merge": _with("SELECT * FROM log WHERE batch_id IN ('b_1', 'b_2')", "log"),
         "lineage_graph_edges": _with("SELECT * FROM graph", "graph"),
+        "lineage_graph_incremental": _with("SELECT * FROM graph", "graph"),
         "lineage_ancestors": _reach(NODE, "target", "source"),
         "lineage_descendants": _reach(node_name(2), "source", "target"),
         "lineage_path": _path(node_name(1), NODE),

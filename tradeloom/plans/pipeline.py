@@ -260,7 +260,7 @@ def _checkpoint(
         return
     spark, begin = df.sparkSession, time.monotonic()
     evaluation = quality.evaluate(df, chosen, run.batch_id)
-    tables.append(evaluation.violations, "dq_violations", ("batch_id", "stage"))
+    tables.append(quality.dated(evaluation.violations), "dq_violations", ("run_date", "batch_id", "stage"))
     scored = quality.checkpoint_scores(evaluation.counts(spark)).select(
         F.lit(run.batch_id).alias("batch_id"), "*",
         F.lit(time.monotonic() - begin).alias("duration_sec"),
@@ -338,6 +338,13 @@ def load_star(
     return rejected
 
 
+@registry.register("write_star")
+def _write_star(rows: DataFrame, options: Mapping) -> DataFrame:
+    """Load enriched rows into the star schema at ``root`` as ``batch_id`` and pass them on."""
+    load_star(rows, Tables(options["root"]), options["batch_id"], options.get("pipeline_name", PIPELINE_NAME))
+    return rows
+
+
 def current_facts(spark: SparkSession, tables: Tables) -> DataFrame | None:
     """The visible facts: rows of finished loads that no finished load replaced."""
     found = FactStore(spark, tables).current()

@@ -4,7 +4,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
-from tradeloom.operators import clean, enrich, exposure
+from tradeloom.operators import clean, deadletter, enrich, exposure
 
 Step = Callable[[DataFrame, Mapping], DataFrame]
 STEPS: dict[str, Step] = {}
@@ -37,6 +37,15 @@ def _null_fill(rows: DataFrame, options: Mapping) -> DataFrame:
     return clean.null_fill(rows, options)
 
 
+@register("type_cast")
+def _type_cast(rows: DataFrame, options: Mapping) -> DataFrame:
+    """Cast rows; those that do not fit go to ``dead_letters`` (path, batch_id), or are left out without it."""
+    good, failed = clean.type_cast(rows, options.get("types"))
+    if options.get("dead_letters"):
+        deadletter.write(failed, options["dead_letters"], "type_cast_failure", options["batch_id"], "TypeCast")
+    return good
+
+
 @register("row_hash")
 def _row_hash(rows: DataFrame, options: Mapping) -> DataFrame:
     return clean.row_hash(rows, options.get("name", "row_hash"))
