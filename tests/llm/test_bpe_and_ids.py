@@ -65,6 +65,36 @@ def test_odd_texts(plain, library, own, cached, text):
     assert np.frombuffer(cached.encode([text])[0], "<u4").tolist() == library(text)
 
 
+def test_every_character_has_the_librarys_ids(cached):
+    """The table of ranks gives what the tokenizers library gives, around every character there is."""
+    assert cached.fast
+    for at in range(0, 0x110000, 0x8000):
+        some = [chr(c) for c in range(at, at + 0x8000) if not 0xD800 <= c < 0xE000]
+        texts = [f"a{c}b {c}{c}1{c} 2{c}. {c}\n{c} x  {c}'s{c}" for c in some]
+        want = cached.library.encode_batch_fast(texts, add_special_tokens=False)
+        assert cached.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in want]
+
+
+@settings(max_examples=200, deadline=None)
+@given(text=st.text(alphabet=st.characters(codec="utf-8")) | st.text(alphabet="ab '\n\t.,1stré\u3000", max_size=80))
+def test_any_text_has_the_librarys_ids(cached, library, text):
+    assert np.frombuffer(cached.encode([text])[0], "<u4").tolist() == library(text)
+
+
+def test_other_files_go_to_the_library():
+    other = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["Some text,  twice", "", "日本"]
+    assert other.fast is None
+    assert other.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in other.library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_rows_of_one_id_are_spread_over_tasks(spark, tmp_path):
+    rows = [(None if k % 3 == 0 else k, f"text {k} and more") for k in range(3000)]
+    tokenfile.write_ids(cases.docs(spark, rows), str(tmp_path / "ids"), JSON)
+    sizes = [len(tokenfile.read_image(bytes(r.image))[0]) for r in spark.read.parquet(str(tmp_path / "ids")).collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+
+
 def test_bpe_of_odd_rows(spark, plain):
     rows = cases.odd_rows()
     found = bpe.round_trip(cases.docs(spark, rows), MULTI, public_tokenizers.PATTERN)

@@ -157,7 +157,9 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, segm
         if names:
             yield part, number, ahead, total, _image(names, lengths, held)
 
-    ordered = whole(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # Rows of one id (a third may have none) are spread over tasks by a hash of their texts.
+    keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = whole(docs).repartitionByRange(*keys).sortWithinPartitions(*keys)
     schema = "part int, number int, ahead long, n_ids long, image binary"
     in_arrow(ordered, rows, schema, flush=1).write.option("compression", "none").parquet(path)
 
