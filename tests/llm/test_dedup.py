@@ -52,6 +52,18 @@ def test_exact_checks_the_bytes_behind_a_digest(spark):
     assert found.filter("kept").count() == 6
 
 
+def test_many_equal_rows_without_id(spark, tmp_path):
+    """Work follows the rows, not their square."""
+    rows = spark.range(100_000).select(
+        F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 100 > 0, F.lit("the Same")).otherwise(F.lit("other")).alias("text")
+    )
+    rows.repartition(4).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    found = exact.decide(docs).groupBy("group_size").agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("kept"))
+    assert cases.pairs(found, "group_size", "n", "kept") == [(1000, 1000, 1), (99000, 99000, 1)]
+    assert exact.deduplicate(docs).count() == 2
+
+
 def test_exact_of_an_empty_table(spark):
     none = cases.docs(spark, [])
     assert exact.decide(none).count() == 0
@@ -196,6 +208,30 @@ def test_passages_against_all_windows(spark):
     assert cases.pairs(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == plain_suffix(rows)
 
 
+def test_passages_of_rows_without_id_or_with_one_id(spark):
+    """Rows of one id do not cover each other, and none loses its removal to another."""
+    passage = " ".join(cases.words(77, 16))[:90]
+    rows = [(k, f"{passage} {k} {' '.join(cases.words(k, 3))}") for k in range(700)]
+    rows += [(None, f"{passage} {k} {' '.join(cases.words(5000 + k, 3))}") for k in range(700)]
+    rows += [(900, f"{k} {passage} x{k} {passage[:60]}") for k in range(500)] + [(901, f"q{k} {passage[20:80]}") for k in range(60)]
+    rows += [(902, rows[0][1])] * 5 + [(None, rows[0][1])] * 5
+    found = suffix.remove_repeats(cases.docs(spark, rows).repartition(6))
+    assert cases.pairs(found, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == plain_suffix(rows)
+    left = suffix.deduplicate(cases.docs(spark, rows))
+    assert left.count() == len(rows) and left.filter(F.col("doc_id").isNull() & F.col("text").contains(passage)).count() == 705
+
+
+@settings(max_examples=80, deadline=None)
+@given(spans=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 60), st.integers(1, 12)), max_size=40))
+def test_spans_become_maximal(spans):
+    owner = np.array([s[0] for s in spans], np.int64)
+    owner, out = suffix.maximal(owner, np.array([s[1:] for s in spans], suffix.SPAN))
+    have = {(o, p) for o, lo, size in zip(owner.tolist(), out["lo"].tolist(), out["size"].tolist()) for p in range(lo, lo + size)}
+    assert have == {(o, p) for o, lo, size in spans for p in range(lo, lo + size)}
+    pieces = list(zip(owner.tolist(), out["lo"].tolist(), (out["lo"] + out["size"]).tolist()))
+    assert pieces == sorted(pieces) and all(a[0] != b[0] or a[2] < b[1] for a, b in zip(pieces, pieces[1:]))
+
+
 def test_pieces_of_a_long_text_lose_no_window(spark, monkeypatch):
     monkeypatch.setattr(suffix, "PIECE", 64)
     monkeypatch.setattr(suffix, "RUNS_PER_BLOB", 20)

@@ -8,7 +8,7 @@ have to be compared within one anchor string. Neighbouring windows with the same
 anchor form a run.
 
 1. Runs with the same anchor and the same content (a 64-bit hash of it, besides
-   the anchor's 40 bits) are covered by the document with the smallest id. Runs
+   32 bits and the bucket of the anchor's) are covered by the document with the smallest id. Runs
    whose anchor also occurs with other content, in another document, go on, one
    for each content.
 2. Their bytes are fetched. The suffixes that begin at the anchors are sorted by
@@ -19,14 +19,16 @@ anchor form a run.
    equalities are then checked on the bytes; a collision repeats the work with
    another base.
 
-Records travel packed, many to a row; a map task sends only the smallest document
-of each content and settles the others itself, so copies do not gather in one
-place. Distinct contents around one anchor string meet in one task; they are a few
-dozen bytes each.
+Records travel packed, many to a row: runs by bucket of their anchor, spans by bucket
+of their document, so that rows follow the bytes, about BUCKET of them to a bucket. A
+map task sends only the smallest document of each content and settles the others
+itself, so copies do not gather in one place. Distinct contents around one anchor
+string meet in one task; they are a few dozen bytes each.
 
-A null text is empty. A null id ranks below all others. Rows with the same id do
-not cover each other. Texts under 50 bytes are unchanged. An empty table gives an
-empty result; other columns are not looked at.
+A row is known by its id and a 64-bit hash of its text. A null text is empty. A null id
+ranks below all others. Rows with the same id do not cover each other, so that all rows
+of one id and text have one result. Texts under 50 bytes are unchanged. An empty table
+gives an empty result; other columns are not looked at.
 """
 
 import hashlib
@@ -43,11 +45,13 @@ NO_ID = -(2**63)
 WINDOW, ANCHOR = 50, 20
 #: Bytes of a text handled at once; pieces overlap, so that no window is lost.
 PIECE = 262_144
-#: Runs of a task that are packed and sent together.
-RUNS_PER_BLOB = 1_000_000
+#: Runs of a task that are packed and sent together, and bytes of packed records in one bucket.
+RUNS_PER_BLOB, BUCKET = 300_000, 24_000_000
+#: Bytes of packed records for a byte of text.
+PACKED = 1.8
 SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xAAAAAAAB55555555 | 1)
-RUN = np.dtype([("h", "<u4"), ("s", "<u8"), ("doc", "<u4"), ("tag", "<u2"), ("lo", "<u4"), ("da", "u1"), ("dh", "u1")])
-WIDE = np.dtype([("h", "<u4"), ("s", "<u8"), ("doc", "<i8"), ("tag", "<u2"), ("lo", "<u4"), ("da", "u1"), ("dh", "u1")])
+RUN = np.dtype([("h", "<u4"), ("s", "<u8"), ("who", "<u4"), ("lo", "<u4"), ("da", "u1"), ("dh", "u1")])
+WHO = np.dtype([("doc", "<i8"), ("tag", "<i8")])
 SPAN = np.dtype([("lo", "<u4"), ("size", "<u4")])
 OPEN = np.dtype([("h", "<u8"), ("lo", "<u4"), ("da", "<u2"), ("dh", "<u2")])
 
@@ -110,30 +114,61 @@ def _first(*columns: np.ndarray) -> np.ndarray:
     return mark
 
 
+def by_document(who: np.ndarray, owner: np.ndarray, rows: np.ndarray) -> bytes:
+    """Rows packed with the documents that they belong to; ``owner`` holds places in ``who``."""
+    used, owner = np.unique(owner, return_inverse=True)
+    order = np.argsort(owner, kind="stable")
+    counts = np.bincount(owner, minlength=len(used)).astype("<u4")
+    return np.uint64(len(used)).tobytes() + who[used].tobytes() + counts.tobytes() + rows[order].tobytes()
+
+
+def documents_of(blobs: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(who, owner, rows) of packed rows laid end to end."""
+    who, owner, rows, at = [np.zeros(0, WHO)], [np.zeros(0, np.int64)], [np.zeros(0, kind)], 0
+    for blob in blobs:
+        n = int(np.frombuffer(blob, "<u8", 1)[0])
+        who.append(np.frombuffer(blob, WHO, n, 8))
+        counts = np.frombuffer(blob, "<u4", n, 8 + 16 * n)
+        owner.append(np.repeat(np.arange(at, at + n), counts))
+        rows.append(np.frombuffer(blob, kind, offset=8 + 20 * n))
+        at += n
+    return np.concatenate(who), np.concatenate(owner), np.concatenate(rows)
+
+
+def home(who: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each document."""
+    mixed = mix(who["doc"].astype(np.uint64) ^ mix(who["tag"].astype(np.uint64)))
+    return (mixed % np.uint64(buckets)).astype(np.int64)
+
+
 def _packed(parts: list, buckets: int):
-    """Rows (bucket, wide, base, runs, settled) of the runs of many documents."""
-    h = np.concatenate([p[0] for p in parts])
-    doc = np.concatenate([np.full(len(p[0]), p[5], np.int64) for p in parts])
-    tag = np.concatenate([np.full(len(p[0]), p[6], np.uint16) for p in parts])
-    s, lo, hi, anchor = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3, 4))
-    bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((doc, s, h, bucket))
-    h, s, doc, tag, lo, hi, anchor, bucket = (x[order] for x in (h, s, doc, tag, lo, hi, anchor, bucket))
-    begins = _first(bucket, h, s)
-    least = doc[np.flatnonzero(begins)][np.cumsum(begins) - 1]
-    base = int(doc.min())
-    wide = int(doc.max()) - base >= 2**32
-    for number in np.unique(bucket).tolist():
-        mine = np.flatnonzero(bucket == number)
-        own = mine[doc[mine] == least[mine]]
-        out = np.zeros(len(own), WIDE if wide else RUN)
-        out["h"], out["s"], out["tag"], out["lo"] = h[own] & np.uint64(0xFFFFFFFF), s[own], tag[own], lo[own]
-        out["doc"] = doc[own] if wide else doc[own] - base
-        out["da"], out["dh"] = anchor[own] - lo[own], hi[own] - lo[own]
-        late = mine[doc[mine] != least[mine]]
-        done = np.zeros(len(late), [("doc", "<i8"), ("tag", "<u2"), ("lo", "<u4"), ("size", "<u4")])
-        done["doc"], done["tag"], done["lo"], done["size"] = doc[late], tag[late], lo[late], hi[late] - lo[late] + WINDOW
-        yield number, wide, base, out.tobytes(), done.tobytes()
+    """Rows (bucket, who, runs, settled) of the runs of many documents."""
+    who = np.array([p[5] for p in parts], WHO)
+    h, s, lo, hi, anchor = (np.concatenate([p[k] for p in parts]) for k in range(5))
+    owner = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p[0]) for p in parts])
+    runs_ = np.empty(len(h), RUN)
+    runs_["h"], runs_["s"], runs_["who"], runs_["lo"] = h & np.uint64(0xFFFFFFFF), s, owner, lo
+    runs_["da"], runs_["dh"] = anchor - lo, hi - lo
+    bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint32)
+    del h, s, lo, hi, anchor, owner
+    order = np.lexsort((who["doc"][runs_["who"]], runs_["s"], runs_["h"], bucket))
+    runs_, bucket = runs_[order], bucket[order]
+    begins = _first(bucket, runs_["h"], runs_["s"])
+    doc = who["doc"][runs_["who"]]
+    late = doc != doc[np.flatnonzero(begins)][np.cumsum(begins) - 1]
+    edges = np.append(np.flatnonzero(_first(bucket)), len(bucket))
+    for begin, end in zip(edges[:-1], edges[1:]):
+        some, done = runs_[begin:end], late[begin:end]
+        own = some[~done]
+        used, place = np.unique(own["who"], return_inverse=True)
+        own["who"] = place
+        yield int(bucket[begin]), who[used].tobytes(), own.tobytes(), by_document(who, some["who"][done], _spans(some[done]))
+
+
+def _spans(runs_: np.ndarray) -> np.ndarray:
+    spans = np.empty(len(runs_), SPAN)
+    spans["lo"], spans["size"] = runs_["lo"], runs_["dh"].astype(np.uint32) + WINDOW
+    return spans
 
 
 def anchor_runs(docs: DataFrame, buckets: int) -> DataFrame:
@@ -142,7 +177,7 @@ def anchor_runs(docs: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for doc, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch)):
                 for found in text_runs(text, prefix):
-                    parts.append((*found, doc, tag))
+                    parts.append((*found, (doc, tag)))
                     held += len(found[0])
                     if held >= RUNS_PER_BLOB:
                         yield from _packed(parts, buckets)
@@ -150,71 +185,128 @@ def anchor_runs(docs: DataFrame, buckets: int) -> DataFrame:
         if parts:
             yield from _packed(parts, buckets)
 
-    return in_arrow(docs, rows, "bucket int, wide boolean, base long, runs binary, settled binary", flush=16)
-
-
-def _by_document(doc: np.ndarray, tag: np.ndarray, rows: np.ndarray) -> dict:
-    """Packed rows of each (document, tag)."""
-    order = np.lexsort((tag, doc))
-    doc, tag, rows = doc[order], tag[order], rows[order]
-    at = np.flatnonzero(_first(doc, tag))
-    ends = np.append(at[1:], len(doc))
-    return {(int(doc[b]), int(tag[b])): rows[b:e].tobytes() for b, e in zip(at, ends)}
-
-
-def match_runs(key, frame):
-    """Covered spans and open runs, by document, of one bucket."""
-    parts, done = [], []
-    for wide, base, data, settled in zip(frame["wide"], frame["base"], frame["runs"], frame["settled"]):
-        part = np.frombuffer(data, WIDE if wide else RUN)
-        full = np.zeros(len(part), WIDE)
-        for name in WIDE.names:
-            full[name] = part[name]
-        if not wide:
-            full["doc"] += base
-        parts.append(full)
-        done.append(np.frombuffer(settled, [("doc", "<i8"), ("tag", "<u2"), ("lo", "<u4"), ("size", "<u4")]))
-    all_ = np.concatenate(parts)
-    all_ = all_[np.lexsort((all_["doc"], all_["s"], all_["h"]))]
-    h, s, doc = all_["h"], all_["s"], all_["doc"]
-    new_h, new_s = _first(h), _first(h, s)
-    least = doc[np.flatnonzero(new_s)][np.cumsum(new_s) - 1]
-    late = doc > least
+    return in_arrow(docs, rows, "bucket int, who binary, runs binary, settled binary", flush=16)
+
+
+HOMED = "home int, spans binary, open binary"
+
+
+def _homed(who: np.ndarray, parts: dict, buckets: int) -> pd.DataFrame:
+    """Rows of HOMED: each column's (owner, rows), by the documents' buckets."""
+    place, out = home(who, buckets), {}
+    for name, (owner, rows) in parts.items():
+        at = place[owner]
+        order = np.argsort(at, kind="stable")
+        at, owner, rows = at[order], owner[order], rows[order]
+        edges = np.append(np.flatnonzero(_first(at)), len(at))
+        for begin, end in zip(edges[:-1], edges[1:]):
+            out.setdefault(int(at[begin]), {})[name] = by_document(who, owner[begin:end], rows[begin:end])
+    return pd.DataFrame([(k, v.get("spans"), v.get("open")) for k, v in out.items()], columns=["home", "spans", "open"])
+
+
+def match_runs(bucket: int, frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """Covered spans and open runs of one bucket, packed by the buckets of their documents."""
+    people, runs_, at = [], np.empty(sum(len(r) // RUN.itemsize for r in frame["runs"]), RUN), 0
+    for names, data in zip(frame["who"], frame["runs"]):
+        part = np.frombuffer(data, RUN)
+        runs_[at : at + len(part)] = part
+        runs_["who"][at : at + len(part)] += np.uint32(sum(map(len, people)))
+        people.append(np.frombuffer(names, WHO))
+        at += len(part)
+    who = np.concatenate(people)
+    order = np.lexsort((who["doc"][runs_["who"]], runs_["s"], runs_["h"]))
+    runs_ = runs_[order]
+    doc = who["doc"][runs_["who"]]
+    new_h, new_s = _first(runs_["h"]), _first(runs_["h"], runs_["s"])
+    late = doc > doc[np.flatnonzero(new_s)][np.cumsum(new_s) - 1]
     begins = np.flatnonzero(new_h)
-    group = np.cumsum(new_h) - 1
     contents = np.add.reduceat(new_s.astype(np.int64), begins)
     mixed = (contents > 1) & (np.minimum.reduceat(doc, begins) < np.maximum.reduceat(doc, begins))
-    covered = all_[late]
-    spans = np.zeros(len(covered), SPAN)
-    spans["lo"], spans["size"] = covered["lo"], covered["dh"].astype(np.int64) + WINDOW
-    settled = np.concatenate(done)
-    more = np.zeros(len(settled), SPAN)
-    more["lo"], more["size"] = settled["lo"], settled["size"]
-    found = _by_document(
-        np.concatenate((covered["doc"], settled["doc"])), np.concatenate((covered["tag"], settled["tag"])), np.concatenate((spans, more))
-    )
-    go_on = all_[mixed[group] & ~late]
-    open_ = np.zeros(len(go_on), OPEN)
-    open_["h"] = go_on["h"].astype(np.uint64) | (np.uint64(key[0]) << np.uint64(32))
+    # Nothing covers rows without an id: one of a content speaks for all.
+    goes_on = mixed[np.cumsum(new_h) - 1] & ~late & (new_s | (doc != NO_ID))
+    go_on = runs_[goes_on]
+    open_ = np.empty(len(go_on), OPEN)
+    open_["h"] = go_on["h"].astype(np.uint64) | (np.uint64(bucket) << np.uint64(32))
     open_["lo"], open_["da"], open_["dh"] = go_on["lo"], go_on["da"], go_on["dh"]
-    waiting = _by_document(go_on["doc"], go_on["tag"], open_)
-    rows = [(d, t, found.get((d, t)), waiting.get((d, t))) for d, t in found.keys() | waiting.keys()]
-    return pd.DataFrame(rows, columns=["doc", "tag", "spans", "open"])
+    settled, owner, spans = documents_of(frame["settled"].tolist(), SPAN)
+    covered = runs_[late]
+    owner = np.concatenate((covered["who"].astype(np.int64), owner + len(who)))
+    parts = {"spans": (owner, np.concatenate((_spans(covered), spans))), "open": (go_on["who"].astype(np.int64), open_)}
+    return _homed(np.concatenate((who, settled)), parts, buckets)
+
 
+def merged(homed: DataFrame) -> DataFrame:
+    """One row for each document: doc, tag, maximal spans, and its open runs."""
 
-def contexts(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    def rows(batches):
+        now, held = None, []
+        for batch in batches:
+            for key, *blobs in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                if held and key != now:
+                    yield from _merged(held)
+                    held = []
+                now = key
+                held.append(blobs)
+        if held:
+            yield from _merged(held)
+
+    sorted_ = homed.repartition("home").sortWithinPartitions("home").select("home", "spans", "open")
+    return in_arrow(sorted_, rows, "doc long, tag long, spans binary, open binary", flush=2000)
+
+
+def _merged(held: list):
+    found: dict = {}
+    for k, kind in ((0, SPAN), (1, OPEN)):
+        who, owner, rows = documents_of([blobs[k] for blobs in held if blobs[k]], kind)
+        order = np.lexsort((who["tag"], who["doc"]))
+        new = _first(who["doc"][order], who["tag"][order])
+        place = np.empty(len(who), np.int64)
+        place[order] = np.cumsum(new) - 1
+        names, owner = who[order[new]], place[owner]
+        if k == 0:
+            owner, rows = maximal(owner, rows)
+        else:  # rows of one id and text have the same runs
+            order = np.lexsort((rows["lo"], owner))
+            owner, rows = owner[order], rows[order]
+            once = _first(owner, rows["lo"])
+            owner, rows = owner[once], rows[once]
+        edges = np.append(np.flatnonzero(_first(owner)), len(owner)).tolist()
+        keys = names[owner[edges[:-1]]].tolist()
+        for key, begin, end in zip(keys, edges[:-1], edges[1:]):
+            found.setdefault(key, [None, None])[k] = rows[begin:end].tobytes()
+    for (doc, tag), (spans, open_) in found.items():
+        yield doc, tag, spans, open_
+
+
+def maximal(owner: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of each owner united to maximal ones, in order."""
+    order = np.lexsort((spans["lo"], owner))
+    owner, spans = owner[order], spans[order]
+    # The owner's number in the high bits keeps the places of different owners apart.
+    begin = (owner.astype(np.int64) << 33) + spans["lo"]
+    reach = np.maximum.accumulate(begin + spans["size"]) if len(begin) else begin
+    new = np.ones(len(begin), bool)
+    new[1:] = begin[1:] > reach[:-1]
+    at = np.flatnonzero(new)
+    out = np.empty(len(at), SPAN)
+    last = np.append(at[1:] - 1, len(begin) - 1) if len(at) else at
+    out["lo"], out["size"] = spans["lo"][at], reach[last] - begin[at]
+    return owner[at], out
+
+
+def contexts(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The bytes of open runs: bucket, h, doc, tag, lo, da, dh, content."""
-    wanted = spans.filter("open is not null").groupBy("doc", "tag").agg(F.collect_list("open").alias("open"))
-    both = docs.join(wanted, ["doc", "tag"]).select("doc", "tag", "open", "text").dropDuplicates(["doc", "tag"])
+    wanted = found.filter("open is not null").select("doc", "tag", "open")
+    both = docs.join(wanted, ["doc", "tag"]).select("doc", "tag", "open", "text")
 
     def rows(batches):
         for batch in batches:
-            for doc, tag, lists, text in zip(*(batch.column(k).to_pylist() for k in range(3)), texts(batch)):
-                for run in np.frombuffer(b"".join(lists), OPEN):
+            for doc, tag, open_, text in zip(*(batch.column(k).to_pylist() for k in range(3)), texts(batch)):
+                for run in np.frombuffer(open_, OPEN):
                     h, lo, da, dh = (int(run[c]) for c in OPEN.names)
                     yield h >> 32, h - 2**63, doc, tag, lo, da, dh, text[lo : lo + dh + WINDOW]
 
-    return in_arrow(both, rows, "bucket int, h long, doc long, tag int, lo long, da int, dh int, content binary")
+    return in_arrow(both, rows, "bucket int, h long, doc long, tag long, lo long, da int, dh int, content binary")
 
 
 class Suffixes:
@@ -328,9 +420,10 @@ def equal_windows(frame: dict, turn: int = 0) -> np.ndarray | None:
     return marks
 
 
-def match_contents(key, frame):
-    """Spans of windows covered by a smaller document, by document, of one bucket."""
-    frame = frame.sort_values(["h", "doc", "lo"], kind="stable")
+def match_contents(frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """Spans of windows covered by a smaller document, of one bucket."""
+    # Rows of one id and text have the same runs.
+    frame = frame.drop_duplicates(["h", "doc", "tag", "lo"]).sort_values(["h", "doc", "lo"], kind="stable")
     columns = {k: frame[k].to_numpy() for k in ("h", "doc", "tag", "lo", "da", "dh")}
     columns["content"] = frame["content"].tolist()
     turn, marks = 0, None
@@ -339,46 +432,46 @@ def match_contents(key, frame):
     row, o = np.nonzero(marks)
     spans = np.zeros(len(row), SPAN)
     spans["lo"], spans["size"] = columns["lo"][row] + columns["da"][row] - o, WINDOW
-    found = _by_document(columns["doc"][row], columns["tag"][row], spans)
-    return pd.DataFrame([(d, t, s, None) for (d, t), s in found.items()], columns=["doc", "tag", "spans", "open"])
+    who = np.empty(len(frame), WHO)
+    who["doc"], who["tag"] = columns["doc"], columns["tag"]
+    return _homed(who, {"spans": (row, spans)}, buckets)
 
 
 def union(spans: np.ndarray, size: int) -> list[tuple[int, int]]:
     """Maximal runs (begin, end) of the bytes that spans cover."""
-    if not len(spans):
-        return []
-    begin = np.sort(spans["lo"].astype(np.int64))
-    order = np.argsort(spans["lo"], kind="stable")
-    reach = np.maximum.accumulate((spans["lo"].astype(np.int64) + spans["size"])[order])
-    new = np.concatenate(([True], begin[1:] > reach[:-1]))
-    at = np.flatnonzero(new)
-    ends = reach[np.append(at[1:] - 1, len(begin) - 1)]
-    return [(int(b), min(int(e), size)) for b, e in zip(begin[at], ends)]
+    _, out = maximal(np.zeros(len(spans), np.int64), spans)
+    return [(b, min(b + n, size)) for b, n in zip(out["lo"].tolist(), out["size"].tolist())]
+
+
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets of about BUCKET bytes of packed records."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(1, -int(-size * PACKED // BUCKET))
 
 
 def repeated_spans(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """doc, tag and packed spans (lists of SPAN rows, which may overlap) of the bytes to remove.
 
-    ``docs`` has doc, tag and text, as ``identified`` gives them.
+    ``docs`` has doc, tag and text, as ``identified`` gives them. There is one row for each id and text.
     """
-    spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    schema = "doc long, tag int, spans binary, open binary"
-    packed = anchor_runs(docs, buckets)
-    first = settle(packed.groupBy("bucket").applyInPandas(match_runs, schema), "runs")
-    second = settle(contexts(docs, first).groupBy("bucket").applyInPandas(match_contents, schema), "windows")
-    return first.union(second).filter("spans is not null").groupBy("doc", "tag").agg(F.collect_list("spans").alias("spans"))
-
-
-def identified(docs: DataFrame, *more: str) -> DataFrame:
-    """doc (ranked id), tag (16 bits of the text's hash, which tells rows of one id apart) and text."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-        F.xxhash64(text).bitwiseAND(65535).cast("int").alias("tag"),
-        text.alias("text"),
-        *more,
-    )
+    n = buckets or bucket_count(docs)
+    of_runs = anchor_runs(docs, n).groupBy("bucket").applyInPandas(lambda key, frame: match_runs(int(key[0]), frame, n), HOMED)
+    first = settle(merged(of_runs), "runs")
+    of_contents = contexts(docs, first).groupBy("bucket").applyInPandas(lambda key, frame: match_contents(frame, n), HOMED)
+    second = settle(merged(of_contents), "windows")
+    both = first.union(second).filter("spans is not null")
+    return both.groupBy("doc", "tag").agg(F.collect_list("spans").alias("spans"))
+
+
+def name_columns() -> tuple:
+    """A row's ranked id, and the hash that tells the texts of one id apart."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """doc (ranked id), tag (hash of the text) and text."""
+    doc, tag = name_columns()
+    return docs.select(doc.alias("doc"), tag.alias("tag"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def remove_repeats(docs: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -412,11 +505,8 @@ def deduplicate(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     Bytes of a character that is cut in two are dropped. A null text stays null.
     """
     doc, tag, found = (fresh(docs, name) for name in ("doc", "tag", "spans"))
-    named = docs.select(
-        "*",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias(doc),
-        F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(65535).cast("int").alias(tag),
-    )
+    ranked, hashed = name_columns()
+    named = docs.select("*", ranked.alias(doc), hashed.alias(tag))
     spans = repeated_spans(identified(docs), buckets).toDF(doc, tag, found)
     both = named.join(spans, [doc, tag], "left")
     shorten = F.arrow_udf(_shortened, "string")
