@@ -140,6 +140,22 @@ def test_exports(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "t")).count() == 20
 
 
+def test_parts_make_one_json_document(spark, tmp_path):
+    edges = graph(spark, *[(f"raw.c{k}", f"clean.c{k % 7}") for k in range(60)], ('raw."q"', "clean.é"))
+    path = tmp_path / "document"
+    lineage.write_json_document(edges, str(path))
+    parts = sorted(path.glob("part-*"))
+    document = json.loads("".join(p.read_text() for p in parts))
+    assert [n["id"] for n in document["nodes"]] == sorted(r.id for r in lineage.export_nodes(edges).collect())
+    assert {(e["source"], e["target"], e["transform"]) for e in document["edges"]} == set(rows(lineage.collapse(edges), "source", "target", "transform"))
+    assert document["edges"][0]["metadata"] == {}
+    whole = tmp_path / "whole.json"
+    whole.write_text(json.dumps(document))
+    assert rows(lineage.read_json_document(spark, str(whole))) == rows(lineage.export_edges(edges).select("source", "target", "transform", "stage", "batch_id", "metadata"))
+    lineage.write_json_document(graph(spark), str(tmp_path / "none"))
+    assert json.loads("".join(p.read_text() for p in sorted((tmp_path / "none").glob("part-*")))) == {"nodes": [], "edges": []}
+
+
 def test_json_document_gets_defaults(spark, tmp_path):
     path = tmp_path / "graph.json"
     path.write_text(json.dumps({"nodes": [], "edges": [
@@ -152,6 +168,19 @@ def test_json_document_gets_defaults(spark, tmp_path):
     ]
 
 
+def test_edges_follow_columns_and_options():
+    edges = step_edges({"trade_id", "notional", "currency", "amount"}, {"fx_convert": {"source_col": "amount"}})
+    assert ("clean.amount", "enriched.notional_usd", "fx_convert", "enrich") in edges
+    assert {s for s, _, t, _ in edges if t == "type_cast"} == {"raw.trade_id", "raw.notional", "raw.currency"}
+    assert not any(t in ("date_expand", "lei_lookup", "position_net", "exposure_rollup") for _, _, t, _ in edges)
+    renamed = step_edges({"trade_id", "day", "party", "size"}, {
+        "type_cast": {"size": "double"}, "dedup": {"key_cols": ["trade_id", "day"]}, "date_expand": {"date_col": "day"}, "lei_lookup": {"counterparty_col": "party"},
+    })
+    assert {s for s, _, t, _ in renamed if t == "type_cast"} == {"raw.trade_id", "raw.size"}
+    assert {s for s, _, t, _ in renamed if t == "dedup"} == {"typed.trade_id", "typed.day"}
+    assert {s for s, _, t, _ in renamed if t == "date_expand"} == {"clean.day"} and {s for s, _, t, _ in renamed if t == "lei_lookup"} == {"clean.party"}
+
+
 def test_emitted_edges(spark):
     assert len(step_edges()) == 29
     counts = spark.createDataFrame(

@@ -395,6 +395,36 @@ def write_json(edges: DataFrame, path: str) -> None:
     export_edges(edges).write.json(f"{path}/edges")
 
 
+def write_json_document(edges: DataFrame, path: str) -> None:
+    """One document ``{"nodes": [...], "edges": [...]}`` as text parts that follow each other by name.
+
+    Items are lines in the order of their names, range-partitioned, so that no task holds
+    the document; the files read one after the other are the whole of it.
+    """
+    spark = edges.sparkSession
+    items = [
+        (1, settle(export_nodes(edges), "nodes"), ["id"]),
+        (3, settle(export_edges(edges).withColumn("metadata", F.parse_json("metadata")), "edges"), ["source", "target"]),
+    ]
+    marks = [(0, None, None, '{"nodes": ['), (2, None, None, '], "edges": ['), (4, None, None, "]}")]
+    lines = spark.createDataFrame(marks, "section int, a string, b string, line string")
+    for section, rows, keys in items:
+        a, b = (F.col(keys[0]), F.col(keys[1]) if len(keys) > 1 else F.lit(None).cast("string"))
+        least = rows.agg(F.min(F.struct(*keys)).alias("least")).first().least
+        first = F.lit(False) if least is None else same_values(dict(zip(keys, least)))
+        line = F.concat(F.when(first, "").otherwise(","), F.to_json(F.struct(*rows.columns)))
+        lines = lines.unionByName(rows.select(F.lit(section).alias("section"), a.alias("a"), b.alias("b"), line.alias("line")))
+    order = [F.col(c).asc_nulls_first() for c in ("section", "a", "b")]
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.text(path)
+
+
+def same_values(values: dict) -> Column:
+    condition = F.lit(True)
+    for name, value in values.items():
+        condition = condition & F.col(name).eqNullSafe(F.lit(value))
+    return condition
+
+
 def read_json(spark: SparkSession, path: str) -> DataFrame:
     """Edges written by ``write_json``."""
     schema = "source string, target string, transform string, stage string, batch_id string, metadata string"

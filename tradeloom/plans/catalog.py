@@ -369,6 +369,28 @@ def fact_constraint_rejects(spark, folder):
     return rejects.select("trade_id", "direction", "constraint_reason")
 
 
+def _gappy(spark: SparkSession, folder: str) -> DataFrame:
+    """Trades as a source without defaults gives them: ids, amounts, quantities and dates are missing at times."""
+    rows = clean.cast_columns(raw_trades(spark, folder))
+    gaps = {"trade_id": 31, "notional": 37, "quantity": 41, "trade_date": 43, "direction": 47}
+    part = F.col("src_partkey")
+    return rows.withColumns({c: F.when(part % n != 0, F.col(c)) for c, n in gaps.items()})
+
+
+@query
+def fact_null_rejects(spark, folder):
+    """Trades with missing values that the load would reject, with the first reason."""
+    rejects = star.split_by_constraints(_gappy(spark, folder))[1]
+    return rejects.select("trade_id", "src_suppkey", "src_partkey", "notional", "quantity", "constraint_reason")
+
+
+@query
+def dedup_null_keys(spark, folder):
+    """The newest trade of each product, those without a product being one group and those without a date last."""
+    rows = _gappy(spark, folder).select("product_id", "trade_date", "trade_id", "src_suppkey", "src_partkey")
+    return clean.dedup(rows, ["product_id"], "trade_date", tie_break=["trade_id", "src_suppkey", "src_partkey"])
+
+
 @query
 def fact_unique_rejects(spark, folder):
     """Typed trades, duplicates included, that the load would reject."""

@@ -53,31 +53,47 @@ def latest_runs(runs: DataFrame, limit: int | None = None) -> DataFrame:
     return ordered if limit is None else ordered.limit(limit)
 
 
-def step_edges() -> list[tuple[str, str, str, str]]:
-    """(source, target, transform, stage) of every step that always emits."""
-    edges = [(f"raw.{c}", f"typed.{c}", "type_cast", "clean") for c in COLUMN_TYPES]
-    edges.append(("typed.trade_id", "dedup.trade_id", "dedup", "clean"))
-    edges.append(("clean.notional", "enriched.notional_usd", "fx_convert", "enrich"))
-    edges.append(("enriched.notional_usd", "enriched.notional_eur", "fx_to_eur", "enrich"))
-    edges += [("clean.trade_date", f"enriched.{c}", "date_expand", "enrich") for c in DATE_COLUMNS]
-    edges += [("clean.counterparty_id", f"enriched.{c}", "lei_lookup", "enrich") for c in ENTITY_COLUMNS]
-    edges += [
-        ("enriched.notional_usd", "risk_report.usd_exposure", "exposure_rollup", "enrich"),
-        ("risk_report.usd_exposure", "risk_report.eur_exposure", "eur_conversion", "enrich"),
-        ("enriched.notional_usd", "enriched.net_notional_usd", "position_net", "enrich"),
-    ]
-    edges += [
-        (f"enriched.{c}", f"fact_trades.{c}", "write_star_schema", "load")
-        for c in ("notional_usd", "notional_eur", "net_notional_usd")
-    ]
+def step_edges(columns: set[str] | None = None, config: Mapping | None = None) -> list[tuple[str, str, str, str]]:
+    """(source, target, transform, stage) of every step, with its options, over a source's columns.
+
+    A step emits edges only for columns that it had; ``columns`` None stands for all.
+    """
+    config = config or {}
+    has = lambda *names: columns is None or set(names) <= columns
+    casts = {**COLUMN_TYPES, **config.get("type_cast", {})}
+    edges = [(f"raw.{c}", f"typed.{c}", "type_cast", "clean") for c in casts if has(c)]
+    keys = config.get("dedup", {}).get("key_cols", ["trade_id"])
+    if has(*keys):
+        edges += [(f"typed.{c}", f"dedup.{c}", "dedup", "clean") for c in keys]
+    amount = config.get("fx_convert", {}).get("source_col", "notional")
+    date = config.get("date_expand", {}).get("date_col", "trade_date")
+    party = config.get("lei_lookup", {}).get("counterparty_col", "counterparty_id")
+    converted = has(amount)
+    if converted:
+        edges.append((f"clean.{amount}", "enriched.notional_usd", "fx_convert", "enrich"))
+        edges.append(("enriched.notional_usd", "enriched.notional_eur", "fx_to_eur", "enrich"))
+    if has(date):
+        edges += [(f"clean.{date}", f"enriched.{c}", "date_expand", "enrich") for c in DATE_COLUMNS]
+    if has(party):
+        edges += [(f"clean.{party}", f"enriched.{c}", "lei_lookup", "enrich") for c in ENTITY_COLUMNS]
+    if converted and has("counterparty_id", "trade_date"):
+        edges.append(("enriched.notional_usd", "risk_report.usd_exposure", "exposure_rollup", "enrich"))
+        edges.append(("risk_report.usd_exposure", "risk_report.eur_exposure", "eur_conversion", "enrich"))
+    netted = converted and has("direction", "counterparty_id", "product_id")
+    if netted:
+        edges.append(("enriched.notional_usd", "enriched.net_notional_usd", "position_net", "enrich"))
+    loaded = ["notional_usd", "notional_eur"] * converted + ["net_notional_usd"] * netted
+    edges += [(f"enriched.{c}", f"fact_trades.{c}", "write_star_schema", "load") for c in loaded]
     return edges
 
 
-def emitted_edges(null_counts: DataFrame, ts: Column) -> DataFrame:
+def emitted_edges(
+    null_counts: DataFrame, ts: Column, columns: set[str] | None = None, config: Mapping | None = None
+) -> DataFrame:
     """Lineage edges of each batch in ``null_counts`` (batch_id, column_name, ...).
 
     A null_fill edge exists only for columns that had nulls in the batch; the
-    other steps emit the same edges for every batch.
+    other steps emit the same edges (``step_edges``) for every batch.
     """
     filled = null_counts.where("null_count > 0").select(
         "batch_id",
@@ -94,7 +110,7 @@ def emitted_edges(null_counts: DataFrame, ts: Column) -> DataFrame:
                 F.lit(name).alias("transform"), F.lit(stage).alias("stage"),
                 F.lit("{}").alias("metadata"),
             )
-            for s, t, name, stage in step_edges()
+            for s, t, name, stage in step_edges(columns, config)
         ]
     )
     fixed = null_counts.select("batch_id").distinct().select("batch_id", F.inline(always))

@@ -116,6 +116,12 @@ CTES = {
     "days": """
         SELECT CAST(trade_date AS DATE) AS d FROM raw WHERE trade_date IS NOT NULL
         UNION SELECT CAST(settlement_date AS DATE) FROM raw WHERE settlement_date IS NOT NULL""",
+    "gappy": """
+        SELECT * REPLACE (CASE WHEN src_partkey % 31 <> 0 THEN trade_id END AS trade_id,
+          CASE WHEN src_partkey % 37 <> 0 THEN TRY_CAST(notional AS DOUBLE) END AS notional,
+          CASE WHEN src_partkey % 41 <> 0 THEN quantity END AS quantity,
+          CASE WHEN src_partkey % 43 <> 0 THEN trade_date END AS trade_date,
+          CASE WHEN src_partkey % 47 <> 0 THEN direction END AS direction) FROM raw""",
     "log": lineage_log_sql(),
     "graph": """
         SELECT * EXCLUDE (rn, ts) FROM (
@@ -129,7 +135,7 @@ NEEDS = {
     "cleaned": ["ranked"], "duplicates": ["ranked"], "rated": ["cleaned"], "converted": ["rated"],
     "entities": [], "attributes": ["converted", "entities"], "exposed": ["attributes"],
     "enriched": ["exposed"], "products": ["attributes"], "counterparties": ["attributes"],
-    "statuses": [], "facts": ["enriched", "products", "counterparties", "statuses"], "days": ["raw"],
+    "statuses": [], "facts": ["enriched", "products", "counterparties", "statuses"], "days": ["raw"], "gappy": ["raw"],
     "log": [], "graph": ["log"], "nodes": ["log"],
 }
 
@@ -646,6 +652,22 @@ def oracle_sql() -> dict[str, str]:
                WHERE NOT valid OR n > 1""",
             "typed",
         ),
+        "fact_null_rejects": _with(
+            """SELECT trade_id, src_suppkey, src_partkey, notional, quantity, COALESCE(reason, 'trade_id_not_unique') AS constraint_reason
+               FROM (SELECT *, COUNT(*) OVER (PARTITION BY trade_id, reason) AS n FROM (
+                 SELECT *, CASE WHEN trade_id IS NULL THEN 'trade_id_missing' WHEN notional IS NULL THEN 'notional_missing'
+                     WHEN quantity IS NULL THEN 'quantity_missing'
+                     WHEN COALESCE(direction, 'UNKNOWN') NOT IN ('BUY', 'SELL', 'UNKNOWN') THEN 'direction_not_allowed' END AS reason
+                 FROM gappy))
+               WHERE reason IS NOT NULL OR n > 1""",
+            "gappy",
+        ),
+        "dedup_null_keys": _with(
+            """SELECT product_id, trade_date, trade_id, src_suppkey, src_partkey FROM (
+                 SELECT *, ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY trade_date DESC NULLS LAST, trade_id NULLS FIRST,
+                   src_suppkey NULLS FIRST, src_partkey NULLS FIRST) AS rn FROM gappy) WHERE rn = 1""",
+            "gappy",
+        ),
         "fact_constraint_rejects": _with(
             """SELECT trade_id, direction, 'direction_not_allowed' AS constraint_reason FROM cleaned
                WHERE direction NOT IN ('BUY', 'SELL', 'UNKNOWN')""",

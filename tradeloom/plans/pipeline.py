@@ -207,7 +207,7 @@ def run_pipeline(
             break
     try:
         if edge_steps:
-            _write_lineage(spark, nulls or {}, edge_steps, tables, run, config)
+            _write_lineage(raw, nulls or {}, edge_steps, tables, run, config)
     except Exception as error:
         failure = failure or error
         run.record("lineage", "FAILED", (0, 0, 0), 0.0, str(error))
@@ -285,12 +285,12 @@ def _bury_broken(
 
 
 def _write_lineage(
-    spark: SparkSession, nulls: Mapping[str, int], stages: Sequence[str], tables: Tables, run: Run, config: Mapping
+    raw: DataFrame, nulls: Mapping[str, int], stages: Sequence[str], tables: Tables, run: Run, config: Mapping
 ) -> None:
-    counts = spark.createDataFrame(
+    counts = raw.sparkSession.createDataFrame(
         [(run.batch_id, *row) for row in clean.fill_rows(nulls, config.get("null_fill"))], f"batch_id string, {clean.FILL_SCHEMA}"
     )
-    edges = observability.emitted_edges(counts, F.current_timestamp())
+    edges = observability.emitted_edges(counts, F.current_timestamp(), set(raw.columns), config)
     tables.append(edges.where(F.col("stage").isin(list(stages))), "lineage_edges")
 
 
