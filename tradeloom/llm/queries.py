@@ -137,4 +137,69 @@ ORACLE = {
             sha256(unhex(coalesce(array_to_string(list_transform(cuts, lambda c: substr(x, 2 * c.a + 1, 2 * (c.z - 1 - c.a))), ''), '')
                 || substr(x, 2 * coalesce(rest, 0) + 1))) AS kept_sha256
         FROM body LEFT JOIN gone USING (doc_id)""",
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE bits AS (
+            SELECT k AS byte, k::UBIGINT AS v, 0 AS n FROM range(256) t(k)
+            UNION ALL SELECT byte, xor(v >> 1, 3988292384::UBIGINT * (v & 1)), n + 1 FROM bits WHERE n < 8),
+        crc AS (SELECT list(v ORDER BY byte) AS steps FROM bits WHERE n = 8),
+        source AS (
+            SELECT conv_id AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+            FROM conversations),
+        faulty AS (
+            SELECT conv, turn, role, text, xor(4294967295::UBIGINT, list_reduce(
+                list_prepend(4294967295::UBIGINT, list_transform(range(1, len(key) + 1), lambda i: ascii(substr(key, i::INT, 1))::UBIGINT)),
+                lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255)::INT + 1]))) % 20 AS fault
+            FROM source, crc),
+        damaged AS (
+            SELECT conv, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+                CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+            FROM faulty WHERE fault <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos FROM damaged),
+        judged AS (
+            SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+                row_number() OVER (PARTITION BY conv, role, text ORDER BY pos) > 1 AS again,
+                NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS open,
+                lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY pos) AS before
+            FROM placed),
+        step AS (
+            SELECT *, (NOT blank AND NOT again AND open)::INT AS late, blank OR again AS must_go FROM judged),
+        ins(a, b, cost, letters, lines) AS (VALUES
+            (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+            (0, 2, 2, 'I', chr(10) || 'user:'), (1, 2, 2, 'I', chr(10) || 'user:'),
+            (3, 2, 2, 'I', chr(10) || 'user:'), (2, 3, 2, 'I', chr(10) || 'assistant:'),
+            (0, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+            (1, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+            (3, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+            (2, 2, 4, 'II', chr(10) || 'assistant:' || chr(10) || 'user:')),
+        moves(b, z, edit, initial, cost, role) AS (VALUES
+            (0, 0, 'D', NULL, 3, NULL), (1, 1, 'D', NULL, 3, NULL), (2, 2, 'D', NULL, 3, NULL), (3, 3, 'D', NULL, 3, NULL),
+            (0, 1, 'K', 's', 0, NULL), (0, 2, 'K', 'u', 0, NULL), (1, 2, 'K', 'u', 0, NULL), (3, 2, 'K', 'u', 0, NULL),
+            (2, 3, 'K', 'a', 0, NULL), (0, 2, 'R', NULL, 2, 'user'), (1, 2, 'R', NULL, 2, 'user'), (3, 2, 'R', NULL, 2, 'user'),
+            (2, 3, 'R', NULL, 2, 'assistant')),
+        path AS (
+            SELECT DISTINCT conv, 0::BIGINT AS pos, 0 AS z, {'c': 0::BIGINT, 'a': '', 'r': ''} AS best FROM placed
+            UNION ALL
+            SELECT p.conv, s.pos, m.z, min({'c': best.c + i.cost + m.cost + CASE WHEN edit = 'D' THEN 0 ELSE late END,
+                'a': best.a || i.letters || edit,
+                'r': best.r || i.lines || CASE WHEN edit = 'D' THEN '' ELSE chr(10) || coalesce(m.role, s.role) || ':' || s.text END})
+            FROM path p JOIN step s ON s.conv IS NOT DISTINCT FROM p.conv AND s.pos = p.pos + 1
+                JOIN ins i ON i.a = p.z JOIN moves m ON m.b = i.b
+            WHERE (edit = 'D' OR NOT must_go) AND (m.initial IS NULL OR m.initial = s.initial)
+            GROUP BY p.conv, s.pos, m.z),
+        size AS (
+            SELECT conv, max(pos) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate, sum(late) AS truncated,
+                count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM step GROUP BY conv),
+        ends AS (
+            SELECT size.*, min({'c': best.c + i.cost, 'a': best.a || i.letters, 'r': best.r || i.lines}) AS best
+            FROM size JOIN path p ON p.conv IS NOT DISTINCT FROM size.conv AND p.pos = n JOIN ins i ON i.a = p.z
+            WHERE i.b = 3 OR (i.b = 0 AND i.a = 0) GROUP BY ALL)
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+            coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+            coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.r, 2), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ends ON ends.conv IS NOT DISTINCT FROM o.conv_id""",
 }
