@@ -102,12 +102,12 @@ def _view_facts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame,
     return facts, products, counterparties, dates
 
 
-def _stored_runs(spark: SparkSession, folder: str) -> pipeline.Tables:
+def _stored_runs(spark: SparkSession, folder: str, **more) -> pipeline.Tables:
     """The tables that two runs of the pipeline wrote: all trades, then those of every other supplier."""
     tables = pipeline.Tables(scratch_path(spark, "runs"))
     rows = raw_trades(spark, folder)
     for batch, part in (("b_1", rows), ("b_2", rows.where("src_suppkey % 2 = 0"))):
-        pipeline.run_pipeline(part, tables.root, batch, PIPELINE, config=CONFIG)
+        pipeline.run_pipeline(part, tables.root, batch, PIPELINE, config=CONFIG | more)
     return tables
 
 
@@ -753,6 +753,13 @@ def lineage_latest_batch(spark, folder):
     return lineage.of_latest_run(tables.read(spark, "lineage_edges"), tables.read(spark, "pipeline_runs")).drop("ts")
 
 
+@query
+def lineage_kept_graph(spark, folder):
+    """The collapsed graph that two runs kept, without collapsing their edges again."""
+    tables = _stored_runs(spark, folder, keep_lineage_graph=True)
+    return lineage.GraphStore(spark, tables.path("lineage_graph")).edges()
+
+
 @query
 def violations_latest_batch(spark, folder):
     """The stored violations of the latest of two runs, counted per checkpoint and rule."""

@@ -34,11 +34,17 @@ class FactStore:
         layout = tables.read(spark, "fact_layout")
         self.buckets = buckets if layout is None else layout.first().buckets
         self.stored = layout is not None
+        self.registered: dict[str, str] = {}
 
     # --- tables ----------------------------------------------------------------
 
     def _register(self, name: str, schema: str) -> str:
-        """The bucketed table over a folder, with the partitions it has now; data stay where they are."""
+        """The bucketed table over a folder, with the partitions it has now; data stay where they are.
+
+        Later inserts through the table add their partitions to it.
+        """
+        if name in self.registered:
+            return self.registered[name]
         path = self.tables.path(name)
         table = f"facts_{hashlib.md5(path.encode()).hexdigest()[:16]}"
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -49,9 +55,12 @@ class FactStore:
         )
         if self.tables.read(self.spark, name) is not None:
             self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        self.registered[name] = table
         return table
 
     def _table(self, name: str) -> str | None:
+        if name in self.registered:
+            return self.registered[name]
         stored = self.tables.read(self.spark, name)
         return None if stored is None else self._register(name, ", ".join(f"`{f}` {t}" for f, t in stored.dtypes))
 
@@ -173,3 +182,4 @@ class FactStore:
                 floor = floors.get(int(at["bucket"]), 0) if "bucket" in at else last
                 if int(at[columns[-1]]) < floor:
                     delete_folder(self.spark, f"{self.tables.path(name)}/{row.partition}")
+        self.registered = {}

@@ -392,14 +392,15 @@ def _emitted() -> str:
     )
 
 
-def _latest_edges() -> str:
+def _run_edges(batch: str = "b_2", part: str = "src_suppkey % 2 = 0") -> str:
+    """The edges of a stored run over a part of the trades."""
     fills = "\nUNION ALL ".join(
-        f"SELECT 'b_2' AS batch_id, 'raw.{c}' AS source, 'clean.{c}' AS target, 'null_fill' AS transform, 'clean' AS stage, "
+        f"SELECT '{batch}' AS batch_id, 'raw.{c}' AS source, 'clean.{c}' AS target, 'null_fill' AS transform, 'clean' AS stage, "
         f"'{{\"null_count\":' || COUNT(*) || ',\"fill_value\":\"{v}\"}}' AS metadata "
-        f"FROM raw WHERE {c} IS NULL AND src_suppkey % 2 = 0 HAVING COUNT(*) > 0"
+        f"FROM raw WHERE {c} IS NULL AND {part} HAVING COUNT(*) > 0"
         for c, v in NULL_DEFAULTS.items()
     )
-    always = f"SELECT 'b_2', source, target, transform, stage, '{{}}' FROM (VALUES {EDGES}) AS t(source, target, transform, stage)"
+    always = f"SELECT '{batch}', source, target, transform, stage, '{{}}' FROM (VALUES {EDGES}) AS t(source, target, transform, stage)"
     return _with(f"{fills}\nUNION ALL {always}", "raw")
 
 
@@ -817,7 +818,11 @@ def oracle_sql() -> dict[str, str]:
         # lineage
         "lineage_emitted": _with(_emitted(), "raw"),
         "lineage_batch_edges": _with("SELECT * FROM log WHERE batch_id = 'b_3'", "log"),
-        "lineage_latest_batch": _latest_edges(),
+        "lineage_latest_batch": _run_edges(),
+        "lineage_kept_graph": f"""
+            WITH runs AS (SELECT * FROM ({_run_edges("b_1", "TRUE")}) UNION ALL SELECT * FROM ({_run_edges()}))
+            SELECT source, target, arg_max(transform, batch_id) AS transform, arg_max(stage, batch_id) AS stage,
+              max(batch_id) AS batch_id, arg_max(metadata, batch_id) AS metadata FROM runs GROUP BY source, target""",
         "violations_latest_batch": f"SELECT * FROM ({_stored_violations()}) WHERE batch_id = 'b_2'",
         "lineage_edge_count": _with("SELECT COUNT(*) AS edge_count FROM log", "log"),
         "lineage_merge": _with("SELECT * FROM log WHERE batch_id IN ('b_1', 'b_2')", "log"),

@@ -157,7 +157,8 @@ def run_pipeline(
     ``config`` may hold, besides the options of the steps: ``checkpoints`` (stage to
     checkpoint name), ``extra_steps`` (stage to names of registered steps that follow
     its own), ``required_columns`` (stage to columns; a missing one is noted), ``fact_buckets``
-    (number of buckets of a store without facts), and
+    (number of buckets of a store without facts), ``keep_lineage_graph`` (fold the run's
+    edges into the collapsed graph of all runs), and
     ``dead_letter_severities`` (stage to severities: rows that break a rule of its
     checkpoint that severely go to the dead letters).
 
@@ -291,7 +292,10 @@ def _write_lineage(
         [(run.batch_id, *row) for row in clean.fill_rows(nulls, config.get("null_fill"))], f"batch_id string, {clean.FILL_SCHEMA}"
     )
     edges = observability.emitted_edges(counts, F.current_timestamp(), set(raw.columns), config)
-    tables.append(edges.where(F.col("stage").isin(list(stages))), "lineage_edges")
+    edges = edges.where(F.col("stage").isin(list(stages)))
+    tables.append(edges, "lineage_edges")
+    if config.get("keep_lineage_graph"):
+        lineage.GraphStore(raw.sparkSession, tables.path("lineage_graph")).fold(edges)
 
 
 # --- star schema on disk -----------------------------------------------------
