@@ -221,6 +221,20 @@ def test_passages_of_rows_without_id_or_with_one_id(spark):
     assert left.count() == len(rows) and left.filter(F.col("doc_id").isNull() & F.col("text").contains(passage)).count() == 705
 
 
+@settings(max_examples=80, deadline=None)
+@given(
+    people=st.lists(st.tuples(st.integers(-(2**63), 2**63 - 1) | st.integers(0, 300), st.integers(-(2**63), 2**63 - 1)), min_size=1, max_size=9, unique=True),
+    data=st.data(),
+)
+def test_packed_rows_come_back(people, data):
+    who = np.array(people, suffix.WHO)
+    owner = np.array(data.draw(st.lists(st.integers(0, len(people) - 1), max_size=300)), np.int64)
+    rows = np.array([(k, k + 1) for k in range(len(owner))], suffix.SPAN)
+    names, back, found = suffix.documents_of([suffix.by_document(who, owner, rows)] * 2, suffix.SPAN)
+    have = sorted((*names[o].tolist(), r["lo"]) for o, r in zip(back, found))
+    assert have == sorted((*people[o], k) for k, o in enumerate(owner.tolist()) for _ in range(2))
+
+
 @settings(max_examples=80, deadline=None)
 @given(spans=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 60), st.integers(1, 12)), max_size=40))
 def test_spans_become_maximal(spans):

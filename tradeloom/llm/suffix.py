@@ -7,7 +7,7 @@ equal ones. Equal windows have equal anchors at equal places, so windows only
 have to be compared within one anchor string. Neighbouring windows with the same
 anchor form a run.
 
-1. Runs with the same anchor and the same content (a 64-bit hash of it, besides
+1. Runs with the same anchor and the same content (48 bits of a hash of it, besides
    32 bits and the bucket of the anchor's) are covered by the document with the smallest id. Runs
    whose anchor also occurs with other content, in another document, go on, one
    for each content.
@@ -46,11 +46,12 @@ WINDOW, ANCHOR = 50, 20
 #: Bytes of a text handled at once; pieces overlap, so that no window is lost.
 PIECE = 262_144
 #: Runs of a task that are packed and sent together, and bytes of packed records in one bucket.
-RUNS_PER_BLOB, BUCKET = 300_000, 24_000_000
+RUNS_PER_BLOB, BUCKET = 400_000, 28_000_000
 #: Bytes of packed records for a byte of text.
-PACKED = 1.8
+PACKED = 1.4
 SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xAAAAAAAB55555555 | 1)
-RUN = np.dtype([("h", "<u4"), ("s", "<u8"), ("who", "<u4"), ("lo", "<u4"), ("da", "u1"), ("dh", "u1")])
+#: ``s`` and ``t`` are 48 bits of the content's hash.
+RUN = np.dtype([("h", "<u4"), ("s", "<u4"), ("t", "<u2"), ("lo", "<u4"), ("da", "u1"), ("dh", "u1")])
 WHO = np.dtype([("doc", "<i8"), ("tag", "<i8")])
 SPAN = np.dtype([("lo", "<u4"), ("size", "<u4")])
 OPEN = np.dtype([("h", "<u8"), ("lo", "<u4"), ("da", "<u2"), ("dh", "<u2")])
@@ -115,22 +116,35 @@ def _first(*columns: np.ndarray) -> np.ndarray:
 
 
 def by_document(who: np.ndarray, owner: np.ndarray, rows: np.ndarray) -> bytes:
-    """Rows packed with the documents that they belong to; ``owner`` holds places in ``who``."""
+    """Rows packed with the documents that they belong to; ``owner`` holds places in ``who``.
+
+    Ids go as distances from the smallest; these and the counts of rows take as few bytes as they can.
+    """
     used, owner = np.unique(owner, return_inverse=True)
     order = np.argsort(owner, kind="stable")
-    counts = np.bincount(owner, minlength=len(used)).astype("<u4")
-    return np.uint64(len(used)).tobytes() + who[used].tobytes() + counts.tobytes() + rows[order].tobytes()
+    base = who["doc"][used].min(initial=2**63 - 1)
+    numbers = [who["doc"][used].astype(np.uint64) - np.array(base).astype(np.uint64), np.bincount(owner, minlength=len(used)).astype(np.uint64)]
+    kinds = [np.min_scalar_type(int(x.max(initial=0))).newbyteorder("<") for x in numbers]
+    head = np.array([len(used), base, *[k.itemsize for k in kinds]], "<i8")
+    narrow = [x.astype(k).tobytes() for x, k in zip(numbers, kinds)]
+    return b"".join([head.tobytes(), *narrow, who["tag"][used].tobytes(), rows[order].tobytes()])
 
 
 def documents_of(blobs: list[bytes], kind: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(who, owner, rows) of packed rows laid end to end."""
     who, owner, rows, at = [np.zeros(0, WHO)], [np.zeros(0, np.int64)], [np.zeros(0, kind)], 0
     for blob in blobs:
-        n = int(np.frombuffer(blob, "<u8", 1)[0])
-        who.append(np.frombuffer(blob, WHO, n, 8))
-        counts = np.frombuffer(blob, "<u4", n, 8 + 16 * n)
-        owner.append(np.repeat(np.arange(at, at + n), counts))
-        rows.append(np.frombuffer(blob, kind, offset=8 + 20 * n))
+        n, base, *sizes = np.frombuffer(blob, "<i8", 4).tolist()
+        begin, numbers = 32, []
+        for size in sizes:
+            numbers.append(np.frombuffer(blob, f"<u{size}", n, begin))
+            begin += n * size
+        names = np.empty(n, WHO)
+        names["doc"] = (numbers[0].astype(np.uint64) + np.array(base).astype(np.uint64)).astype(np.int64)
+        names["tag"] = np.frombuffer(blob, "<i8", n, begin)
+        who.append(names)
+        owner.append(np.repeat(np.arange(at, at + n), numbers[1].astype(np.int64)))
+        rows.append(np.frombuffer(blob, kind, offset=begin + 8 * n))
         at += n
     return np.concatenate(who), np.concatenate(owner), np.concatenate(rows)
 
@@ -142,27 +156,24 @@ def home(who: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _packed(parts: list, buckets: int):
-    """Rows (bucket, who, runs, settled) of the runs of many documents."""
+    """Rows (bucket, runs, settled) of the runs of many documents."""
     who = np.array([p[5] for p in parts], WHO)
     h, s, lo, hi, anchor = (np.concatenate([p[k] for p in parts]) for k in range(5))
     owner = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p[0]) for p in parts])
     runs_ = np.empty(len(h), RUN)
-    runs_["h"], runs_["s"], runs_["who"], runs_["lo"] = h & np.uint64(0xFFFFFFFF), s, owner, lo
-    runs_["da"], runs_["dh"] = anchor - lo, hi - lo
+    runs_["h"], runs_["s"], runs_["t"] = h & np.uint64(0xFFFFFFFF), s & np.uint64(0xFFFFFFFF), s >> np.uint64(48)
+    runs_["lo"], runs_["da"], runs_["dh"] = lo, anchor - lo, hi - lo
     bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint32)
-    del h, s, lo, hi, anchor, owner
-    order = np.lexsort((who["doc"][runs_["who"]], runs_["s"], runs_["h"], bucket))
-    runs_, bucket = runs_[order], bucket[order]
-    begins = _first(bucket, runs_["h"], runs_["s"])
-    doc = who["doc"][runs_["who"]]
+    del h, s, lo, hi, anchor
+    order = np.lexsort((who["doc"][owner], runs_["t"], runs_["s"], runs_["h"], bucket))
+    runs_, owner, bucket = runs_[order], owner[order], bucket[order]
+    begins = _first(bucket, runs_["h"], runs_["s"], runs_["t"])
+    doc = who["doc"][owner]
     late = doc != doc[np.flatnonzero(begins)][np.cumsum(begins) - 1]
     edges = np.append(np.flatnonzero(_first(bucket)), len(bucket))
     for begin, end in zip(edges[:-1], edges[1:]):
-        some, done = runs_[begin:end], late[begin:end]
-        own = some[~done]
-        used, place = np.unique(own["who"], return_inverse=True)
-        own["who"] = place
-        yield int(bucket[begin]), who[used].tobytes(), own.tobytes(), by_document(who, some["who"][done], _spans(some[done]))
+        some, names, done = runs_[begin:end], owner[begin:end], late[begin:end]
+        yield int(bucket[begin]), by_document(who, names[~done], some[~done]), by_document(who, names[done], _spans(some[done]))
 
 
 def _spans(runs_: np.ndarray) -> np.ndarray:
@@ -185,7 +196,7 @@ def anchor_runs(docs: DataFrame, buckets: int) -> DataFrame:
         if parts:
             yield from _packed(parts, buckets)
 
-    return in_arrow(docs, rows, "bucket int, who binary, runs binary, settled binary", flush=16)
+    return in_arrow(docs, rows, "bucket int, runs binary, settled binary", flush=16)
 
 
 HOMED = "home int, spans binary, open binary"
@@ -206,18 +217,11 @@ def _homed(who: np.ndarray, parts: dict, buckets: int) -> pd.DataFrame:
 
 def match_runs(bucket: int, frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
     """Covered spans and open runs of one bucket, packed by the buckets of their documents."""
-    people, runs_, at = [], np.empty(sum(len(r) // RUN.itemsize for r in frame["runs"]), RUN), 0
-    for names, data in zip(frame["who"], frame["runs"]):
-        part = np.frombuffer(data, RUN)
-        runs_[at : at + len(part)] = part
-        runs_["who"][at : at + len(part)] += np.uint32(sum(map(len, people)))
-        people.append(np.frombuffer(names, WHO))
-        at += len(part)
-    who = np.concatenate(people)
-    order = np.lexsort((who["doc"][runs_["who"]], runs_["s"], runs_["h"]))
-    runs_ = runs_[order]
-    doc = who["doc"][runs_["who"]]
-    new_h, new_s = _first(runs_["h"]), _first(runs_["h"], runs_["s"])
+    who, owner, runs_ = documents_of(frame["runs"].tolist(), RUN)
+    order = np.lexsort((who["doc"][owner], runs_["t"], runs_["s"], runs_["h"]))
+    runs_, owner = runs_[order], owner[order]
+    doc = who["doc"][owner]
+    new_h, new_s = _first(runs_["h"]), _first(runs_["h"], runs_["s"], runs_["t"])
     late = doc > doc[np.flatnonzero(new_s)][np.cumsum(new_s) - 1]
     begins = np.flatnonzero(new_h)
     contents = np.add.reduceat(new_s.astype(np.int64), begins)
@@ -228,10 +232,9 @@ def match_runs(bucket: int, frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
     open_ = np.empty(len(go_on), OPEN)
     open_["h"] = go_on["h"].astype(np.uint64) | (np.uint64(bucket) << np.uint64(32))
     open_["lo"], open_["da"], open_["dh"] = go_on["lo"], go_on["da"], go_on["dh"]
-    settled, owner, spans = documents_of(frame["settled"].tolist(), SPAN)
-    covered = runs_[late]
-    owner = np.concatenate((covered["who"].astype(np.int64), owner + len(who)))
-    parts = {"spans": (owner, np.concatenate((_spans(covered), spans))), "open": (go_on["who"].astype(np.int64), open_)}
+    settled, of_settled, spans = documents_of(frame["settled"].tolist(), SPAN)
+    of_spans = np.concatenate((owner[late], of_settled + len(who)))
+    parts = {"spans": (of_spans, np.concatenate((_spans(runs_[late]), spans))), "open": (owner[goes_on], open_)}
     return _homed(np.concatenate((who, settled)), parts, buckets)
 
 
