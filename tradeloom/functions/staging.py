@@ -7,14 +7,20 @@ the table: a join with it is broadcast only when its files are below
 handling) otherwise.
 """
 
+import gc
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+_MADE: ContextVar[list | None] = ContextVar("made", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``, or else below the warehouse.
 
@@ -49,7 +55,32 @@ def remove_scratch(spark: SparkSession) -> None:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def tracked() -> Iterator[list[str]]:
+    """The scratch paths that are given out meanwhile."""
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+
+
+def free(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete scratch tables that are not needed any more, and shuffle files of jobs whose DataFrames are gone.
+
+    Spark deletes a shuffle's files when the driver's collectors find its DataFrame unused.
+    """
+    for path in paths:
+        delete_folder(spark, path)
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def settle(df: DataFrame, name: str = "settled", partition: Sequence[str] = ()) -> DataFrame:
@@ -85,7 +116,7 @@ def at_once(*jobs: Callable) -> list:
     the other's unfinished files.
     """
     with ThreadPoolExecutor(len(jobs)) as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]
+        return [f.result() for f in [pool.submit(copy_context().run, job) for job in jobs]]
 
 
 def settle_all(**tables: DataFrame) -> list[DataFrame]:
