@@ -99,20 +99,24 @@ def _reach(links: DataFrame, start: str) -> DataFrame:
         step.write.parquet(f"{root}/dist={level}")
 
 
-LINK_BUCKETS = 32
+#: Buckets of links and of graph states; some hundred megabytes each at full size.
+LINK_BUCKETS = 16
 
 
 class Links:
-    """Distinct links stored twice, in buckets of either end, for searches that read only what a frontier touches."""
+    """Distinct links stored by bucket of either end, for searches that read only what a frontier touches."""
 
     def __init__(self, edges: DataFrame, buckets: int = LINK_BUCKETS):
         self.spark, self.buckets = edges.sparkSession, buckets
-        self.paths = {}
-        links = settle(edges.select("source", "target").distinct(), "links")
-        for near, far in (("source", "target"), ("target", "source")):
-            self.paths[near] = scratch_path(self.spark, f"links-by-{near}")
-            rows = links.select(F.col(near).alias("near"), F.col(far).alias("far"), self._bucket(near).alias("bucket"))
-            rows.repartition("bucket").write.partitionBy("bucket").parquet(self.paths[near])
+        self.path = scratch_path(self.spark, "links")
+        ends = [
+            F.struct(F.lit(near).alias("side"), F.col(near).alias("near"), F.col(far).alias("far"))
+            for near, far in (("source", "target"), ("target", "source"))
+        ]
+        links = edges.select("source", "target").distinct().select(F.inline(F.array(*ends)))
+        # A link's two rows lie where searches from either end look for them.
+        rows = links.withColumn("bucket", self._bucket("near")).repartition("side", "bucket")
+        rows.write.partitionBy("side", "bucket").parquet(self.path)
 
     def _bucket(self, column: str) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(self.buckets)).cast("int")
@@ -120,13 +124,14 @@ class Links:
     def from_(self, nodes_: DataFrame, near: str) -> DataFrame:
         """(near, far) links at the given nodes (column ``node``); only their buckets are read."""
         wanted = [r.bucket for r in nodes_.select(self._bucket("node").alias("bucket")).distinct().collect()]  # at most all buckets
-        links = self.spark.read.schema("near string, far string, bucket int").parquet(self.paths[near])
-        return links.where(F.col("bucket").isin(wanted)).join(nodes_.select(F.col("node").alias("near")), "near", "left_semi").drop("bucket")
+        links = self.spark.read.schema("near string, far string, side string, bucket int").parquet(self.path)
+        links = links.where((F.col("side") == near) & F.col("bucket").isin(wanted)).select("near", "far")
+        return links.join(nodes_.select(F.col("node").alias("near")), "near", "left_semi")
 
     def known(self, node: str) -> bool:
         """Whether the node is an end of any link."""
         one = self.spark.createDataFrame([(node,)], "node string")
-        return any(not self.from_(one, near).isEmpty() for near in self.paths)
+        return any(not self.from_(one, near).isEmpty() for near in ("source", "target"))
 
 
 class _Frontiers:
