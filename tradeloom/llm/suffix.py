@@ -46,7 +46,7 @@ WINDOW, ANCHOR = 50, 20
 #: Bytes of a text handled at once; pieces overlap, so that no window is lost.
 PIECE = 262_144
 #: Runs of a task that are packed and sent together, and bytes of packed records in one bucket.
-RUNS_PER_BLOB, BUCKET = 400_000, 28_000_000
+RUNS_PER_BLOB, BUCKET = 200_000, 12_000_000
 #: Bytes of packed records for a byte of text.
 PACKED = 1.4
 SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7, 0xAAAAAAAB55555555 | 1)
