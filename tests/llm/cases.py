@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use inside.
-CLASHING = ["gone", "rejected", "doc", "tag", "spans", "ranked", "digest", "rep", "key", "node", "part", "fold", "row", "keep", "sig"]
+CLASHING = ["gone", "rejected", "doc", "tag", "spans", "ranked", "digest", "rep", "key", "node", "part", "fold", "row", "keep", "sig", "__ranked", "__digest", "digest_", "plain", "locator", "place", "copy", "group_size", "stays", "a`b", "a.b"]
 
 
 def words(seed: int, n: int) -> list[str]:

@@ -3,8 +3,8 @@
 The digests of all texts are streamed through keyed state on disk (RocksDB)
 that never expires: a running aggregate whose state is read when the stream has
 taken all rows. A key's state holds the digest, the id of the document
-that stays, a content locator and the number of rows. Every hit is then checked
-against the full text of the document that stays; rows that share a digest but
+that stays, a content locator (the file) and the number of rows. Every hit's full text is then read
+at its locator and checked against that of the document that stays; rows that share a digest but
 not the text are grouped by the text itself.
 
 Texts are equal when identical after lower-casing A-Z. The row with the largest
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.staging import scratch_path, settle
-from tradeloom.llm.text import lower_ascii, whole
+from tradeloom.llm.text import fresh, lower_ascii, quoted, whole
 
 NO_ID = -(2**63)
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -81,25 +81,26 @@ def decide(docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_p
         "digest", F.col("ranked").alias("keep"), F.col("row").alias("keep_row"),
         F.col("locator").alias("content_locator"), "group_size",
     )
-    found = seen.select("digest", "ranked", "row").join(one, "digest")
-    odd = _unequal(docs, found, digest)
-    # Rows that only share the digest form groups of their own by their text.
-    alike = odd.groupBy("digest", "plain").agg(
-        F.max(F.struct("ranked", "row")).alias("b"), F.count(F.lit(1)).alias("n")
+    found = seen.join(one, "digest").select(*one.columns, "ranked", "row", "locator")
+    hits = settle(_hits(docs, found, digest), "dedup-hits")
+    odd = _unequal(hits, one).withColumnRenamed("digest", "odd_digest")
+    apart = _by_text(hits.join(odd, F.col("digest") == F.col("odd_digest"), "left_semi"))
+    alone = found.join(odd, F.col("digest") == F.col("odd_digest"), "left_anti").select(
+        "ranked", "keep", "group_size", (F.col("keep_row") == F.col("row")).alias("kept"), "digest", "content_locator"
     )
-    apart = odd.join(alike, ["digest", "plain"]).select(
-        "row", F.col("b.ranked").alias("own_keep"), F.col("b.row").alias("own_row"), F.col("n").alias("own_size")
+    return alone.unionByName(apart).select(
+        _id(F.col("ranked")).alias("doc_id"), _id(F.col("keep")).alias("keep_id"), "group_size", "kept", "digest", "content_locator"
     )
-    fewer = odd.groupBy("digest").agg(F.count(F.lit(1)).alias("fewer"))
-    joined = found.join(apart, "row", "left").join(fewer, "digest", "left")
-    keep = F.coalesce("own_keep", "keep")
-    return joined.select(
-        _id(F.col("ranked")).alias("doc_id"),
-        _id(keep).alias("keep_id"),
-        F.coalesce("own_size", F.col("group_size") - F.coalesce("fewer", F.lit(0))).alias("group_size"),
-        (F.coalesce("own_row", "keep_row") == F.col("row")).alias("kept"),
-        "digest",
-        "content_locator",
+
+
+def _by_text(rows: DataFrame) -> DataFrame:
+    """Groups by the text itself, for rows that only share a digest."""
+    best = rows.groupBy("digest", "plain").agg(
+        F.max(F.struct("ranked", "row", "locator")).alias("b"), F.count(F.lit(1)).alias("group_size")
+    )
+    return rows.select("ranked", "row", "digest", "plain").join(best, ["digest", "plain"]).select(
+        "ranked", F.col("b.ranked").alias("keep"), "group_size", (F.col("b.row") == F.col("row")).alias("kept"), "digest",
+        F.col("b.locator").alias("content_locator"),
     )
 
 
@@ -107,42 +108,50 @@ def _id(ranked: Column) -> Column:
     return F.when(ranked != NO_ID, ranked)
 
 
-def _unequal(docs: DataFrame, found: DataFrame, digest: Callable) -> DataFrame:
-    """Rows whose full text differs from that of the row that stays under their digest.
+def _hits(docs: DataFrame, found: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
+    """Full texts of the rows whose digest was seen more than once, read at their locators.
+
+    Each (locator, id, digest) asks once, so that any number of equal rows, with or
+    without an id, are that many rows.
+    """
+    asked = found.filter("group_size > 1").select(
+        F.xxhash64("locator").alias("place"), "ranked", "digest", "group_size", (F.col("ranked") == F.col("keep")).alias("stays")
+    ).distinct()
+    body = whole(docs).select(
+        F.xxhash64(F.input_file_name()).alias("place"),
+        F.input_file_name().alias("locator"),
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("ranked"),
+        F.monotonically_increasing_id().alias("row"),
+        lower_ascii(F.col("text")).alias("plain"),
+    )
+    return body.withColumn("digest", digest(F.col("plain"))).join(asked, ["place", "ranked", "digest"]).drop("place")
+
+
+def _unequal(hits: DataFrame, groups: DataFrame) -> DataFrame:
+    """Digests under which a text differs from that of a row that stays.
 
     A group's kept text is copied once per ROWS_PER_COPY rows, so that a huge
     group is compared in many tasks.
     """
-    several = found.filter("group_size > 1")
     copies = F.ceil(F.col("group_size") / ROWS_PER_COPY).cast("int")
-    hits = several.select(
-        "digest", "ranked", "row", "keep_row", F.pmod(F.xxhash64("row"), copies).cast("int").alias("copy"), copies.alias("copies")
-    )
-    body = whole(docs).select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("ranked"), lower_ascii(F.col("text")).alias("plain")
-    )
-    # An id may repeat with another text, so the digest is made again and must agree.
-    member = body.join(hits, "ranked").filter(digest(F.col("plain")) == F.col("digest"))
-    member = settle(member.dropDuplicates(["row"]), "dedup-hits")
-    stays = member.filter("row = keep_row").select(
-        "digest", F.col("plain").alias("kept_plain"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
-    )
-    return settle(
-        member.join(stays, ["digest", "copy"]).filter("plain != kept_plain").select("digest", "ranked", "row", "plain"),
-        "dedup-unequal",
-    )
+    members = hits.select("digest", "plain", F.pmod("row", copies).cast("int").alias("copy"))
+    stays = hits.filter("stays").groupBy("digest").agg(F.max("plain").alias("kept_plain"), F.first("group_size").alias("group_size"))
+    stays = stays.select("digest", "kept_plain", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    unequal = members.join(stays, ["digest", "copy"]).filter("plain != kept_plain")
+    return settle(unequal.select("digest").distinct(), "dedup-unequal")
 
 
 def deduplicate(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
+    ranked, hashed = fresh(docs, "ranked"), fresh(docs, "digest")
     stay = decide(docs, **options).filter("kept").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("__ranked"), F.col("digest").alias("__digest")
+        F.coalesce("doc_id", F.lit(NO_ID)).alias(ranked), F.col("digest").alias(hashed)
     )
     digest = options.get("digest", sha256)
     marked = docs.select(
         "*",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("__ranked"),
-        digest(lower_ascii(F.coalesce("text", F.lit("")))).alias("__digest"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias(ranked),
+        digest(lower_ascii(F.coalesce("text", F.lit("")))).alias(hashed),
     )
-    both = marked.join(stay.distinct(), ["__ranked", "__digest"], "left_semi")
-    return both.dropDuplicates(["__ranked", "__digest"]).select(*[f"`{c}`" for c in docs.columns])
+    both = marked.join(stay.distinct(), [ranked, hashed], "left_semi")
+    return both.dropDuplicates([ranked, hashed]).select(*quoted(docs))
