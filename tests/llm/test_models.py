@@ -59,7 +59,7 @@ def test_expected_uses_sum_to_the_words(vocabulary):
     assert abs((uses[:, 0] * length).sum() - (3 * 4 + 2 * 3)) < 1e-6  # characters with the mark
 
 
-def test_pieces_and_words_of_every_length_are_used(vocabulary):
+def test_pieces_and_words_of_every_length_are_used(spark, vocabulary):
     assert max(map(len, vocabulary.pieces)) > 8
     piece = max((p for p in vocabulary.pieces if p[0] == "▁" and p[1:].isalpha()), key=len)
     uniform = np.full((len(vocabulary.pieces), 1), 1 / len(vocabulary.pieces))
@@ -68,10 +68,34 @@ def test_pieces_and_words_of_every_length_are_used(vocabulary):
     long = langid.expected(["the" * 200], np.array([[5.0]]), vocabulary, uniform)
     length = np.array([len(p) for p in vocabulary.pieces])
     assert (long[:, 0] * length).sum() == pytest.approx(5 * 601)
-    learned = langid.fit(["the" * 200], np.array([[50.0]]), vocabulary)
+    counted = spark.createDataFrame([("en", "the" * 200, 50)], "lang string, word string, n long")
+    learned = langid.fit(counted, ["en"], vocabulary)
     assert np.isfinite(learned).all() and learned.max() > 100 * learned.min()
 
 
+def test_uses_are_added_up_over_tasks(spark, vocabulary):
+    rng = np.random.default_rng(4)
+    prob = rng.random((len(vocabulary.pieces), 2))
+    prob /= prob.sum(0)
+    words = ["".join(rng.choice(list("theandofüß"), rng.integers(1, 9))) for _ in range(300)]
+    rows = [("de" if k % 3 else "en", w, k % 7 + 1) for k, w in enumerate(words)]
+    counted = spark.createDataFrame(rows, "lang string, word string, n long").repartition(5)
+    have = langid.uses(counted, ["de", "en"], vocabulary, prob)
+    for k, lang in enumerate(("de", "en")):
+        mine = [r for r in rows if r[0] == lang]
+        want = langid.expected([r[1] for r in mine], np.array([[float(r[2])] for r in mine]), vocabulary, prob[:, [k]])
+        assert np.allclose(have[:, k], want[:, 0])
+
+
+def test_a_rare_word_decides(spark):
+    """No number of other words keeps one out of the fit."""
+    common = [f"{a}{b}{c}" for a in "bcdfghjk" for b in "aeiou" for c in "lmnprst"]
+    rows = [(k, " ".join(common[k % 7 :: 7] * 3), lang) for k in range(60) for lang in ("xx" if k % 2 else "yy",)]
+    rows += [(1001, "quixotry " + " ".join(common), "xx"), (1003, " ".join(common), "yy"), (5000, "quixotry", None)]
+    found = {r.doc_id: r for r in langid.languages(cases.docs(spark, rows), PIECES).collect()}
+    assert remainder and not found[1001].held_out and found[5000].lang_pred == "xx"
+
+
 def test_languages_of_held_out_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     found = langid.languages(docs, PIECES)

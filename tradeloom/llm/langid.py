@@ -7,10 +7,12 @@ maximisation over word counts. All words of a part of a task are taken side by
 side: one step of the pass handles one end position of all of them.
 
 The fit uses at most ``bound_docs`` labelled documents per language, chosen by a hash
-of their id, and at most ``bound_words`` of their most frequent words; all up to those
-numbers, so every language with a labelled document outside the held-out fold is learned. Rows without id or language are not learned from. A text that is
-null, empty or without a letter is ``und`` with score 0, and so is every text if
-there is nothing to learn from. The score is the posterior of the predicted
+of their id, and all their words; all documents up to that number, so every language
+with a labelled document outside the held-out fold is learned. A round of the fit maps
+over the counted words and adds up the expected uses of each piece; only those sums
+(pieces x languages) come to the driver. Rows without id or language are not learned
+from. A text that is null, empty or without a letter is ``und`` with score 0, and so is
+every text if there is nothing to learn from. The score is the posterior of the predicted
 language under equal priors; of equal languages the first in order wins. Words
 are lower-cased and cut at white space. Rows are judged one by one; an empty table
 gives an empty result.
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.staging import settle
 from tradeloom.llm.ids import in_parts
-from tradeloom.llm.text import in_arrow, remainder
+from tradeloom.llm.text import in_arrow, kept_by_worker, remainder
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 SPREAD = np.uint64(0xD6E8FEB86659FD93)
@@ -46,6 +48,7 @@ class Vocabulary:
     """All pieces, found by a 64-bit hash of their characters."""
 
     def __init__(self, path: str):
+        self.path = path
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = {model.id_to_piece(k) for k in range(model.get_piece_size()) if not model.is_control(k) and not model.is_byte(k)}
         self.pieces = sorted(p for p in names if p)
@@ -94,6 +97,11 @@ def chunks(words: list[str]):
         begin = end
 
 
+def of_worker(path: str) -> Vocabulary:
+    """This worker's vocabulary: its tables are made where they are used and never sent."""
+    return kept_by_worker(f"pieces:{path}", lambda: Vocabulary(path))
+
+
 def prefix_hashes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Prefix hashes of the words, each with the mark of a word's begin, by position; lengths."""
     marked = ["▁" + w for w in words]
@@ -175,16 +183,38 @@ def expected(words: list[str], counts: np.ndarray, vocabulary: Vocabulary, prob:
     return total
 
 
-def fit(words: list[str], counts: np.ndarray, vocabulary: Vocabulary, rounds: int = 3) -> np.ndarray:
+def uses(counted: DataFrame, langs: list[str], vocabulary: Vocabulary, prob: np.ndarray) -> np.ndarray:
+    """``expected`` over the counted words (lang, word, n) of every language."""
+    path, number = vocabulary.path, {lang: k for k, lang in enumerate(langs)}
+
+    def rows(batches):
+        own = of_worker(path)
+        total = np.zeros_like(prob)
+        for batch in batches:
+            at = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
+            words, n = batch.column(1).to_pylist(), batch.column(2).to_numpy().astype(float)
+            for k in np.unique(at).tolist():
+                mine = np.flatnonzero(at == k)
+                total[:, k] += expected([words[m] for m in mine], n[mine, None], own, prob[:, [k]])[:, 0]
+        for piece, k in zip(*np.nonzero(total)):
+            yield int(piece), int(k), float(total[piece, k])
+
+    found = in_arrow(counted, rows, "piece int, lang int, uses double").groupBy("piece", "lang").agg(F.sum("uses").alias("uses")).toPandas()
+    out = np.zeros_like(prob)
+    out[found["piece"], found["lang"]] = found["uses"]
+    return out
+
+
+def fit(counted: DataFrame, langs: list[str], vocabulary: Vocabulary, rounds: int = 3) -> np.ndarray:
     """Piece probabilities by language (pieces x languages)."""
-    prob = np.full((len(vocabulary.pieces), counts.shape[1]), 1 / len(vocabulary.pieces))
+    prob = np.full((len(vocabulary.pieces), len(langs)), 1 / len(vocabulary.pieces))
     for _ in range(rounds):
-        got = expected(words, counts, vocabulary, prob) + 0.05
+        got = uses(counted, langs, vocabulary, prob) + 0.05
         prob = got / got.sum(0)
     return prob
 
 
-def learn(docs: DataFrame, vocabulary: Vocabulary, bound_docs: int = 4000, bound_words: int = 60_000):
+def learn(docs: DataFrame, vocabulary: Vocabulary, bound_docs: int = 4000):
     """Languages in order and piece probabilities, or None without a labelled row."""
     doc_id = F.col("doc_id").cast("long")
     known = docs.select(doc_id.alias("doc_id"), "lang").filter(
@@ -208,29 +238,23 @@ def learn(docs: DataFrame, vocabulary: Vocabulary, bound_docs: int = 4000, bound
             yield lang, word, n
 
     counted = in_arrow(chosen, rows, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    found = counted.withColumn("place", place).filter(F.col("place") <= bound_words).toPandas()
-    if found.empty:
-        return None
-    langs = sorted(found["lang"].unique())
-    fitted = []
-    for lang in langs:  # each language by its own words
-        own = found[found["lang"] == lang].sort_values("word")
-        fitted.append(fit(own["word"].tolist(), own[["n"]].to_numpy(float), vocabulary))
-    return langs, np.hstack(fitted)
-
-
-def languages(docs: DataFrame, vocabulary_path: str, bound_docs: int = 4000, bound_words: int = 60_000) -> DataFrame:
+    # Small rows, much work each: as many parts as the session shuffles into.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = settle(counted.repartition(parts, "word"), "words")
+    langs = sorted(r.lang for r in counted.select("lang").distinct().collect())
+    return (langs, fit(counted, langs, vocabulary)) if langs else None
+
+
+def languages(docs: DataFrame, vocabulary_path: str, bound_docs: int = 4000) -> DataFrame:
     """doc_id, held_out, lang_pred and score for every row of ``docs``."""
     vocabulary = Vocabulary(vocabulary_path)
-    model = learn(docs, vocabulary, bound_docs, bound_words)
+    model = learn(docs, vocabulary, bound_docs)
     doc_id = F.col("doc_id").cast("long")
     picked = docs.select(doc_id.alias("doc_id"), remainder(doc_id, 4).alias("fold"), F.coalesce("text", F.lit("")).alias("text"))
-    tables, pieces = (vocabulary.tables, vocabulary.powers), model and model[1].astype(np.float32)
+    pieces = model and model[1].astype(np.float32)
 
     def rows(batches):
-        own = Vocabulary.__new__(Vocabulary)
-        own.tables, own.powers = tables
+        own = of_worker(vocabulary_path)
         place: dict[str, int] = {}
         scores = np.zeros((0, len(model[0]) if model else 0), np.float32)
         for batch in batches:
