@@ -8,7 +8,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tradeloom.functions.money import exact_sum
-from tradeloom.functions.ordering import number_rows
+from tradeloom.functions.ordering import number_rows, slice_of
+from tradeloom.functions.staging import tracked
 from tradeloom.operators import exposure, star
 
 SCHEMA = (
@@ -118,3 +119,20 @@ def test_sketches_count_distinct_values(spark):
     many = star.distinct_sketches(facts, products, "trade_id")
     for row in star.distinct_of_period(many, 20260101, 20260115).collect():
         assert abs(row.distinct_values - exact[row.asset_class]) < 0.05 * exact[row.asset_class]
+
+
+def test_running_exposure_moves_whole_rows_once(spark):
+    df = spark.createDataFrame(_trades(), SCHEMA)
+    with tracked() as made:
+        out = exposure.running_exposure(df)
+    assert not [path for path in made if "slices" in path]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "rangepartitioning" not in plan
+
+
+def test_slices_follow_the_order_and_are_even(spark):
+    df = spark.range(4000).select((F.col("id") * 7919 % 4000).alias("n"), F.timestamp_seconds(F.col("id") * 7919 % 4000).alias("t"))
+    placed = df.select("n", slice_of(df, [F.col("t"), F.col("n")], 4000).alias("s")).orderBy("n").collect()
+    assert [r.s for r in placed] == sorted(r.s for r in placed)
+    sizes = [sum(r.s == s for r in placed) for s in {r.s for r in placed}]
+    assert len(sizes) == 32 and max(sizes) < 400

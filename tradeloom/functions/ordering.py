@@ -2,12 +2,15 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.relations import same_keys
 from tradeloom.functions.staging import settle
 
+#: Slices for each shuffle partition, and rows that are looked at to place a slice's bound.
+SLICES, SAMPLED = 4, 50
+
 
 def exclusive_prefix(
     totals: DataFrame, group: Sequence[str], levels: Sequence[str], measures: Sequence[str]
@@ -61,6 +64,36 @@ def in_slices(df: DataFrame, order: Sequence[str]) -> DataFrame:
     )
 
 
+def slice_of(df: DataFrame, order: Sequence[Column], rows: int) -> Column:
+    """The number of the row's slice in the given order (nulls first), as an expression over ``df``.
+
+    Bounds come from a small sample, like those of a range shuffle; they only decide how even
+    the slices are. Rows of equal order lie in one slice. ``rows`` is the size of ``df``.
+    """
+    spark = df.sparkSession
+    slices = SLICES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(order)])
+    few = df if rows <= SAMPLED * slices else df.sample(SAMPLED * slices / rows, 7)
+    few = few.select(key.alias("key"))
+    place = F.ntile(slices).over(Window.orderBy("key"))  # over the sample only
+    bounds = few.withColumn("n", place).groupBy("n").agg(F.min("key").alias("key"))
+    found = bounds.agg(F.to_json(F.collect_set("key")).alias("all")).first()["all"]
+    # a time shortened by the text is a bound as well, if they are sorted again
+    kind = F.lit(few.schema["key"].dataType.simpleString())
+    bounds = F.sort_array(F.from_json(F.lit(found), F.concat(F.lit("array<"), kind, F.lit(">"))))
+    size = slices.bit_length()
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(size))])
+
+    def search(at: Column) -> Column:
+        def step(place: Column, width: Column) -> Column:
+            return F.when(F.get(bounds, place + width - 1) <= at, place + width).otherwise(place)
+
+        return F.aggregate(steps, F.lit(0), step)
+
+    # the key is made once a row, not at each step
+    return F.get(F.transform(F.array(key), search), F.lit(0))
+
+
 def number_rows(
     df: DataFrame, order: Sequence[str], key: str, start: int = 0
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.money import exact_sum, micros, overflow, to_amount
-from tradeloom.functions.ordering import exclusive_prefix, in_slices
+from tradeloom.functions.ordering import exclusive_prefix, slice_of
 from tradeloom.functions.relations import attach
 from tradeloom.functions.staging import at_once, settle
 
@@ -65,7 +65,7 @@ def exposure_rollup(df: DataFrame, summary: Summary | None = None) -> DataFrame:
     if "asset_class" in df.columns:
         totals["asset_class"] = [_total("usd").alias("asset_class_exposure_usd")]
     out, *written = at_once(
-        lambda: running_exposure(df),
+        lambda: running_exposure(df, summary=summary),
         *[lambda k=k: settle(summary.groups.groupBy(k).agg(*totals[k]), k) for k in totals],
     )
     for key, table in zip(totals, written):
@@ -73,18 +73,24 @@ def exposure_rollup(df: DataFrame, summary: Summary | None = None) -> DataFrame:
     return out
 
 
-def running_exposure(df: DataFrame, tie_break: Sequence[str] = ("trade_id",)) -> DataFrame:
+def running_exposure(
+    df: DataFrame, tie_break: Sequence[str] = ("trade_id",), summary: Summary | None = None
+) -> DataFrame:
     """Add ``running_notional_usd``: the counterparty's total up to this row.
 
     Rows are ordered by trade date, then by the MD5 of the tie-break columns,
-    then by those columns. They are range-partitioned in that order; a window adds
-    up the rows of one counterparty inside one slice, and the total of its earlier
+    then by those columns. The order is cut into slices of about equal size; a window
+    adds up the rows of one counterparty inside one slice, and the total of its earlier
     slices (one row per counterparty and slice) is added to it. A counterparty
-    with any number of rows, on one date or many, is cut by the slices.
+    with any number of rows, on one date or many, is cut by the slices. Whole rows are
+    shuffled once; the totals read the ordering columns and the amount only.
     """
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in tie_break]
-    spread = df.withColumn("_spread", F.md5(F.concat_ws("|", *texts)))
-    rows = in_slices(spread, ["counterparty_id", "trade_date", "_spread", *tie_break])
+    spread = F.md5(F.concat_ws("|", *texts))
+    order = ["trade_date", "_spread", *tie_break]
+    trades = (summary or exposure_summary(df)).groups.agg(F.sum("trades")).first()[0] or 0
+    slice_ = slice_of(df, [F.col("counterparty_id"), F.col("trade_date"), spread], trades)
+    rows = df.withColumn("_slice", slice_)
     cell = ["counterparty_id", "_slice"]
     measures = ["usd_micros", "usd_overflow", "amounts"]
     sums = _sums(rows, cell, {"usd": F.col("notional_usd")})
@@ -93,17 +99,20 @@ def running_exposure(df: DataFrame, tie_break: Sequence[str] = ("trade_id",)) ->
     )
     window = (
         Window.partitionBy(*cell)
-        .orderBy("_place")
+        .orderBy(*[F.col(c).asc_nulls_first() for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     amount = F.col("notional_usd")
-    summed = attach(rows, settle(before, "before"), cell).withColumns(
+    # the MD5 is made after the shuffle
+    placed = rows.repartition(*cell).withColumn("_spread", spread)
+    inside = placed.withColumns(
         {
             "_micros": F.sum(micros(amount)).over(window),
             "_overflow": F.sum(overflow(amount)).over(window),
             "_amounts": F.count(amount).over(window),
         }
     )
+    summed = attach(inside, settle(before, "before"), cell)
     running = to_amount(
         F.col("_before_usd_micros") + F.coalesce("_micros", F.lit(0)),
         F.col("_before_usd_overflow") + F.coalesce("_overflow", F.lit(0.0)),
