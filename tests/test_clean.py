@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from conftest import rows
 
+from tradeloom.functions.staging import settle, tracked
 from tradeloom.operators import clean
 
 
@@ -79,3 +80,17 @@ def test_dedup_split_changes_no_value(spark):
     assert (kept.count(), rest.count()) == (2, 18)
     assert {str(r.v) for r in rest.select("v").collect()} == {"-0.0"}
     assert rest.select(F.map_values("m").alias("m"), F.to_json("j").alias("j")).distinct().count() == 18
+
+
+@pytest.mark.parametrize("hot_rows", [0, 100_000])
+def test_dedup_settled_moves_rows_once_but_for_hot_keys(spark, monkeypatch, hot_rows):
+    monkeypatch.setattr(clean, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(clean, "KEY_BUCKETS", 64)
+    data = [("HOT", i % 7, "x") for i in range(900)] + [(None, 1, "n"), (None, 2, "m")] + [(f"T{i % 90}", i, "y") for i in range(100)]
+    df = settle(spark.createDataFrame(data, "trade_id string, trade_date int, note string").repartition(6))
+    with tracked() as made:
+        kept, rest, left, repeats = clean.dedup_settled(df)
+    assert rows(kept) == rows(clean.dedup(df)) and (left, repeats) == (92, 1002 - 92)
+    assert Counter(rows(kept)) + Counter(rows(rest)) == Counter(rows(df))
+    written = sorted(path.rsplit("/", 1)[1].split("-")[0] for path in made)
+    assert written == (["deduplicated"] if hot_rows else ["deduplicated", "hot", "won"])

@@ -707,9 +707,9 @@ def dlq_route_keys(spark, folder):
 @query
 def stage_counts(spark, folder):
     """Records in, out and dead per trade month and stage."""
-    raw = raw_trades(spark, folder)
+    raw = settle(raw_trades(spark, folder), "raw")
     typed, failed = pipeline.typed_stage(raw)
-    cleaned, duplicates = clean.dedup_split(typed, **pipeline.dedup_options(CONFIG))
+    cleaned, duplicates, *_ = clean.dedup_settled(typed, **pipeline.dedup_options(CONFIG))
     valid, rejects = star.split_by_constraints(cleaned)
     raw, failed, cleaned, duplicates, rejects = (
         _with_batch(df).select("batch_id") for df in (raw, failed, cleaned, duplicates, rejects)
