@@ -1,4 +1,5 @@
 import json
+from datetime import datetime
 
 import pytest
 from conftest import rows
@@ -191,3 +192,13 @@ def test_emitted_edges(spark):
     edges = emitted_edges(counts, F.lit(1))
     assert edges.count() == 30
     assert edges.where("transform = 'null_fill'").first().target == "clean.notional"
+
+
+def test_states_are_shuffled_once_by_a_fold(spark, tmp_path):
+    store = lineage.GraphStore(spark, str(tmp_path / "graph"))
+    columns = "bucket int, source string, target string, ts timestamp, transform string, stage string, batch_id string, metadata string"
+    old, new = (spark.createDataFrame([(1, "a", "b", datetime(2026, 1, day), name, "s", "b", "{}")], columns) for day, name in ((1, "x"), (2, "y")))
+    for rows_, before in ((new, None), (new, old), (old, new)):
+        out = store._updated(rows_, before)
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert [r.transform for r in out.collect()] == ["y"]

@@ -243,14 +243,18 @@ class GraphStore:
         while exists(self.spark, f"{self.root}/attempts/fold={number}"):  # one that never became visible
             number += 1
         self.spark.range(1).write.parquet(f"{self.root}/attempts/fold={number}")
-        both = new.select("bucket", *self.STATE)
-        both = both if old is None else both.unionByName(old)
-        rows = self._merged(both, "bucket").withColumn("fold", F.lit(number)).repartition("bucket")
+        rows = self._updated(new.select("bucket", *self.STATE), old).withColumn("fold", F.lit(number))
         rows.write.mode("append").partitionBy("bucket", "fold").parquet(f"{self.root}/states")
         done = self.spark.createDataFrame([(number, b) for b in touched], "fold int, bucket int")
         done.coalesce(1).write.mode("append").parquet(f"{self.root}/folds")
         return sorted(touched)
 
+    def _updated(self, new: DataFrame, old: DataFrame | None) -> DataFrame:
+        """The states of buckets after a batch, shuffled once: merged where they are written."""
+        if old is None:
+            return new.repartition("bucket")
+        return self._merged(new.unionByName(old).repartition("bucket"), "bucket")
+
     def _merged(self, states: DataFrame, *by: str) -> DataFrame:
         last = F.max(F.struct("ts", *EDGE_ATTRIBUTES)).alias("_last")
         return states.groupBy(*by, "source", "target").agg(last).select(
