@@ -352,3 +352,12 @@ def test_stage_counts_accumulate_dead(spark):
         ("clean", 1, 0, 1, 1), ("load", 1, 1, 1, 2),
     ]
     assert clean.missing_columns(one, ["batch_id"]) == []
+
+
+def test_rows_spread_for_a_load_are_shuffled_once(spark, tables):
+    store = FactStore(spark, tables, 3)
+    df = spark.range(300).select(F.concat(F.lit("T"), "id").alias("trade_id"), "id")
+    keys = df.select("trade_id", (F.col("id") + 1).alias("trade_key"))
+    out = store.spread(store.spread(df).join(keys.hint("shuffle_merge"), "trade_id").withColumn("load", F.lit(1)))
+    assert plan_of(out).count("Exchange hashpartitioning") == 2  # the rows and the keys
+    assert out.rdd.getNumPartitions() == 9 and out.count() == 300
