@@ -1,6 +1,7 @@
 """Language identification, repetition rules, language-model scores and the quality classifier."""
 
 import math
+import zlib
 
 import cases
 import numpy as np
@@ -10,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tradeloom.functions.staging import settle
 from tradeloom.llm import langid, lm, quality, repetition
 from tradeloom.llm.text import remainder
 
@@ -233,6 +235,30 @@ def test_scores_with_all_words(spark, monkeypatch):
             assert h[2] == pytest.approx(w[2], abs=1e-6) and h[3] == pytest.approx(w[3], abs=1e-6)
 
 
+def test_questions_and_answers_are_short_and_exact():
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 2**64, 100_000, np.uint64, endpoint=False))
+    order, ends, rests = lm.places(keys, 64)
+    parts = [rests[a:b] for a, b in zip(ends, ends[1:])]
+    packed = [lm.rising(r) for r in parts]
+    assert sorted(order) == list(range(len(keys))) and len(set(zip(np.repeat(range(64), np.diff(ends)), rests))) == len(keys)
+    assert all((lm.risen(p) == r).all() for p, r in zip(packed, parts))
+    assert sum(len(zlib.compress(p, 1)) for p in packed) < 6.5 * len(keys)
+    for most in (0, 1, 255, 256, 2**16, 2**33):
+        values = np.append(rng.integers(0, 3, 10_000), most)
+        assert (lm.wide(lm.narrow(values)) == values).all()
+        assert len(zlib.compress(lm.narrow(values), 1)) < 5_000
+    assert len(lm.wide(lm.narrow(values[:0]))) == len(lm.risen(lm.rising(keys[:0]))) == 0
+
+
+def test_scoring_drops_its_shuffles(spark, monkeypatch):
+    name, seen = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(name)
+    monkeypatch.setattr(lm, "settle", lambda df, table: seen.append((table, spark.conf.get(name))) or settle(df, table))
+    lm.cross_entropy_difference(cases.docs(spark, [(1, "a b")]), spark.createDataFrame([(1,)], "doc_id long"))
+    assert seen == [("chunks", "true"), ("counts", "true")] and spark.conf.get(name) == before
+
+
 def plain_marginals(score, switch):
     """P(good) of each line by listing all labellings."""
     n = len(score)

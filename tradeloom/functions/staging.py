@@ -83,6 +83,21 @@ def free(spark: SparkSession, paths: Sequence[str]) -> None:
     spark._jvm.System.gc()
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs run meanwhile are deleted as each job ends.
+
+    For jobs whose results are written; the setting is the session's, so not for jobs run side by side.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settle(df: DataFrame, name: str = "settled", partition: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once and continue from the written table."""
     spark = df.sparkSession

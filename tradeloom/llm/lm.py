@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.staging import settle
+from tradeloom.functions.staging import settle, shuffles_dropped
 from tradeloom.llm.ids import in_parts
 from tradeloom.llm.text import in_arrow
 
@@ -89,13 +89,32 @@ def frequent_words(docs: DataFrame, size: int) -> list[str]:
 
 
 def narrow(values: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest needs, after a byte that tells how many."""
+    """Whole numbers in as few bytes each as the largest needs, after a byte that tells how many.
+
+    The first bytes of all numbers come first, then all second ones: high bytes are mostly
+    zeros, which compress to nothing when they lie together.
+    """
     kind = np.min_scalar_type(int(values.max(initial=0)))
-    return bytes([kind.itemsize]) + values.astype(kind.newbyteorder("<")).tobytes()
+    size = kind.itemsize
+    return bytes([size]) + values.astype(kind.newbyteorder("<")).view(np.uint8).reshape(-1, size).T.tobytes()
+
+
+def _joined(data: bytes) -> np.ndarray:
+    size = data[0]
+    return np.frombuffer(data, np.uint8, offset=1).reshape(size, -1).T.copy().view(f"<u{size}").ravel()
 
 
 def wide(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+    return _joined(data).astype(np.int64)
+
+
+def rising(keys: np.ndarray) -> bytes:
+    """Rising keys as the steps between them, which are shorter than the keys."""
+    return narrow(np.diff(keys, prepend=np.uint64(0)))
+
+
+def risen(data: bytes) -> np.ndarray:
+    return np.cumsum(_joined(data), dtype=np.uint64)
 
 
 def chunks(docs: DataFrame, vocabulary: list[str] | None) -> DataFrame:
@@ -173,10 +192,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def places(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of keys by bucket, and where each bucket begins and ends in it."""
-    bucket = (_mix(keys) % np.uint64(buckets)).astype(np.int64)
-    return np.argsort(bucket, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=buckets))))
+def places(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of keys by bucket, where each bucket begins and ends in it, and the ordered keys' rests.
+
+    A key is known by its bucket and its rest; rests rise inside a bucket.
+    """
+    mixed = _mix(keys)
+    order = np.argsort(mixed)
+    bucket = (mixed[order] % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
+    order, sizes = order[np.argsort(bucket, kind="stable")], np.bincount(bucket, minlength=buckets)
+    return order, np.concatenate(([0], np.cumsum(sizes))), mixed[order] // np.uint64(buckets)
 
 
 def questions(written: DataFrame, buckets: int) -> DataFrame:
@@ -187,10 +212,10 @@ def questions(written: DataFrame, buckets: int) -> DataFrame:
             for chunk, *body in zip(*[c.to_pylist() for c in batch.columns]):
                 own = Chunk(*body)
                 for pairs, keys, counts in zip((False, True), (own.words, own.pairs), own.counts()):
-                    order, ends = places(keys, buckets)
+                    order, ends, rests = places(keys, buckets)
                     for k in np.flatnonzero(np.diff(ends)).tolist():
                         some = order[ends[k] : ends[k + 1]]
-                        yield k, chunk, pairs, keys[some].tobytes(), [narrow(c[some]) for c in counts]
+                        yield k, chunk, pairs, rising(rests[ends[k] : ends[k + 1]]), [narrow(c[some]) for c in counts]
 
     return in_arrow(written.select("chunk", *BODY), rows, "bucket int, chunk long, pairs boolean, keys binary, counts array<binary>", flush=500)
 
@@ -199,7 +224,7 @@ def answers(key, frame: pd.DataFrame) -> pd.DataFrame:
     """The sums over all chunks, for each question of a bucket in its own order."""
     out = []
     for pairs, some in frame.groupby("pairs"):
-        asked = [np.frombuffer(k, "<u8") for k in some["keys"]]
+        asked = [risen(k) for k in some["keys"]]
         different, at = np.unique(np.concatenate(asked), return_inverse=True)
         sums = []
         for k in range(2 if pairs else 4):
@@ -229,12 +254,15 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, size: int | Non
     marked = marked.select(
         F.col("__doc").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.col("__wanted").isNotNull().alias("target")
     )
-    written = settle(chunks(marked, vocabulary), "chunks")
+    spark = docs.sparkSession
+    with shuffles_dropped(spark):
+        written = settle(chunks(marked, vocabulary), "chunks")
     total = written.agg(F.sum("n_tokens").alias("n"), F.sum("n_target").alias("t")).first()
     n_all, n_target = total.n or 0, total.t or 0
-    buckets = max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_all // BUCKET))
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_all // BUCKET))
     schema = "bucket int, chunk long, pairs boolean, n_words long, counts array<binary>"
-    answered = settle(questions(written, buckets).groupBy("bucket").applyInPandas(answers, schema), "counts")
+    with shuffles_dropped(spark):
+        answered = settle(questions(written, buckets).groupBy("bucket").applyInPandas(answers, schema), "counts")
     n_words = len(vocabulary) if vocabulary is not None else answered.agg(F.sum("n_words")).first()[0] or 0
     cells, share = 1 + len(SHAPES) + n_words, n_target / max(1, n_all)
 
@@ -243,7 +271,7 @@ def cross_entropy_difference(docs: DataFrame, target: DataFrame, size: int | Non
         own = Chunk(*[body[c] for c in BODY])
         single, pair = [np.zeros(len(own.words)) for _ in range(4)], [np.zeros(len(own.pairs)) for _ in range(2)]
         for pairs, keys, into in ((False, own.words, single), (True, own.pairs, pair)):
-            order, ends = places(keys, buckets)
+            order, ends, _ = places(keys, buckets)
             for bucket, counts in replies.loc[replies["pairs"] == pairs, ["bucket", "counts"]].itertuples(index=False):
                 for k, c in enumerate(counts):
                     into[k][order[ends[bucket] : ends[bucket + 1]]] = wide(c)
