@@ -95,6 +95,22 @@ def test_rows_of_one_id_are_spread_over_tasks(spark, tmp_path):
     assert sum(sizes) == 3000 and max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
 
 
+def test_parts_join_to_the_text_and_end_before_spaces():
+    for text in ("", " ", "  a", "a b", "a  b", " a b ", "a\n b c", "a\u3000 b", "one two three", "x \t y"):
+        parts = bpe.parts_of(text)
+        assert "".join(parts) == text
+        assert all(p[0] == " " and not q[-1:].isspace() for q, p in zip(parts, parts[1:]))
+
+
+def test_pieces_of_like_lengths_share_a_query():
+    pieces = [bytes([k % 251]) * n for k in range(251) for n in (2, 5, 40, 500)] + [b"%d" % k for k in range(10_000)]
+    batches = list(bpe.batches_of(pieces))
+    assert sorted(p for b in batches for p in b) == sorted(pieces) and list(bpe.batches_of([])) == []
+    assert all(len(b) <= bpe.PIECES and sum(len(p) * (len(p) + 1) // 2 for p in b) <= bpe.ROWS for b in batches)
+    # queries with long pieces, which take hundreds of turns, are few
+    assert max(map(len, batches[0])) <= 5 and sum(max(map(len, b)) == 500 for b in batches) <= 8
+
+
 def test_bpe_of_odd_rows(spark, plain):
     rows = cases.odd_rows()
     found = bpe.round_trip(cases.docs(spark, rows), MULTI, public_tokenizers.PATTERN)

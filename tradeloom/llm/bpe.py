@@ -20,6 +20,8 @@ empty table gives an empty result.
 import base64
 import hashlib
 import heapq
+import re
+from collections.abc import Iterator
 
 import duckdb
 import numpy as np
@@ -32,7 +34,13 @@ from tradeloom.llm.ids import CUT, in_parts
 from tradeloom.llm.text import in_arrow, kept_by_worker, whole
 
 REMEMBERED, LONG = 300_000, 512
+#: Without such a pair every space but a leading one follows a non-space character.
+LOOSE = re.compile(r"\s ")
 PIECES, TOKENS = 10_000, 200_000
+#: Rows that a query's recursion makes at most, a row for each token and turn.
+ROWS = 5_000_000
+#: Characters of the texts whose new pieces are contracted together: every query costs its turns once.
+TOGETHER = 8_000_000
 
 CONTRACT = """
 WITH RECURSIVE bpe(word, place, token, turn) AS (
@@ -59,6 +67,26 @@ FROM tokens JOIN vocabulary USING (token) GROUP BY part ORDER BY part
 """
 
 
+def parts_of(text: str) -> list[str]:
+    """The text cut before every space that follows a non-space character; a leading space may be cut off as well."""
+    first, *rest = CUT.split(text) if LOOSE.search(text) else text.split(" ")
+    return [first, *[" " + p for p in rest]]
+
+
+def batches_of(pieces: list[bytes]) -> Iterator[list[bytes]]:
+    """Pieces for one query each, of like lengths: a query takes as many turns as its longest piece needs."""
+    held, rows = [], 0
+    for piece in sorted(pieces, key=len):
+        made = len(piece) * (len(piece) + 1) // 2
+        if held and (len(held) == PIECES or rows + made > ROWS):
+            yield held
+            held, rows = [], 0
+        held.append(piece)
+        rows += made
+    if held:
+        yield held
+
+
 class Coder:
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as lines:
@@ -96,8 +124,7 @@ class Coder:
                 self.pieces[piece] = np.array(heap_merge(piece, self.ranks), "<u4").tobytes()
             else:
                 todo.append(piece)
-        for begin in range(0, len(todo), PIECES):
-            part = todo[begin : begin + PIECES]
+        for part in batches_of(todo):
             sizes = np.array([len(p) for p in part])
             ends = np.cumsum(sizes)
             start = pa.table({
@@ -116,11 +143,8 @@ class Coder:
             self.parts.clear()
         if len(self.pieces) > REMEMBERED:
             self.pieces.clear()
-        cut = []
-        for text in texts:
-            first, *rest = CUT.split(text)
-            cut.append([first, *[" " + p for p in rest]])
-        new = list({p for parts in cut for p in parts if p not in self.parts})
+        cut = [parts_of(text) for text in texts]
+        new = list(set().union(*cut).difference(self.parts))
         split = [[m.encode() for m in self.pattern.findall(p)] for p in new]
         self.contract(list({m for matches in split for m in matches if m not in self.pieces}))
         for part, matches in zip(new, split):
@@ -188,7 +212,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     def rows(batches):
         tool = coder(vocabulary, pattern)
         for batch in batches:
-            for names, bodies in in_parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for names, bodies in in_parts(batch.column(0).to_pylist(), batch.column(1).to_pylist(), TOGETHER):
                 for name, ids in zip(names, tool.encode(bodies)):
                     yield name, np.frombuffer(ids, "<u4").astype(np.int32)
 
@@ -214,7 +238,7 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     def rows(batches):
         tool = coder(vocabulary, pattern)
         for batch in batches:
-            for names, bodies in in_parts(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for names, bodies in in_parts(batch.column(0).to_pylist(), batch.column(1).to_pylist(), TOGETHER):
                 encoded = tool.encode(bodies)
                 for name, ids, stretches in zip(names, encoded, tool.decode(encoded)):
                     back = hashlib.sha256()
