@@ -111,6 +111,19 @@ def test_pieces_of_like_lengths_share_a_query():
     assert max(map(len, batches[0])) <= 5 and sum(max(map(len, b)) == 500 for b in batches) <= 8
 
 
+def test_pieces_stay_known_after_parts_are_forgotten():
+    tool = bpe.Coder(MULTI, public_tokenizers.PATTERN)
+    text = "Anansha ouémenque; nachtigallenhaft"
+    want = tool.encode([text])
+    known = dict(tool.pieces)
+    tool.pieces.update((b"%d!" % k, b"") for k in range(400_000))
+    tool.parts.update((f"{k}!", b"") for k in range(400_000))
+    made = []
+    tool._query = lambda *given: made.append(given)
+    assert tool.encode([text]) == want and not made
+    assert len(tool.parts) < 10 and all(tool.pieces[p] == ids for p, ids in known.items())
+
+
 def test_bpe_of_odd_rows(spark, plain):
     rows = cases.odd_rows()
     found = bpe.round_trip(cases.docs(spark, rows), MULTI, public_tokenizers.PATTERN)

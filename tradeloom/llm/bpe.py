@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from tradeloom.llm.ids import CUT, in_parts
 from tradeloom.llm.text import in_arrow, kept_by_worker, whole
 
-REMEMBERED, LONG = 300_000, 512
+#: Parts and pieces that a worker remembers; a piece costs far more to make than a part, and comes back more often.
+PARTS, KNOWN, LONG = 300_000, 1_000_000, 512
 #: Without such a pair every space but a leading one follows a non-space character.
 LOOSE = re.compile(r"\s ")
 PIECES, TOKENS = 10_000, 200_000
@@ -119,7 +120,7 @@ class Coder:
         todo = []
         for piece in pieces:
             if piece in self.ranks:
-                self.pieces[piece] = np.array([self.ranks[piece]], "<u4").tobytes()
+                self.pieces[piece] = self.ranks[piece].to_bytes(4, "little")
             elif len(piece) > LONG:
                 self.pieces[piece] = np.array(heap_merge(piece, self.ranks), "<u4").tobytes()
             else:
@@ -139,9 +140,9 @@ class Coder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.parts) > REMEMBERED:
+        if len(self.parts) > PARTS:
             self.parts.clear()
-        if len(self.pieces) > REMEMBERED:
+        if len(self.pieces) > KNOWN:
             self.pieces.clear()
         cut = [parts_of(text) for text in texts]
         new = list(set().union(*cut).difference(self.parts))
