@@ -1,7 +1,7 @@
 """The corpus pipeline: from raw documents to packed sequences.
 
 Each stage's result is written before the next one begins; what a stage settled on its
-way is deleted then.
+way is deleted then. Stages set the session's bytes of an Arrow batch to BATCH.
 """
 
 from collections.abc import Callable
@@ -15,6 +15,8 @@ from tradeloom.llm import exact, minhash, packing, quality, suffix
 from tradeloom.llm.text import table
 
 
+#: Texts that travel to a Python worker at once: the executor and the worker each hold them, in buffers that double.
+BATCH = "4m"
 #: Scratch tables of the stage that ran last, by application.
 _settled: dict[str, list[str]] = {}
 
@@ -26,6 +28,8 @@ def stage(function: Callable) -> Callable:
     def run_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
         application = spark.sparkContext.applicationId
         free(spark, _settled.pop(application, []))
+        # for the jobs that the caller runs over the result as well
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
         with tracked() as made:
             out = function(spark, docs, folder)
         _settled[application] = made

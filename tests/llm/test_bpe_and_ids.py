@@ -81,6 +81,11 @@ def test_any_text_has_the_librarys_ids(cached, library, text):
     assert np.frombuffer(cached.encode([text])[0], "<u4").tolist() == library(text)
 
 
+def test_the_library_is_loaded_only_when_it_is_asked():
+    alone = Encoder(JSON)
+    assert alone.encode(["Some text"])[0] and "library" not in vars(alone)
+
+
 def test_other_files_go_to_the_library():
     other = Encoder(public_tokenizers.path("word_bpe_49k.json"))
     texts = ["Some text,  twice", "", "日本"]

@@ -1,8 +1,13 @@
 """The registered queries: SQL on the given tables, and the pipeline against plain stages."""
 
+import subprocess
+import sys
+
 import cases
 import compare
+import pyarrow as pa
 import pytest
+from conftest import ROOT
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -61,3 +66,45 @@ def test_pipeline_runs_on_odd_rows(spark, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
     assert quality and suffix
+
+
+def test_stages_send_texts_in_small_batches(spark):
+    """32 MB of texts of one task reach its Python worker in batches of a few MB, also after the stage returned."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+
+    @corpus_pipeline.stage
+    def measured(spark, docs, folder):
+        return docs.mapInArrow(sizes, "size long")
+
+    try:
+        docs = spark.range(64, numPartitions=1).select(F.repeat(F.lit("x"), F.lit(500_000)).alias("text"))
+        found = [r.size for r in measured(spark, docs, "").collect()]
+    finally:
+        spark.conf.set(setting, before)
+    assert sum(found) >= 32_000_000 and max(found) < 8_000_000
+
+
+def test_workers_give_freed_memory_back():
+    """What a task freed does not stay with its worker, whose arenas keep it otherwise."""
+    code = """
+import re
+from tradeloom.llm.text import lean
+def held():
+    return sum(map(int, re.findall(r"Private_Dirty:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+def work():
+    many = [bytes(2000) for _ in range(100_000)]
+    work.kept = many[::50]
+    work.kept.append(many[-1])
+    del many
+lean(len, "")
+first = held()
+lean(work)
+assert held() - first < 60, (first, held())
+"""
+    run = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True)
+    assert run.returncode == 0, run.stderr

@@ -10,6 +10,7 @@ text.
 import json
 import os
 import re
+from functools import cached_property
 
 import numpy as np
 import tiktoken
@@ -51,11 +52,17 @@ def ranks_of(file: dict) -> dict[bytes, int] | None:
 
 class Encoder:
     def __init__(self, path: str):
+        self.path = path
         with open(path) as file:
             ranks = ranks_of(json.load(file))
         self.fast = ranks and tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        """The tokenizers library's own encoder, loaded when it is first asked."""
+        tool = Tokenizer.from_file(self.path)
+        tool.encode_special_tokens = True
+        return tool
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""

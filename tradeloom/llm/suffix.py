@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.staging import settle
-from tradeloom.llm.text import fresh, in_arrow, quoted, texts
+from tradeloom.llm.text import fresh, in_arrow, lean, quoted, texts
 
 NO_ID = -(2**63)
 WINDOW, ANCHOR = 50, 20
@@ -458,9 +458,9 @@ def repeated_spans(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     ``docs`` has doc, tag and text, as ``identified`` gives them. There is one row for each id and text.
     """
     n = buckets or bucket_count(docs)
-    of_runs = anchor_runs(docs, n).groupBy("bucket").applyInPandas(lambda key, frame: match_runs(int(key[0]), frame, n), HOMED)
+    of_runs = anchor_runs(docs, n).groupBy("bucket").applyInPandas(lambda key, frame: lean(match_runs, int(key[0]), frame, n), HOMED)
     first = settle(merged(of_runs), "runs")
-    of_contents = contexts(docs, first).groupBy("bucket").applyInPandas(lambda key, frame: match_contents(frame, n), HOMED)
+    of_contents = contexts(docs, first).groupBy("bucket").applyInPandas(lambda key, frame: lean(match_contents, frame, n), HOMED)
     second = settle(merged(of_contents), "windows")
     both = first.union(second).filter("spans is not null")
     return both.groupBy("doc", "tag").agg(F.collect_list("spans").alias("spans"))
