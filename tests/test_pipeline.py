@@ -361,3 +361,44 @@ def test_rows_spread_for_a_load_are_shuffled_once(spark, tables):
     out = store.spread(store.spread(df).join(keys.hint("shuffle_merge"), "trade_id").withColumn("load", F.lit(1)))
     assert plan_of(out).count("Exchange hashpartitioning") == 2  # the rows and the keys
     assert out.rdd.getNumPartitions() == 9 and out.count() == 300
+
+
+def test_enrichment_is_shuffled_as_cleaned(spark):
+    raw = feed(spark, *[trade(f"T{i}", str(i), "SELL" if i % 3 else "BUY", party=f"CP00{i % 4}") for i in range(40)], trade(None))
+    cleaned = settle(pipeline.clean_stage(raw))
+    config = {"fx_convert": {"rates_override": {"EUR": 2.0}}}
+    out = pipeline.enrich_stage(cleaned, config)
+    whole = pipeline.exposure.exposures(pipeline.attribute_stage(cleaned, config))
+    assert out.columns == whole.columns and rows(out) == rows(whole)
+    shuffled = out._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1].split("\n")[1]
+    assert "exchange" in shuffled and "lei_code" not in shuffled and "fx_rate_to_usd" not in shuffled
+
+
+def test_whole_rows_are_not_sorted_by_their_folders(spark, tables):
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    pipeline.run_pipeline(feed(spark, trade("T1"), trade("T1", "abc"), trade("T2", direction="x")), tables.root, "b_1", "p")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    plans = store.executionsList()
+    plans = [plans.apply(i).physicalPlanDescription() for i in range(before, plans.size())]
+    sorts = [part for plan in plans for part in plan.split("\n\n") if "Sort" in part.split("\n")[0] and "Arguments: [" in part]
+    by = [part.split("Arguments: [")[1].split("#")[0] for part in sorts]
+    assert "trade_id" in by and not {"_dlq_batch_id", "_dlq_stage", "_won", "stage"} & set(by)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_facts_are_spread_with_keys_for_names(spark):
+    enriched = pipeline.enrich_stage(settle(pipeline.clean_stage(feed(spark, trade("T1"), trade("T2", product="P2")))))
+    seen = []
+    products, parties = settle(star.dim_product(enriched)), settle(star.dim_counterparty(enriched))
+    facts = star.fact_trades(
+        enriched, star.trade_keys(enriched), products, parties, "b", "p", lambda df: seen.append(df.columns) or df
+    )
+    assert rows(facts, "trade_id", "trade_key", "product_key") == [("T1", 1, 1), ("T2", 2, 2)]
+    assert not {"product_id", "counterparty_id", "settlement_status", "trade_date"} & set(seen[0])
+
+
+def test_members_are_made_distinct_by_hash(spark):
+    trades = pipeline.attribute_stage(pipeline.clean_stage(feed(spark, trade("T1"), trade("T2"))))
+    for members in (star.product_members(trades), star.counterparty_members(trades)):
+        assert members.count() == 1 and "HashAggregate" in members._jdf.queryExecution().sparkPlan().toString().split("SortAggregate")[-1]

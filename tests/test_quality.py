@@ -210,3 +210,15 @@ def test_export_is_one_order_over_numbered_files(spark, tmp_path):
     same = spark.read.schema(schema).csv(path, header=True).select(*df.columns)
     chosen = df.where("ts >= '2026-05-02' AND ts < '2026-05-05'")
     assert rows(same) == rows(chosen)
+
+
+def test_only_rows_that_break_a_rule_build_violations(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1), ("c", -1), ("d", None)], "trade_id string, v int")
+    rules = [{"name": "there", "type": "null_check", "field": "v", "stage": "s"},
+             {"name": "low", "type": "range_check", "field": "v", "min": 0, "stage": "s"}]
+    evaluation = quality.evaluate(df, rules, "b")
+    found = evaluation.violations
+    assert rows(found, "row_key", "rule_name") == [("a", "low"), ("a", "there"), ("c", "low"), ("d", "low"), ("d", "there")]
+    assert rows(evaluation.counts(spark), "rule_name", "failing_rows") == [("low", 3), ("there", 2)]
+    below = plan_of(found).split("Generate")[1].strip().split("\n")[1]
+    assert "Filter" in below
