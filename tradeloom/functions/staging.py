@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -83,19 +84,32 @@ def free(spark: SparkSession, paths: Sequence[str]) -> None:
     spark._jvm.System.gc()
 
 
+#: For each session: how many have asked for dropped shuffles and not left yet, and the setting before the first.
+_DROPPING: dict[int, tuple[int, str]] = {}
+_LOCK = Lock()
+
+
 @contextmanager
 def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of the jobs run meanwhile are deleted as each job ends.
 
-    For jobs whose results are written; the setting is the session's, so not for jobs run side by side.
+    For jobs whose results are written. The setting is the session's and stays until the last of
+    several users at a time has left; jobs side by side that see it each lose their own files only.
     """
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
+    name, key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", id(spark)
+    with _LOCK:
+        users, before = _DROPPING.get(key) or (0, spark.conf.get(name))
+        _DROPPING[key] = users + 1, before
+        spark.conf.set(name, "true")
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        with _LOCK:
+            users, before = _DROPPING.pop(key)
+            if users > 1:
+                _DROPPING[key] = users - 1, before
+            else:
+                spark.conf.set(name, before)
 
 
 @contextmanager

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.fixed_values import RULES, TRADES_CSV_SCHEMA
 from tradeloom.functions.ordering import number_rows
-from tradeloom.functions.staging import at_once, scratch_path, settle
+from tradeloom.functions.staging import at_once, free, scratch_path, settle, shuffles_dropped, tracked
 from tradeloom.operators import clean, deadletter, enrich, exposure, lineage, quality, star
 from tradeloom.plans import observability, pipeline
 from tradeloom.plans.facts import FactStore
@@ -77,7 +77,13 @@ def _dims(trades: DataFrame, *more: Callable) -> list[DataFrame]:
 
 
 def _enriched(spark: SparkSession, folder: str) -> DataFrame:
-    return settle(pipeline.enrich_stage(_cleaned(spark, folder)), "enriched")
+    """The enriched trades as a written table; what was written and shuffled on the way is deleted."""
+    with shuffles_dropped(spark):
+        with tracked() as made:
+            rows = pipeline.enrich_stage(_cleaned(spark, folder))
+        rows = settle(rows, "enriched")
+    free(spark, made)
+    return rows
 
 
 def _facts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -408,11 +414,12 @@ def fact_trades(spark, folder):
 def fact_upsert(spark, folder):
     """All facts, then a second load of the trades from 1998 on."""
     rows = _enriched(spark, folder)
-    valid, _ = star.split_by_constraints(rows)
-    products, counterparties, _, keys = _dims(rows, lambda: star.trade_keys(valid))
-    first = settle(star.fact_trades(valid, keys, products, counterparties, "b_1", PIPELINE), "facts")
-    again = valid.where("trade_year >= 1998")
-    keys = star.trade_keys(again, first.agg(F.max("trade_key")).first()[0])
+    with shuffles_dropped(spark):
+        valid, _ = star.split_by_constraints(rows)
+        products, counterparties, _, keys = _dims(rows, lambda: star.trade_keys(valid))
+        first = settle(star.fact_trades(valid, keys, products, counterparties, "b_1", PIPELINE), "facts")
+        again = valid.where("trade_year >= 1998")
+        keys = star.trade_keys(again, first.agg(F.max("trade_key")).first()[0])
     second = star.fact_trades(again, keys, products, counterparties, "b_2", PIPELINE)
     return star.upsert_facts(first, second)
 
