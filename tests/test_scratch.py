@@ -5,9 +5,11 @@ from datetime import datetime
 
 import pytest
 from conftest import rows
+from test_pipeline import feed, trade
 
 from tradeloom.functions.staging import settle, shared_folder, shuffles_dropped
-from tradeloom.plans import catalog
+from tradeloom.operators import deadletter
+from tradeloom.plans import catalog, pipeline
 
 DROPPED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -58,3 +60,28 @@ def test_upsert_keeps_no_more_than_it_reads(spark, source, monkeypatch):
     assert {seen[name] for name in ("cleaned", "enriched", "facts", "dim_date")} == {"true"}
     wanted = [(f"T_{o}_{n}", "b_2" if o % 2 else "b_1", 100.0 * o) for o in range(1, 9) for n in (1, 2)]
     assert rows(found, "trade_id", "batch_id", "notional") == sorted(wanted, key=repr)
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_run_keeps_what_its_next_stage_reads(spark, tmp_path, monkeypatch, fails):
+    tables, old, seen, load = pipeline.Tables(str(tmp_path)), scratch(spark), {}, pipeline.load_star
+    before = spark.conf.get(DROPPED)
+
+    def watched(enriched, *args):
+        seen[spark.conf.get(DROPPED)] = {kind for name, kind in scratch(spark).items() if name not in old}
+        if fails:
+            raise ValueError("no space")
+        return load(enriched, *args)
+
+    monkeypatch.setattr(pipeline, "load_star", watched)
+    raw = feed(spark, trade("T1"), trade("T1", date="2026-05-19"), trade("T2", "abc"), trade("T3", direction="SELL"))
+    if fails:
+        with pytest.raises(RuntimeError):
+            pipeline.run_pipeline(raw, tables.root, "b_1", "p")
+        assert deadletter.read(spark, tables.path("dead_letters")).where("_dlq_stage = 'load'").count() == 2
+    else:
+        pipeline.run_pipeline(raw, tables.root, "b_1", "p")
+        assert rows(pipeline.current_facts(spark, tables), "trade_id") == [("T1",), ("T3",)]
+    assert "enriched" in seen["true"] and not {"ingested", "deduplicated"} & seen["true"]
+    assert scratch(spark).keys() <= old.keys() and spark.conf.get(DROPPED) == before
+    assert tables.read(spark, "pipeline_runs").count() == 4
